@@ -22,7 +22,11 @@ DATE_TIME = (
     r"(?:[Tt _][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]{1,9})?)?(?:[Zz]|[+-][0-9]{2}:?[0-9]{2})?)?\z"
 )
 NUMBER = r"\A[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?\z"
-UTC_OFFSET = r"\A([+-]?)([0-9]{1,2}):([0-9]{2})\z"
+# Optional sign (plus when missing), one or two hour digits, minutes; from -12:00 to +14:00.
+UTC_OFFSET = (
+    r"\A(?:[+]?(?:0?[0-9]|1[0-3]):[0-5][0-9]|[+]?14:00"
+    r"|-(?:0?[0-9]|1[01]):[0-5][0-9]|-12:00)\z"
+)
 
 _ATOM = r"[A-Za-z0-9_!#$%&'*+/=?^`{|}~\p{L}\p{N}\p{M}-]+"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
@@ -37,20 +41,23 @@ HTTP_URL = (
 HTTPS_WITH_HOST = r"(?i)\Ahttps://[^/?#]"
 
 
+def _visible(c: Column) -> Column:
+    """Starts with a visible ASCII character; two byte comparisons."""
+    return (c >= "!") & (c < "\x7f")
+
+
 def strip(c: Column) -> Column:
     """Trim Unicode white space from both ends.
 
-    Most values start and end with a visible ASCII character, which two byte comparisons settle;
-    only the others pay for the set-based trim.
+    Most values start and end with a visible ASCII character and stay as they are; only the others
+    pay for the set-based trim.
     """
-    last = F.substring(c, -1, 1)
-    visible = (c >= "!") & (c < "\x7f") & (last >= "!") & (last < "\x7f")
-    return F.when(visible, c).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
+    return F.when(_visible(c) & _visible(F.substring(c, -1, 1)), c).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
 
 
 def is_blank(c: Column) -> Column:
     """True for null and for text made of white space only."""
-    return c.isNull() | (F.btrim(c, F.lit(BLANK_SPACE)) == "")
+    return c.isNull() | (~_visible(c) & (F.btrim(c, F.lit(BLANK_SPACE)) == ""))
 
 
 def has_control(c: Column) -> Column:
@@ -101,11 +108,13 @@ def valid_https_url(c: Column, max_length: int) -> Column:
 
 
 def valid_utc_offset(c: Column) -> Column:
-    """``[+-]H:MM`` between -12:00 and +14:00; no sign means plus."""
-    minutes = F.regexp_extract(c, UTC_OFFSET, 3).try_cast("int")
-    total = F.regexp_extract(c, UTC_OFFSET, 2).try_cast("int") * 60 + minutes
-    total = F.when(c.startswith("-"), -total).otherwise(total)
-    return c.rlike(UTC_OFFSET) & (minutes <= 59) & total.between(-720, 840)
+    """``[+-]H:MM`` between -12:00 and +14:00, the bounds being part of the pattern."""
+    return c.rlike(UTC_OFFSET)
+
+
+def longer_than(c: Column, limit: int) -> Column:
+    """More than ``limit`` characters. The byte count is known, so short text is not scanned."""
+    return (F.octet_length(c) > limit) & (F.length(c) > limit)
 
 
 def age_on(birth: Column, today: dt.date) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from profilegate import schemas as S
 from profilegate.functions import text as X
 from profilegate.functions import variants as V
+from profilegate.functions.barrier import settle
 from profilegate.operators import rules as R
 
 VIOLATION = "contract_violation:"
@@ -56,6 +57,7 @@ def check_profiles(
     country_codes: Sequence[str] | None = None,
     extra_rules: Sequence[R.Rule] = (),
     typed: bool = True,
+    observe_as: str | None = None,
 ) -> DataFrame:
     """Structural and semantic checks in one narrow stage.
 
@@ -64,7 +66,8 @@ def check_profiles(
     """
     prepared = R.prepare(df)
     quality = R.insert_after(R.quality_rules(prepared, today, country_codes), "missing_email", email_rule())
-    checked = R.with_reasons(prepared, [*structural_rules(prepared), *quality, *url_rules(), *extra_rules])
+    rules = [*structural_rules(prepared), *quality, *url_rules(), *extra_rules]
+    checked = R.with_reasons(prepared, rules, observe_as=observe_as)
     return R.finish(as_typed(checked) if typed else checked)
 
 
@@ -195,7 +198,7 @@ def _message_rules(fields: Sequence[S.Field], root: Column, keys: Column) -> Col
         R.Rule(UNKNOWN_FIELDS, F.size(F.array_except(keys, names)) > 0),
         *[R.Rule(VIOLATION + f.name, _violation(f, root[f.name])) for f in fields],
     ]
-    return R.reasons_column(rules)
+    return R.joined_codes(rules)
 
 
 def parsed_message(value: Column, names: Sequence[str]) -> Column:
@@ -216,6 +219,7 @@ def check_messages(
     value: str = "value",
     topic_contracts: Mapping[str, Sequence[S.Field]] | None = None,
     column: str = "violations",
+    observe_as: str | None = None,
 ) -> DataFrame:
     """Messages plus the ways each one breaks its topic's contract, empty when it conforms.
 
@@ -230,10 +234,11 @@ def check_messages(
     for name, fields in topic_contracts.items():
         violations = _message_rules(fields, root, F.col("_keys"))
         out = (F if out is None else out).when(F.col(topic) == name, violations)
-    broken = F.when(~F.col(topic).isin(list(topic_contracts)) | F.col(topic).isNull(), F.array(F.lit(NO_CONTRACT)))
-    broken = broken.when(root.isNull() | F.col("_keys").isNull(), F.array(F.lit(INVALID_JSON)))
-    checked = broken.otherwise(out)
-    return df.withColumn(column, checked).drop("_message", "_keys")
+    broken = F.when(~F.col(topic).isin(list(topic_contracts)) | F.col(topic).isNull(), F.lit(NO_CONTRACT))
+    broken = broken.when(root.isNull() | F.col("_keys").isNull(), F.lit(INVALID_JSON))
+    df = df.withColumn("_codes", broken.otherwise(out)).withColumn(column, R.split_codes(F.col("_codes")))
+    observed = settle(df, observe_as, messages=F.count(F.lit(1)), violating=F.count_if(F.col("_codes") != ""))
+    return observed.drop("_message", "_keys", "_codes")
 
 
 def read_created(df: DataFrame, value: str = "value") -> DataFrame:

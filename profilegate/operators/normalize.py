@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from profilegate import schemas as S
 from profilegate.functions import variants as V
+from profilegate.functions.barrier import settle
 
 INVALID_PAYLOAD = "invalid_payload"
 RETRYABLE = ("timeout", "http_error", "http_429", "empty_results")
@@ -132,7 +133,7 @@ def _flatten(q: Column, raw_postcode: Column) -> Column:
     return F.struct(*[values[n].alias(n) for n in S.NORMALIZED_FIELDS], F.coalesce(*errors).alias("error_field"))
 
 
-def classify_responses(responses: DataFrame) -> DataFrame:
+def classify_responses(responses: DataFrame, observe_as: str | None = None) -> DataFrame:
     """Response rows plus ``reason`` (null for success), ``retryable`` and the mapped ``profiles``.
 
     One bad item fails its whole response, so items are mapped inside the row and never shuffled.
@@ -165,8 +166,9 @@ def classify_responses(responses: DataFrame) -> DataFrame:
         .when(F.exists("profiles", lambda p: p["error_field"].isNotNull()), F.lit(INVALID_PAYLOAD))
         .when(F.size("_items") != F.col("expected_count"), F.lit("unexpected_response"))
     )
-    df = df.withColumn("reason", reason).drop("_root", "_object", "_items", "_opened")
-    return df.withColumn("retryable", is_retryable(F.col("reason")))
+    df = df.withColumn("reason", reason).withColumn("retryable", is_retryable(F.col("reason")))
+    df = df.drop("_root", "_object", "_items", "_opened")
+    return settle(df, observe_as, attempts=F.count(F.lit(1)), failures=F.count("reason"))
 
 
 def is_retryable(reason: Column) -> Column:

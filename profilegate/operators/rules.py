@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from profilegate import schemas as S
 from profilegate.functions import text as X
+from profilegate.functions.barrier import settle
 
 REASONS = "rejection_reasons"
 SEPARATOR = ","
@@ -118,7 +119,7 @@ def text_rules(name: str, max_length: int, maybe_dirty: Column | None = None) ->
     """Length and control-character rules for one text column."""
     dirty = X.has_control(F.col(name))
     return [
-        Rule(f"text_field_too_long:{name}", F.length(F.col(name)) > max_length),
+        Rule(f"text_field_too_long:{name}", X.longer_than(F.col(name), max_length)),
         Rule(f"text_field_has_control_characters:{name}", dirty if maybe_dirty is None else maybe_dirty & dirty),
     ]
 
@@ -135,23 +136,33 @@ def insert_after(rules: Iterable[Rule], code: str, *extra: Rule) -> list[Rule]:
     return out
 
 
-def reasons_column(rules: Sequence[Rule]) -> Column:
-    """All codes that apply, in rule order, each once.
+def joined_codes(rules: Sequence[Rule]) -> Column:
+    """All codes that apply as one text, in rule order, each once.
 
-    The codes are joined and split again rather than filtered out of an array: concat_ws and split
-    stay inside generated code, array filters do not.
+    The codes are joined, and split later, rather than filtered out of an array: concat_ws and
+    split stay inside generated code, array filters do not.
     """
-    seen: dict[str, Column] = {}
-    for rule in rules:
-        if SEPARATOR in rule.code or not rule.code:
-            raise ValueError(f"a reason code must be non-empty and free of commas: {rule.code!r}")
-        seen[rule.code] = seen[rule.code] | rule.condition if rule.code in seen else rule.condition
-    joined = F.concat_ws(SEPARATOR, *[F.when(condition, F.lit(code)) for code, condition in seen.items()])
+    conditions: dict[str, Column] = {}
+    for code, condition in rules:
+        if SEPARATOR in code or not code:
+            raise ValueError(f"a reason code must be non-empty and free of commas: {code!r}")
+        conditions[code] = conditions[code] | condition if code in conditions else condition
+    return F.concat_ws(SEPARATOR, *[F.when(condition, F.lit(code)) for code, condition in conditions.items()])
+
+
+def split_codes(joined: Column) -> Column:
     return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, SEPARATOR))
 
 
-def with_reasons(df: DataFrame, rules: Sequence[Rule], column: str = REASONS) -> DataFrame:
-    return df.withColumn(column, reasons_column(rules))
+def with_reasons(df: DataFrame, rules: Sequence[Rule], column: str = REASONS, observe_as: str | None = None) -> DataFrame:
+    """Adds the ordered reason codes of each row, and observes how many rows earned any."""
+    marked = df.withColumn("_codes", joined_codes(rules)).withColumn(column, split_codes(F.col("_codes")))
+    return settle(
+        marked,
+        observe_as,
+        rows=F.count(F.lit(1)),
+        with_reasons=F.count_if(F.col("_codes") != ""),
+    ).drop("_codes")
 
 
 def check_quality(
@@ -160,11 +171,12 @@ def check_quality(
     *,
     country_codes: Sequence[str] | None = None,
     extra_rules: Sequence[Rule] = (),
+    observe_as: str | None = None,
 ) -> DataFrame:
     """Profiles plus their ordered rejection reasons. Narrow: no shuffle, no Python."""
     prepared = prepare(df)
     rules = [*quality_rules(prepared, today, country_codes), *extra_rules]
-    return finish(with_reasons(prepared, rules))
+    return finish(with_reasons(prepared, rules, observe_as=observe_as))
 
 
 def is_valid(reasons: Column | str = REASONS) -> Column:

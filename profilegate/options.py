@@ -29,6 +29,9 @@ SESSION_SETTINGS = {
     # A repeated JSON key keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes. A stage with the whole rule set would be one;
+    # with this limit Spark falls back to its split projections, which do get compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A re-run of a batch replaces only the partitions it writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
