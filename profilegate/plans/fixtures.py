@@ -107,8 +107,8 @@ def _pick(modulus: int, cases: dict[int, str], otherwise: str) -> str:
 RAW_SQL = PROFILE_SQL | {
     "schema_version": f"CASE WHEN {K} % 89 = 1 THEN '2.0' WHEN {K} % 89 = 2 THEN NULL ELSE '1.0' END",
     "event_type": f"CASE WHEN {K} % 97 = 1 THEN 'UserDeleted' WHEN {K} % 97 = 2 THEN NULL ELSE 'UserCreated' END",
-    "source": f"CASE WHEN {K} % 101 = 1 THEN ' random_user' || chr(9) WHEN {K} % 101 = 2 THEN chr(8195) ELSE {PROFILE_SQL['source']} END",
-    "first_name": f"CASE WHEN {K} % 103 = 1 THEN chr(160) || 'Ada' || chr(12288) WHEN {K} % 103 = 2 THEN '' ELSE {PROFILE_SQL['first_name']} END",
+    "source": f"CASE WHEN {K} % 101 = 1 THEN ' random_user' || chr(9) WHEN {K} % 101 = 2 THEN '\u2003' ELSE {PROFILE_SQL['source']} END",
+    "first_name": f"CASE WHEN {K} % 103 = 1 THEN '\u00a0Ada\u3000' WHEN {K} % 103 = 2 THEN '' ELSE {PROFILE_SQL['first_name']} END",
     "country_code": f"CASE WHEN {K} % 107 = 1 THEN 'GBR' WHEN {K} % 107 = 2 THEN ' GB ' ELSE {PROFILE_SQL['country_code']} END",
     "date_of_birth": _pick(109, _DATES, f"CAST({PROFILE_SQL['date_of_birth']} AS STRING) || 'T00:00:00Z'"),
     "registered_at": _pick(113, _DATES, f"CAST({PROFILE_SQL['registered_at']} AS STRING) || 'T12:00:00.000Z'"),
