@@ -151,7 +151,8 @@ def joined_codes(rules: Sequence[Rule]) -> Column:
 
 
 def split_codes(joined: Column) -> Column:
-    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, SEPARATOR))
+    none = F.array_remove(F.array(F.lit("")), "")  # an empty array without null elements
+    return F.when(joined == "", none).otherwise(F.split(joined, SEPARATOR))
 
 
 def with_reasons(df: DataFrame, rules: Sequence[Rule], column: str = REASONS, observe_as: str | None = None) -> DataFrame:
