@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,13 +47,16 @@ def _visible(c: Column) -> Column:
     return (c >= "!") & (c < "\x7f")
 
 
-def strip(c: Column) -> Column:
-    """Trim Unicode white space from both ends.
+def strip(name: str) -> Column:
+    """Trim Unicode white space from both ends of a column.
 
     Most values start and end with a visible ASCII character and stay as they are; only the others
-    pay for the set-based trim.
+    pay for the set-based trim. SQL text, because it is built once per field of a profile and each
+    Column call is a round trip to the JVM.
     """
-    return F.when(_visible(c) & _visible(F.substring(c, -1, 1)), c).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
+    last = f"substring(`{name}`, -1, 1)"
+    visible = f"`{name}` >= '!' AND `{name}` < '\x7f' AND {last} >= '!' AND {last} < '\x7f'"
+    return F.expr(f"CASE WHEN {visible} THEN `{name}` ELSE btrim(`{name}`, '{WHITE_SPACE}') END")
 
 
 def is_blank(c: Column) -> Column:
@@ -112,9 +116,15 @@ def valid_utc_offset(c: Column) -> Column:
     return c.rlike(UTC_OFFSET)
 
 
-def longer_than(c: Column, limit: int) -> Column:
+def longer_than(name: str, limit: int) -> Column:
     """More than ``limit`` characters. The byte count is known, so short text is not scanned."""
-    return (F.octet_length(c) > limit) & (F.length(c) > limit)
+    return F.expr(f"octet_length(`{name}`) > {limit} AND length(`{name}`) > {limit}")
+
+
+def one_of(name: str, values: Iterable[str]) -> Column:
+    """Membership in a fixed set, which Spark turns into a hash lookup."""
+    listed = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"`{name}` IN ({listed})")
 
 
 def age_on(birth: Column, today: dt.date) -> Column:

@@ -220,10 +220,12 @@ def check_messages(
     topic_contracts: Mapping[str, Sequence[S.Field]] | None = None,
     column: str = "violations",
     observe_as: str | None = None,
+    keep_parsed: str | None = None,
 ) -> DataFrame:
     """Messages plus the ways each one breaks its topic's contract, empty when it conforms.
 
     A topic without a contract reports ``no_contract``; text that is no JSON object, ``invalid_json``.
+    ``keep_parsed`` names a column to keep the parsed fields in, for read_created().
     """
     topic_contracts = contracts() if topic_contracts is None else topic_contracts
     names = list(dict.fromkeys(f.name for fields in topic_contracts.values() for f in fields))
@@ -238,23 +240,22 @@ def check_messages(
     broken = broken.when(root.isNull() | F.col("_keys").isNull(), F.lit(INVALID_JSON))
     df = df.withColumn("_codes", broken.otherwise(out)).withColumn(column, R.split_codes(F.col("_codes")))
     observed = settle(df, observe_as, messages=F.count(F.lit(1)), violating=F.count_if(F.col("_codes") != ""))
-    return observed.drop("_message", "_keys", "_codes")
+    observed = observed.drop("_keys", "_codes")
+    return observed.withColumnRenamed("_message", keep_parsed) if keep_parsed else observed.drop("_message")
 
 
-def read_created(df: DataFrame, value: str = "value") -> DataFrame:
-    """Messages on the created topic plus their profile fields as text, for check_profiles().
+def read_created(df: DataFrame, parsed: str) -> DataFrame:
+    """Profile fields of parsed messages, for check_profiles().
 
     Only values of the right JSON kind come through; others become null, and the reasons of
     check_messages() tell why.
     """
-    df = df.withColumn("_message", parsed_message(F.col(value), S.PROFILE_FIELDS))
     columns = {}
     for f in S.USER_CREATED_FIELDS:
-        v = F.col("_message")[f.name]
-        if f.kind == "integer":
-            columns[f.name] = F.when(V.is_number(v), F.try_variant_get(v, "$", "long"))
-        elif f.kind == "number":
-            columns[f.name] = F.when(V.is_number(v), F.try_variant_get(v, "$", "double"))
-        else:
+        v = F.col(parsed)[f.name]
+        if f.kind == "string":
             columns[f.name] = F.when(V.is_string(v), V.as_text(v))
-    return df.withColumns(columns).drop("_message")
+        else:
+            kind = "long" if f.kind == "integer" else "double"
+            columns[f.name] = F.when(V.is_number(v), F.try_variant_get(v, "$", kind))
+    return df.withColumns(columns).drop(parsed)

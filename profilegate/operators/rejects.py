@@ -15,13 +15,18 @@ def redacted_payload() -> Column:
     return F.struct(*[F.col(n) for n in S.PAYLOAD_FIELDS])
 
 
-def invalid_event_columns(salt: str | None, reasons: str = R.REASONS) -> list[Column]:
+def pseudonym_of_row(salt: str | None) -> Column:
+    return pseudonym(F.col("source"), F.col("source_user_id"), salt)
+
+
+def invalid_event_columns(user: Column) -> list[Column]:
+    """The fields of an invalid event, given the pseudonym of its user."""
     return [
         F.lit(S.SCHEMA_VERSION).alias("schema_version"),
         F.lit(S.USER_PROFILE_INVALID_TYPE).alias("event_type"),
         F.col("source"),
-        pseudonym(F.col("source"), F.col("source_user_id"), salt).alias("source_user_id"),
-        F.col(reasons).alias("rejection_reasons"),
+        user.alias("source_user_id"),
+        F.col(R.REASONS).alias("rejection_reasons"),
         redacted_payload().alias("payload"),
     ]
 
@@ -29,7 +34,7 @@ def invalid_event_columns(salt: str | None, reasons: str = R.REASONS) -> list[Co
 def invalid_events(checked: DataFrame, salt: str | None, *carry: str) -> DataFrame:
     """One invalid event per rejected row. ``carry`` keeps non-personal columns such as event time."""
     rejected = checked.filter(~R.is_valid())
-    return rejected.select(*carry, *invalid_event_columns(salt))
+    return rejected.select(*carry, *invalid_event_columns(pseudonym_of_row(salt)))
 
 
 def valid_events(checked: DataFrame, *carry: str) -> DataFrame:

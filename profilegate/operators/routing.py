@@ -26,8 +26,8 @@ def created_json() -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def invalid_json_event(salt: str | None) -> Column:
-    return F.to_json(F.struct(*rejects.invalid_event_columns(salt)), {"ignoreNullFields": "false"})
+def invalid_json_event(user: Column) -> Column:
+    return F.to_json(F.struct(*rejects.invalid_event_columns(user)), {"ignoreNullFields": "false"})
 
 
 def frame(json: Column, schema_id: int) -> Column:
@@ -52,12 +52,14 @@ def route(checked: DataFrame, options: JobOptions, *carry: str) -> DataFrame:
     sink partitions by it. Valid events are keyed on the user id, invalid ones on its pseudonym.
     """
     valid = R.is_valid()
-    pseudonym = rejects.pseudonym(F.col("source"), F.col("source_user_id"), options.salt)
-    return checked.select(
+    # The pseudonym is both key and field of a reject; it is hashed once, and for rejects only.
+    user = F.col("_pseudonym")
+    marked = checked.withColumn("_pseudonym", F.when(~valid, rejects.pseudonym_of_row(options.salt)))
+    return marked.select(
         *carry,
-        encode_key(F.when(valid, F.col("source_user_id")).otherwise(pseudonym)).alias("key"),
+        encode_key(F.when(valid, F.col("source_user_id")).otherwise(user)).alias("key"),
         F.when(valid, frame(created_json(), options.created_schema_id))
-        .otherwise(frame(invalid_json_event(options.salt), options.invalid_schema_id))
+        .otherwise(frame(invalid_json_event(user), options.invalid_schema_id))
         .alias("value"),
         F.when(valid, F.lit(options.created_topic)).otherwise(F.lit(options.invalid_topic)).alias("topic"),
     )

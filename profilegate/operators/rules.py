@@ -44,7 +44,7 @@ def prepare(df: DataFrame) -> DataFrame:
         defaults = {"schema_version": S.SCHEMA_VERSION, "event_type": S.USER_CREATED_TYPE}
         types = {f.name: f.dataType for f in S.NORMALIZED_SCHEMA}
         df = df.withColumns({n: F.lit(defaults.get(n)).cast(types.get(n, T.StringType())) for n in missing})
-    stripped = {n: X.strip(F.col(n)) for n in S.PROFILE_FIELDS if is_text(df, n)}
+    stripped = {n: X.strip(n) for n in S.PROFILE_FIELDS if is_text(df, n)}
     for name, default in (("schema_version", S.SCHEMA_VERSION), ("event_type", S.USER_CREATED_TYPE)):
         stripped[name] = F.coalesce(stripped[name], F.lit(default))
     df = df.withColumns(stripped)
@@ -76,7 +76,7 @@ def finish(df: DataFrame) -> DataFrame:
 def quality_rules(df: DataFrame, today: dt.date, country_codes: Sequence[str] | None = None) -> list[Rule]:
     """The built-in rules in reporting order, for a frame that went through prepare()."""
     c = F.col
-    codes = list(country_codes or S.iso_country_codes())
+    codes = country_codes or S.iso_country_codes()
     rules = [
         Rule("missing_source", X.is_blank(c("source"))),
         Rule("missing_source_user_id", X.is_blank(c("source_user_id"))),
@@ -87,9 +87,9 @@ def quality_rules(df: DataFrame, today: dt.date, country_codes: Sequence[str] |
             "unsupported_country",
             (c("source") == S.DEMO_SOURCE)
             & ~X.is_blank(c("country"))
-            & ~c("country").isin(list(S.SOURCE_COUNTRY_CODES)),
+            & ~X.one_of("country", S.SOURCE_COUNTRY_CODES),
         ),
-        Rule("invalid_country_code", ~c("country_code").isin(codes)),
+        Rule("invalid_country_code", ~X.one_of("country_code", codes)),
     ]
 
     given = ~X.is_blank(c("date_of_birth")) if is_text(df, "date_of_birth") else c(BIRTH).isNotNull()
@@ -103,7 +103,7 @@ def quality_rules(df: DataFrame, today: dt.date, country_codes: Sequence[str] |
         Rule("registered_in_future", F.to_date(c(REGISTERED)) > F.lit(today)),
         Rule("invalid_latitude", c("latitude").isNotNull() & ~X.in_bounds(c(LATITUDE), -90.0, 90.0)),
         Rule("invalid_longitude", c("longitude").isNotNull() & ~X.in_bounds(c(LONGITUDE), -180.0, 180.0)),
-        Rule("invalid_nationality", ~c("nationality").isin(codes)),
+        Rule("invalid_nationality", ~X.one_of("nationality", codes)),
         Rule("invalid_timezone_offset", ~X.valid_utc_offset(c("timezone_offset"))),
     ]
     rules += [
@@ -119,7 +119,7 @@ def text_rules(name: str, max_length: int, maybe_dirty: Column | None = None) ->
     """Length and control-character rules for one text column."""
     dirty = X.has_control(F.col(name))
     return [
-        Rule(f"text_field_too_long:{name}", X.longer_than(F.col(name), max_length)),
+        Rule(f"text_field_too_long:{name}", X.longer_than(name, max_length)),
         Rule(f"text_field_has_control_characters:{name}", dirty if maybe_dirty is None else maybe_dirty & dirty),
     ]
 
@@ -198,3 +198,11 @@ def with_status(df: DataFrame, today: dt.date) -> DataFrame:
             ),
         }
     )
+
+
+def enrich(df: DataFrame, today: dt.date, ingested_at: Column | None = None) -> DataFrame:
+    """with_status() plus when the row was ingested, if known, and when it is being processed."""
+    times = {"processed_at": F.current_timestamp()}
+    if ingested_at is not None:
+        times["ingested_at"] = ingested_at.cast("timestamp")
+    return with_status(df, today).withColumns(times)

@@ -69,7 +69,7 @@ def quality_status(spark, folder):
 @query
 def text_rules_documents(spark, folder):
     """Length and control-character rules on free text."""
-    documents = FX.table(spark, folder, "documents").withColumn("text", X.strip(F.col("text")))
+    documents = FX.table(spark, folder, "documents").withColumn("text", X.strip("text"))
     rules = R.with_reasons(documents, R.text_rules("text", S.MAX_TEXT_LENGTH))
     return rules.select("doc_id", F.length("text").alias("chars"), joined().alias("reasons"))
 

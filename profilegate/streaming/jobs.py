@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from profilegate import schemas as S
 from profilegate.operators import contract as C
 from profilegate.operators import metrics as M
 from profilegate.operators import routing as RT
@@ -27,10 +28,11 @@ def validate_log(log: DataFrame, options: JobOptions, today: dt.date | None = No
         messages,
         topic="_topic",
         value="json",
-        topic_contracts=C.contracts(options.created_topic, options.invalid_topic),
+        topic_contracts={options.created_topic: S.USER_CREATED_FIELDS},
         observe_as="contract",
+        keep_parsed="_parsed",
     )
-    profiles = C.read_created(messages, "json")
+    profiles = C.read_created(messages, "_parsed")
     checked = C.check_profiles(
         profiles, today or options.today, country_codes=options.iso_codes, observe_as="quality"
     )

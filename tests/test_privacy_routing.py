@@ -40,7 +40,8 @@ def test_pseudonyms_need_a_salt_and_an_id(spark):
 def test_invalid_events_carry_nothing_personal(spark):
     people = frame(spark, [{}, {"username": ""}, {"country_code": None, "country": "Atlantis", "street_name": "\x01"}])
     events = rejects.invalid_events(C.check_profiles(people, TODAY), "pepper")
-    assert [(f.name, f.dataType) for f in events.schema] == [(f.name, f.dataType) for f in S.USER_PROFILE_INVALID_SCHEMA]
+    assert events.dtypes == [(f.name, f.dataType.simpleString()) for f in S.USER_PROFILE_INVALID_SCHEMA]
+    assert events.schema["rejection_reasons"].dataType.containsNull is False
     rows = events.collect()
     assert len(rows) == 2
     personal = [v for n, v in GOOD.items() if n not in ("source", "country_code", "nationality", "street_number", "title")]

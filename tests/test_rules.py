@@ -128,3 +128,10 @@ def test_filters_on_reasons_do_not_repeat_the_rules(spark):
     checked = R.check_quality(frame(spark, [{}]), TODAY).filter(R.is_valid())
     plan = checked._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("THEN missing_username END") == 1
+
+
+def test_enrichment(spark):
+    checked = R.check_quality(frame(spark, [{}]), TODAY)
+    row = R.enrich(checked, TODAY, F.lit("2024-05-01 10:00:00")).first()
+    assert row.ingested_at == dt.datetime(2024, 5, 1, 10) and row.processed_at is not None
+    assert "ingested_at" not in R.enrich(checked, TODAY).columns
