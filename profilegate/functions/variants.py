@@ -39,5 +39,5 @@ def is_integer(v: Column) -> Column:
     return F.coalesce((k == "BIGINT") | k.rlike(r"\ADECIMAL\((?:19|[23][0-9]),0\)\z"), F.lit(False))
 
 
-def is_number(v: Column) -> Column:
-    return F.coalesce(kind(v).rlike(r"\A(?:BIGINT|DOUBLE|FLOAT|DECIMAL.*)\z"), F.lit(False))
+def number_kind(k: Column) -> Column:
+    return (k == "BIGINT") | k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT")

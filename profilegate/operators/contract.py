@@ -153,27 +153,24 @@ def _format_ok(fmt: str, text: Column) -> Column:
     return X.valid_http_url(text)
 
 
-def _conforms(f: S.Field, v: Column) -> Column:
+def _conforms(f: S.Field, kind: Column, text: Column) -> Column:
     """True where a present, non-null value satisfies its field contract."""
     if f.kind == "object":
-        return V.as_struct(v, "_").isNotNull()
+        return kind.startswith("OBJECT<")
     if f.kind == "reasons":
-        items = V.as_array(v)
+        items = F.from_json(F.when(kind.startswith("ARRAY<"), text), "array<variant>")
         ok = F.forall(items, lambda r: V.is_string(r) & (V.as_text(r) != ""))
-        return F.coalesce((F.size(items) > 0) & ok, F.lit(False))
+        return (F.size(items) > 0) & ok
     if f.kind in ("integer", "number"):
-        number = F.try_variant_get(v, "$", "double")
-        ok = V.is_number(v)
+        number = text.try_cast("double")
+        ok = V.number_kind(kind)
         if f.kind == "integer":
             ok &= number == F.floor(number)
-        if f.bounds is not None:
-            ok &= X.in_bounds(number, *f.bounds)
-        return F.coalesce(ok, F.lit(False))
-    text = V.as_text(v)
-    ok = V.is_string(v)
+        return ok & X.in_bounds(number, *f.bounds) if f.bounds is not None else ok
+    ok = kind == "STRING"
     if f.const is not None:
-        ok &= text == f.const
-    elif f.required and f.fmt is None:
+        return ok & (text == f.const)
+    if f.required and f.fmt is None:
         ok &= text != ""
     if f.exact_length is not None:
         ok &= F.length(text) == f.exact_length
@@ -181,37 +178,52 @@ def _conforms(f: S.Field, v: Column) -> Column:
         ok &= _format_ok(f.fmt, text)
     if f.pattern is not None:
         ok &= text.rlike(rf"\A{f.pattern.strip('^$')}\z")
-    return F.coalesce(ok, F.lit(False))
+    return ok
 
 
-def _violation(f: S.Field, v: Column) -> Column:
+def _violation(f: S.Field, kind: Column, text: Column) -> Column:
+    broken = ~F.coalesce(_conforms(f, kind, text), F.lit(False))
     if f.required:
-        return ~(v.isNotNull() & _conforms(f, v))
+        return broken  # an absent value has no kind and conforms to nothing
     if f.kind == "object":  # may be left out, but not be null
-        return v.isNotNull() & ~_conforms(f, v)
-    return ~V.absent(v) & ~_conforms(f, v)
+        return kind.isNotNull() & broken
+    if f.kind == "string" and (f.exact_length, f.fmt, f.pattern) == (None, None, None):
+        return ~kind.isin("VOID", "STRING")
+    return (kind != "VOID") & broken
 
 
-def _message_rules(fields: Sequence[S.Field], root: Column, keys: Column) -> Column:
+def _message_rules(fields: Sequence[S.Field], kinds: Column, texts: Column, keys: Column) -> Column:
     names = F.array(*[F.lit(f.name) for f in fields])
     rules = [
         R.Rule(UNKNOWN_FIELDS, F.size(F.array_except(keys, names)) > 0),
-        *[R.Rule(VIOLATION + f.name, _violation(f, root[f.name])) for f in fields],
+        *[R.Rule(VIOLATION + f.name, _violation(f, kinds[f.name], texts[f.name])) for f in fields],
     ]
     return R.joined_codes(rules)
 
 
-def parsed_message(value: Column, names: Sequence[str]) -> Column:
-    """JSON text to a struct of variants, one parse for all fields; null when it is not one object.
+def _one_object(value: Column, names: Sequence[str], member: str) -> Column:
+    """JSON text to a struct of its members; null when it is not exactly one document.
 
     The text is parsed as the only element of an array, so trailing text after the object or a
     second document shows as malformed.
     """
-    members = ", ".join(f"`{n}`: variant" for n in names)
+    members = ", ".join(f"`{n}`: {member}" for n in names)
     root = F.from_json(F.concat(F.lit("["), value, F.lit("]")), f"array<struct<{members}>>")
     return F.when(F.size(root) == 1, F.get(root, F.lit(0)))
 
 
+def parse_messages(df: DataFrame, value: str, names: Sequence[str], column: str) -> DataFrame:
+    """Adds a struct with the JSON ``kinds`` of the named fields and their plain ``texts``.
+
+    Two passes over the text, one into variants for the kinds and one into strings for the values,
+    are cheaper than reading each value back out of its variant. Null when the text is no object.
+    """
+    df = df.withColumn("_variants", _one_object(F.col(value), names, "variant"))
+    kinds = F.struct(*[V.kind(F.col("_variants")[n]).alias(n) for n in names])
+    both = F.struct(kinds.alias("kinds"), _one_object(F.col(value), names, "string").alias("texts"))
+    return df.withColumn(column, F.when(F.col("_variants").isNotNull(), both)).drop("_variants")
+
+
 def check_messages(
     df: DataFrame,
     *,
@@ -229,12 +241,10 @@ def check_messages(
     """
     topic_contracts = contracts() if topic_contracts is None else topic_contracts
     names = list(dict.fromkeys(f.name for fields in topic_contracts.values() for f in fields))
-    df = df.withColumns(
-        {"_message": parsed_message(F.col(value), names), "_keys": F.json_object_keys(F.col(value))}
-    )
+    df = parse_messages(df.withColumn("_keys", F.json_object_keys(value)), value, names, "_message")
     root, out = F.col("_message"), None
     for name, fields in topic_contracts.items():
-        violations = _message_rules(fields, root, F.col("_keys"))
+        violations = _message_rules(fields, root["kinds"], root["texts"], F.col("_keys"))
         out = (F if out is None else out).when(F.col(topic) == name, violations)
     broken = F.when(~F.col(topic).isin(list(topic_contracts)) | F.col(topic).isNull(), F.lit(NO_CONTRACT))
     broken = broken.when(root.isNull() | F.col("_keys").isNull(), F.lit(INVALID_JSON))
@@ -252,10 +262,10 @@ def read_created(df: DataFrame, parsed: str) -> DataFrame:
     """
     columns = {}
     for f in S.USER_CREATED_FIELDS:
-        v = F.col(parsed)[f.name]
+        kind, text = F.col(parsed)["kinds"][f.name], F.col(parsed)["texts"][f.name]
         if f.kind == "string":
-            columns[f.name] = F.when(V.is_string(v), V.as_text(v))
+            columns[f.name] = F.when(kind == "STRING", text)
         else:
-            kind = "long" if f.kind == "integer" else "double"
-            columns[f.name] = F.when(V.is_number(v), F.try_variant_get(v, "$", kind))
+            number = text.try_cast("double")
+            columns[f.name] = F.when(V.number_kind(kind), number if f.kind == "number" else number.try_cast("long"))
     return df.withColumns(columns).drop(parsed)

@@ -66,7 +66,8 @@ def merged_reasons(violations: Column, reasons: Column) -> Column:
         names = F.array(*[F.lit(c) for c in codes])
         spared.append(F.when(F.arrays_overlap(reasons, names), F.lit(C.VIOLATION + field)).otherwise(F.lit("")))
     kept = F.array_except(violations, F.array(*spared))
-    return F.when(unreadable, violations).otherwise(F.array_distinct(F.concat(kept, reasons)))
+    merged = F.when(unreadable, violations).otherwise(F.array_distinct(F.concat(kept, reasons)))
+    return F.when(F.size(violations) == 0, reasons).otherwise(merged)
 
 
 def start_route(log: DataFrame, options: JobOptions, checkpoint: str, *, path: str | None = None, **trigger) -> StreamingQuery:
