@@ -127,11 +127,15 @@ def one_of(name: str, values: Iterable[str]) -> Column:
     return F.expr(f"`{name}` IN ({listed})")
 
 
-def age_on(birth: Column, today: dt.date) -> Column:
+def as_day(today: dt.date | Column) -> Column:
+    return F.lit(today) if isinstance(today, dt.date) else today
+
+
+def age_on(birth: Column, today: dt.date | Column) -> Column:
     """Whole years lived on ``today``; a 29 February birthday counts from 1 March in other years."""
-    month_day = F.month(birth) * 100 + F.dayofmonth(birth)
-    before_birthday = F.lit(today.month * 100 + today.day) < month_day
-    return F.lit(today.year) - F.year(birth) - before_birthday.cast("int")
+    day = as_day(today)
+    month_day = lambda c: F.month(c) * 100 + F.dayofmonth(c)
+    return F.year(day) - F.year(birth) - (month_day(day) < month_day(birth)).cast("int")
 
 
 def iso_utc(ts: Column) -> Column:

@@ -52,7 +52,7 @@ def url_rules() -> list[R.Rule]:
 
 def check_profiles(
     df: DataFrame,
-    today: dt.date,
+    today: dt.date | Column,
     *,
     country_codes: Sequence[str] | None = None,
     extra_rules: Sequence[R.Rule] = (),

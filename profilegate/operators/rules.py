@@ -73,7 +73,7 @@ def finish(df: DataFrame) -> DataFrame:
     return df.drop(*PARSED)
 
 
-def quality_rules(df: DataFrame, today: dt.date, country_codes: Sequence[str] | None = None) -> list[Rule]:
+def quality_rules(df: DataFrame, today: dt.date | Column, country_codes: Sequence[str] | None = None) -> list[Rule]:
     """The built-in rules in reporting order, for a frame that went through prepare()."""
     c = F.col
     codes = country_codes or S.iso_country_codes()
@@ -100,7 +100,7 @@ def quality_rules(df: DataFrame, today: dt.date, country_codes: Sequence[str] |
         Rule("implausible_age", ~age.between(S.MIN_AGE, S.MAX_AGE)),
         Rule("invalid_registered_at", c("registered_at").isNotNull() & c(REGISTERED).isNull()),
         Rule("registered_before_date_of_birth", c(REGISTERED) < c(BIRTH)),
-        Rule("registered_in_future", F.to_date(c(REGISTERED)) > F.lit(today)),
+        Rule("registered_in_future", F.to_date(c(REGISTERED)) > X.as_day(today)),
         Rule("invalid_latitude", c("latitude").isNotNull() & ~X.in_bounds(c(LATITUDE), -90.0, 90.0)),
         Rule("invalid_longitude", c("longitude").isNotNull() & ~X.in_bounds(c(LONGITUDE), -180.0, 180.0)),
         Rule("invalid_nationality", ~X.one_of("nationality", codes)),
@@ -168,7 +168,7 @@ def with_reasons(df: DataFrame, rules: Sequence[Rule], column: str = REASONS, ob
 
 def check_quality(
     df: DataFrame,
-    today: dt.date,
+    today: dt.date | Column,
     *,
     country_codes: Sequence[str] | None = None,
     extra_rules: Sequence[Rule] = (),
@@ -184,7 +184,7 @@ def is_valid(reasons: Column | str = REASONS) -> Column:
     return F.size(reasons) == 0
 
 
-def with_status(df: DataFrame, today: dt.date) -> DataFrame:
+def with_status(df: DataFrame, today: dt.date | Column) -> DataFrame:
     """Quality metadata next to the reasons: status, number of reasons and age."""
     return df.withColumns(
         {
@@ -200,7 +200,7 @@ def with_status(df: DataFrame, today: dt.date) -> DataFrame:
     )
 
 
-def enrich(df: DataFrame, today: dt.date, ingested_at: Column | None = None) -> DataFrame:
+def enrich(df: DataFrame, today: dt.date | Column, ingested_at: Column | None = None) -> DataFrame:
     """with_status() plus when the row was ingested, if known, and when it is being processed."""
     times = {"processed_at": F.current_timestamp()}
     if ingested_at is not None:

@@ -7,7 +7,8 @@ import re
 import tempfile
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 from profilegate import schemas as S
 
@@ -79,6 +80,11 @@ class JobOptions:
     def today(self) -> dt.date:
         return self.reference_date or dt.datetime.now(tz=dt.UTC).date()
 
+    @property
+    def today_column(self) -> Column:
+        """The pinned reference date, or the UTC date of each batch, which a long-running job needs."""
+        return F.current_date() if self.reference_date is None else F.lit(self.reference_date)
+
     @property
     def iso_codes(self) -> tuple[str, ...]:
         return self.country_codes or S.iso_country_codes()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +16,7 @@ from profilegate.operators import rules as R
 from profilegate.options import JobOptions
 
 
-def validate_log(log: DataFrame, options: JobOptions, today: dt.date | None = None) -> DataFrame:
+def validate_log(log: DataFrame, options: JobOptions) -> DataFrame:
     """Event-log records of the created topic to checked, typed profiles with all their reasons.
 
     Works on streams and tables alike and stays one narrow stage: unframe, parse once, contract,
@@ -34,7 +33,7 @@ def validate_log(log: DataFrame, options: JobOptions, today: dt.date | None = No
     )
     profiles = C.read_created(messages, "_parsed")
     checked = C.check_profiles(
-        profiles, today or options.today, country_codes=options.iso_codes, observe_as="quality"
+        profiles, options.today_column, country_codes=options.iso_codes, observe_as="quality"
     )
     return checked.withColumn(R.REASONS, merged_reasons(F.col("violations"), F.col(R.REASONS))).drop("violations", "_topic")
 
@@ -74,9 +73,11 @@ def start_route(log: DataFrame, options: JobOptions, checkpoint: str, *, path: s
     """Validate a log stream and publish every record to its topic.
 
     One query feeds both topics, so the source is read once. The file sink is exactly-once, the
-    Kafka sink at-least-once.
+    Kafka sink at-least-once. Event time and correlation headers travel along.
     """
-    routed = RT.route(validate_log(log, options), options, "timestamp")
+    checked = validate_log(log, options)
+    carry = [c for c in ("timestamp", "headers") if c in checked.columns]
+    routed = RT.route(checked, options, *carry)
     writer = routed.writeStream.queryName("route").option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "30 seconds"}))
     if path is None:
         return writer.format("kafka").options(**options.kafka_sink()).start()

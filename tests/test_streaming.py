@@ -175,3 +175,12 @@ def test_job_checks_the_configured_topic(spark, tmp_path, name):
     write_log(spark, str(tmp_path / "log"), [message(0, {})])
     checked = jobs.validate_log(spark.read.parquet(str(tmp_path / "log")), options)
     assert checked.first().rejection_reasons == []
+
+
+def test_a_running_job_moves_with_the_date(spark, tmp_path):
+    tomorrow = (dt.datetime.now(tz=dt.UTC) + dt.timedelta(days=1)).isoformat(timespec="seconds")
+    write_log(spark, str(tmp_path / "log"), [message(0, {"registered_at": tomorrow}), message(1, {})])
+    log = spark.read.parquet(str(tmp_path / "log")).withColumn("headers", RT.correlation_headers(F.lit("r"), F.lit("t")))
+    checked = jobs.validate_log(log, JobOptions(salt="x"))
+    assert [r.rejection_reasons for r in checked.orderBy("offset").collect()] == [["registered_in_future"], []]
+    assert "headers" in checked.columns
