@@ -30,7 +30,7 @@ from profilegate.streaming import jobs
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-ROUNDS = 3
+ROUNDS = 2
 
 
 def noop(df: DataFrame) -> None:
