@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilegate.llm import mixing
-from profilegate.llm.tables import Work, read
+from profilegate.llm import langid, mixing
+from profilegate.llm.tables import Work, held_out, read
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +17,18 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of those with a label."""
+    work, docs = Work(spark), read(spark, sf_dir, "documents")
+    out_of_fold = held_out(F.col("doc_id"), 3, 1)
+    model = langid.fit(work, docs.filter(~out_of_fold))
+    out = docs.select("doc_id", out_of_fold.alias("held_out"), langid.label(work, model, F.col("text")).alias("language"))
+    return out.select("doc_id", "held_out", "language.lang_pred", "language.score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_source_mixing": op5_source_mixing,
+    "op10_language_id": op10_language_id,
 }
 
 
