@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilegate.llm import langid, mixing
+from profilegate.llm import langid, mixing, toxicity
 from profilegate.llm.tables import Work, held_out, read
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from four fifths of the labelled ones."""
+    work, docs, labels = Work(spark), read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    out_of_fold = held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(work, docs, labels.filter(~out_of_fold))
+    out = docs.select("doc_id", out_of_fold.alias("held_out"), toxicity.toxicity(work, model, F.col("text")).alias("t"))
+    score = F.col("t.score")
+    return out.select("doc_id", "held_out", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document adds to the mix, with its source's size and target."""
     out = mixing.mix_sizes(Work(spark), read(spark, sf_dir, "documents"))
@@ -27,6 +37,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op5_source_mixing": op5_source_mixing,
     "op10_language_id": op10_language_id,
 }
