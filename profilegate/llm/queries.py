@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilegate.llm import langid, mixing, toxicity
+from profilegate.llm import langid, mixing, packing, toxicity
 from profilegate.llm.tables import Work, held_out, read
 
 
@@ -27,6 +27,11 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in sequences of 2048 tokens."""
+    return packing.pack_documents(Work(spark), read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of those with a label."""
     work, docs = Work(spark), read(spark, sf_dir, "documents")
@@ -39,6 +44,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_source_mixing": op5_source_mixing,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op10_language_id": op10_language_id,
 }
 
