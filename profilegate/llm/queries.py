@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilegate.llm import langid, mixing, packing, toxicity
+from profilegate.llm import dedup, langid, mixing, packing, toxicity
 from profilegate.llm.tables import Work, held_out, read
 
 
@@ -32,6 +32,12 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(Work(spark), read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document that stays for each one, among those whose texts are equal without white space."""
+    out = dedup.exact_duplicates(Work(spark), read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.withColumnRenamed("digest", "text_sha256")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of those with a label."""
     work, docs = Work(spark), read(spark, sf_dir, "documents")
@@ -45,9 +51,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_source_mixing": op5_source_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
 }
 
 
 def statements() -> dict[str, str]:
-    return {"op5_source_mixing": mixing.oracle()}
+    return {"op5_source_mixing": mixing.oracle(), "op9_exact_dedup": dedup.ORACLE_SQL}
