@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilegate.llm import dedup, langid, mixing, packing, toxicity
+from profilegate.llm import dedup, langid, mixing, neardup, packing, toxicity
 from profilegate.llm.tables import Work, held_out, read
 
 
@@ -27,6 +27,11 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 80 % of four-word shingles."""
+    return neardup.near_duplicates(Work(spark), read(spark, sf_dir, "documents"), words=4)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document lies in sequences of 2048 tokens."""
     return packing.pack_documents(Work(spark), read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -50,6 +55,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_source_mixing": op5_source_mixing,
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
