@@ -5,12 +5,10 @@
    the ``BANDS`` bands of ``ROWS`` coordinates with probability (1 - 0.8^6)^36, about 2 in 100,000.
 3. In each bucket, every node is compared with one leader, the node that shares buckets with most others, on full sets.
    That takes one comparison per bucket and node, and components follow from the links.
-4. Buckets that still hold several components compare the rest: nodes of different components in one bucket, unless it
-   is certain that they are no link. The certainty is exact: a node shares at most c shingles with the others, c being
-   those of its shingles that occur in another set of these buckets, so two nodes with n and m shingles can only be
-   linked if 0.8 (n + m) <= 1.8 min(c, c'). Copies with many words of their own drop out by this without a comparison.
+4. In buckets that still hold several components, every two nodes of different components are compared, block against
+   block inside tasks; only links leave them.
 
-Nothing is capped: a bucket of any size is only ever joined by its key, and all pairs of a group of copies are never made.
+Nothing is capped and no table of pairs is made: rows grow with a bucket's size, times its number of blocks in step 4.
 """
 
 from __future__ import annotations
@@ -30,6 +28,9 @@ WORDS = 5
 PERCENT = 80
 ROWS = 6
 BANDS = 36
+BLOCK = 256
+BLOCK_SHINGLES = 1 << 20
+COLUMNS = 4096
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
@@ -77,32 +78,68 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(f"100 * common >= {percent} * (size(a_set) + size(b_set) - common)").select("a", "b")
 
 
-def own_shingles(sets: DataFrame) -> DataFrame:
-    """For each node, how many of its shingles occur in no other set."""
-
-    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[np.ndarray, int]] = []
-
-        def summed() -> pd.DataFrame:
-            shingle = np.concatenate([x for x, _ in held])
-            node = np.repeat(np.array([k for _, k in held], np.int64), [len(x) for x, _ in held])
-            value, first, count = np.unique(shingle, return_index=True, return_counts=True)
-            return pd.DataFrame({"shingle": value, "times": count, "node": node[first]})
-
-        n = 0
-        for batch in batches:
-            for node, found in zip(batch["node"].tolist(), batch["shingles"], strict=True):
-                held.append((np.asarray(found, np.int64), node))
-                n += len(found)
-                if n > 2_000_000:
-                    yield summed()
-                    held, n = [], 0
-        if held:
-            yield summed()
-
-    counted = sets.select("node", "shingles").mapInPandas(tally, "shingle long, times long, node long")
-    alone = counted.groupBy("shingle").agg(F.sum("times").alias("times"), F.min("node").alias("node")).filter("times = 1")
-    return alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+def block_links(group: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links between rows of the first and the second block that join different labels, as few as connect them."""
+    one, two = (group[group["side"].isin((k, 2))] for k in (0, 1))
+    value, column = np.unique(np.concatenate(group["shingles"].to_list()), return_inverse=True)
+    ends = np.cumsum(group["shingles"].map(len).to_numpy())
+    column = {row: np.sort(part) for row, part in zip(group.index, np.split(column, ends[:-1]), strict=True)}
+    common = np.zeros((len(one), len(two)), np.float32)
+    for start in range(0, len(value), COLUMNS):
+        sides = []
+        for side in (one, two):
+            table = np.zeros((len(side), COLUMNS), np.float32)
+            for i, row in enumerate(side.index):
+                own = column[row]
+                table[i, own[np.searchsorted(own, start) : np.searchsorted(own, start + COLUMNS)] - start] = 1
+            sides.append(table)
+        common += sides[0] @ sides[1].T
+    total = one["n"].to_numpy()[:, None] + two["n"].to_numpy()[None, :]
+    apart = one["label"].to_numpy()[:, None] != two["label"].to_numpy()[None, :]
+    found = np.argwhere(apart & (100 * common.astype(np.int64) >= percent * (total - common.astype(np.int64))))
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    label_one, label_two = one["label"].tolist(), two["label"].tolist()
+    node_one, node_two = one["node"].tolist(), two["node"].tolist()
+    for i, j in found.tolist():
+        x, y = root(label_one[i]), root(label_two[j])
+        if x != y:
+            parent[x] = y
+            out.append((node_one[i], node_two[j]))
+    return out
+
+
+def rest_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across the labels of each bucket of ``rest`` (bucket, node, n, label).
+
+    A bucket is cut into blocks of about ``BLOCK`` rows and ``BLOCK_SHINGLES`` shingles, and every pair of blocks is a
+    group of its own, so a task holds two blocks however large the bucket is.
+    """
+    size = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("words"))
+    blocks = F.greatest(F.ceil(F.col("held") / BLOCK), F.ceil(F.col("words") / BLOCK_SHINGLES)).cast("int")
+    rows = rest.join(size.select("bucket", blocks.alias("blocks")), "bucket")
+    rows = rows.withColumn("own", F.pmod(F.hash("node"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(
+        "bucket",
+        "node",
+        "n",
+        "label",
+        F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"),
+        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
+    ).join(sets, "node")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(block_links(group.reset_index(drop=True), percent), columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def near_links(work: Work, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -127,20 +164,7 @@ def near_links(work: Work, docs: DataFrame, nodes: DataFrame, words: int, percen
     labelled = labelled.select("bucket", "node", "n", F.coalesce("label", "node").alias("label"))
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
     rest = work.land(labelled.join(mixed.select("bucket"), "bucket"), "rest")
-    own = own_shingles(sets.join(rest.select("node").distinct(), "node", "left_semi")).withColumnRenamed("node", "of")
-    rest = rest.join(own, F.col("node") == F.col("of"), "left").withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
-    rest = work.land(rest.filter(f"100 * shared >= {percent} * n").select("bucket", "node", "n", "label", "shared"), "open")
-    other = rest.select(F.col("bucket").alias("bucket_b"), *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "label", "shared")))
-    pairs = rest.join(
-        other,
-        F.expr(
-            "bucket = bucket_b AND node < node_b AND label != label_b AND "
-            + comparable("n", "n_b", percent)
-            + f" AND {percent} * (n + n_b) <= {100 + percent} * least(shared, shared_b)"
-        ),
-    )
-    pairs = pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    second = work.land(links(work.land(pairs, "pairs"), sets, percent), "rest-links")
+    second = work.land(rest_links(rest, sets, percent), "rest-links")
     return first.union(second)
 
 
