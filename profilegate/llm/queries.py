@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilegate.llm import dedup, langid, mixing, neardup, packing, toxicity
+from profilegate.llm import dedup, langid, maxscore, mixing, neardup, packing, toxicity
 from profilegate.llm.tables import Work, held_out, read
 
 
@@ -21,6 +21,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors for every fiftieth one, among all."""
+    work = Work(spark)
+    vectors = work.land(maxscore.quantised(read(spark, sf_dir, "embeddings")), "vectors")
+    return maxscore.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document adds to the mix, with its source's size and target."""
     out = mixing.mix_sizes(Work(spark), read(spark, sf_dir, "documents"))
@@ -54,6 +61,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
+    "op4_exact_topk": op4_exact_topk,
     "op5_source_mixing": op5_source_mixing,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
@@ -63,4 +71,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def statements() -> dict[str, str]:
-    return {"op5_source_mixing": mixing.oracle(), "op9_exact_dedup": dedup.ORACLE_SQL}
+    return {
+        "op4_exact_topk": maxscore.ORACLE_SQL,
+        "op5_source_mixing": mixing.oracle(),
+        "op9_exact_dedup": dedup.ORACLE_SQL,
+    }
