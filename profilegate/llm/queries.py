@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilegate.llm import dedup, langid, maxscore, mixing, neardup, packing, toxicity
+from profilegate.llm import dedup, html, langid, maxscore, mixing, neardup, packing, toxicity
 from profilegate.llm.tables import Work, held_out, read
 
 
@@ -39,6 +39,13 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(Work(spark), read(spark, sf_dir, "documents"), words=4)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, sf_dir, "pages")
+    out = pages.select("page_id", "url", html.extract(F.col("html")).alias("main"))
+    return out.select("page_id", "url", "main.text", F.length("main.text").cast("long").alias("n_chars"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document lies in sequences of 2048 tokens."""
     return packing.pack_documents(Work(spark), read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -64,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_topk": op4_exact_topk,
     "op5_source_mixing": op5_source_mixing,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language_id": op10_language_id,
