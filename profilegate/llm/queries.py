@@ -7,10 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilegate.llm import dedup, html, langid, maxscore, mixing, neardup, packing, toxicity
+from profilegate.llm import dedup, html, langid, linededup, maxscore, mixing, neardup, packing, tokencount, toxicity
 from profilegate.llm.tables import Work, held_out, read
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line chunks that occur before it."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.without_repeated_lines(Work(spark), docs).select("doc_id", "removed_lines", "text")
+
+
+PERSONAL = r"[^\s@]+@[^\s@]+|\+?[0-9][0-9 ().-]{6,}[0-9]"
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after addresses and long numbers are blotted out, by edits of its tree."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.col("text")
+    rows = docs.select("doc_id", tokencount.counted(text, tokencount.indexed(text), tokencount.find_edits(text, PERSONAL, "***")).alias("c"))
+    return rows.select(
+        "doc_id",
+        F.size("c.tree.chars").alias("segments"),
+        F.col("c.before").alias("tokens_before"),
+        F.col("c.edits").alias("edits"),
+        F.col("c.encoded_chars").alias("encoded_chars"),
+        F.col("c.after").alias("tokens_after"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from four fifths of the labelled ones."""
     work, docs, labels = Work(spark), read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -67,6 +91,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_exact_topk": op4_exact_topk,
     "op5_source_mixing": op5_source_mixing,
@@ -80,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def statements() -> dict[str, str]:
     return {
+        "op1_line_dedup": linededup.ORACLE_SQL,
         "op4_exact_topk": maxscore.ORACLE_SQL,
         "op5_source_mixing": mixing.oracle(),
         "op9_exact_dedup": dedup.ORACLE_SQL,
