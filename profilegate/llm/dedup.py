@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilegate.llm import fuse
-from profilegate.llm.tables import Work, rows_of, without_spaces
+from profilegate.llm.tables import Work, fresh, rows_of, without_spaces
 
 KEYS_PER_FILTER = 20_000
 LEAST_BUCKETS = 64
@@ -164,12 +164,14 @@ def exact_duplicates(work: Work, docs: DataFrame, digest=sha256) -> DataFrame:
 def without_duplicates(work: Work, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns; of rows repeating doc_id and text, one."""
     rows, groups = exact_groups(work, docs.select("doc_id", "text"))
-    stay = groups.select(F.col("doc_id").alias("stay_id"), F.col("key").alias("stay_key"))
-    repeated = rows.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty() is False
+    stay = groups.select(F.col("key").alias("group_key"), F.col("doc_id").alias("stay_id"))
+    gone = rows.join(stay, F.col("key") == F.col("group_key")).filter("NOT doc_id <=> stay_id")
+    gone_id, gone_key = fresh(docs, "gone_id", "gone_key")
+    gone = work.land(gone.select(F.col("doc_id").alias(gone_id), F.col("key").alias(gone_key)).distinct(), "gone")
     key = sha256(normalised(F.col("text")))
-    out = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("stay_id")) & F.col("stay_key").startswith(key), "left_semi")
-    if repeated:
-        out = out.withColumn("stay_key", key).dropDuplicates(["doc_id", "stay_key"]).drop("stay_key")
+    out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(gone_id)) & F.col(gone_key).startswith(key), "left_anti")
+    if not rows.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        out = out.withColumn(gone_key, key).dropDuplicates(["doc_id", gone_key]).drop(gone_key)
     return out
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilegate.llm import fuse
-from profilegate.llm.tables import Work, rows_of
+from profilegate.llm.tables import Work, fresh, rows_of
 
 MODULUS = 3
 FACTOR = 31
@@ -134,11 +134,14 @@ def removals(work: Work, docs: DataFrame) -> DataFrame:
 def without_repeated_lines(work: Work, docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated chunks cut out of text, and the number of ``removed_lines``.
 
-    ``docs`` has doc_id and text; other columns stay. Null texts stay null and empty ones empty, with nothing removed;
+    ``docs`` has doc_id and text; other columns stay, but for one called removed_lines. Null texts stay null and empty ones empty, with nothing removed;
     a text whose chunks all repeat earlier ones becomes empty. Chunks of white space alone are left. A null doc_id comes
     last in order; rows that repeat a doc_id keep their chunks like one document, so copies under one id all stay.
     """
-    gone = work.land(removals(work, docs.select("doc_id", "text")), "removals").withColumnRenamed("doc_id", "gone_id")
+    plain = docs.drop("removed_lines")
+    gone_id, gone, result = fresh(plain, "gone_id", "gone", "cut")
+    marked = work.land(removals(work, docs.select("doc_id", "text")), "removals")
+    marked = marked.select(F.col("doc_id").alias(gone_id), F.col("gone").alias(gone))
 
     @F.pandas_udf("text string, removed_lines long")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -157,9 +160,9 @@ def without_repeated_lines(work: Work, docs: DataFrame) -> DataFrame:
         for texts, marks in batches:
             yield pd.DataFrame([one(t, m) for t, m in zip(texts.tolist(), marks.tolist(), strict=True)], columns=["text", "removed_lines"])
 
-    plain = docs.drop("removed_lines", "gone", "gone_id", "cut")
-    out = plain.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").withColumn("cut", cut("text", "gone"))
-    return out.select(*[F.col("cut.text").alias(c) if c == "text" else F.col(c) for c in plain.columns], F.col("cut.removed_lines").alias("removed_lines"))
+    out = plain.join(marked, F.col("doc_id").eqNullSafe(F.col(gone_id)), "left").withColumn(result, cut("text", gone))
+    columns = [F.col(result)["text"].alias(c) if c == "text" else F.col(f"`{c}`") for c in plain.columns]
+    return out.select(*columns, F.col(result)["removed_lines"].alias("removed_lines"))
 
 
 ORACLE_SQL = """

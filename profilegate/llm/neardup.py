@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from profilegate.llm.components import components
 from profilegate.llm.shingles import bands, set_key, shingle_set, signature
-from profilegate.llm.tables import Work
+from profilegate.llm.tables import Work, fresh
 
 WORDS = 5
 PERCENT = 80
@@ -195,3 +195,10 @@ def near_duplicates(work: Work, docs: DataFrame, words: int = WORDS, percent: in
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
+
+
+def without_near_duplicates(work: Work, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` whose document is the least of its component, with their columns."""
+    (gone_id,) = fresh(docs, "gone_id")
+    gone = near_duplicates(work, docs, words, percent).filter("NOT kept").select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(work.land(gone, "gone"), F.col("doc_id") == F.col(gone_id), "left_anti")

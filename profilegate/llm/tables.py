@@ -62,3 +62,14 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 def rows_of(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores after it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
