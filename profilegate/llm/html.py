@@ -217,7 +217,7 @@ def score(block: Block, text: str) -> int:
     linked = min(1.0, block.linked / max(1, sum(map(len, block.parts))))
     kind = block.element.kind
     value = 4.0 if kind == 1 else -9.0 if kind < 0 else 0.0
-    value += min(len(text), 240) / 80 - 4.0 * linked - 1.0
+    value += min(len(text), 240) / 80 - 4.0 * linked - 0.4
     tag = block.element.tag
     if tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"):
         value += 1.0
