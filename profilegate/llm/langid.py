@@ -51,10 +51,11 @@ def features(texts: list[str | None]) -> Iterator[np.ndarray]:
         yield TRIGRAMS + tables()[2][w.letters].astype(np.int64)
 
 
-def sample(docs: DataFrame, per_language: int) -> DataFrame:
+def sample(work: Work, docs: DataFrame, per_language: int) -> DataFrame:
     """About ``per_language`` documents of each language as class and text, the same ones on every run."""
     known = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", F.col("lang").alias("class"))
     totals = known.groupBy("class").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("class", "of")
+    totals = work.land(totals, "languages")  # one row per language, so Spark knows that it is small
     u = F.conv(F.substring(F.md5(F.concat(F.lit("language:"), id_text(F.col("doc_id"))).cast("binary")), 1, 8), 16, 10)
     known = known.join(totals, F.col("class") == F.col("of"))
     return known.filter(u.cast("double") * F.col("n") < F.lit(float(2**32)) * per_language).select("class", "text")
@@ -62,7 +63,7 @@ def sample(docs: DataFrame, per_language: int) -> DataFrame:
 
 def fit(work: Work, docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """``docs`` has doc_id, text and lang; rows without text or language teach nothing."""
-    counts = count_features(work.land(sample(docs, per_language), "language-sample"), features, BUCKETS)
+    counts = count_features(work.land(sample(work, docs, per_language), "language-sample"), features, BUCKETS)
     languages = list(counts)
     if not languages:
         return Model([], np.zeros((TRIGRAMS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool), np.zeros(0))
