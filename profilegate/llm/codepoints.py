@@ -52,11 +52,10 @@ PIECE = 1 << 19
 @functools.cache
 def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By code point: whether it is a letter, its lower case (where that is one code point), its script."""
-    chars = [chr(i) for i in range(POINTS)]
-    letter = np.fromiter((c.isalpha() for c in chars), bool, POINTS)
+    letter = np.fromiter((chr(i).isalpha() for i in range(POINTS)), bool, POINTS)
     lower = np.arange(POINTS, dtype=np.uint32)
-    for i in np.flatnonzero(np.fromiter((c.isupper() for c in chars), bool, POINTS)):
-        small = chars[i].lower()
+    for i in np.flatnonzero(np.fromiter((chr(i).isupper() for i in range(POINTS)), bool, POINTS)).tolist():
+        small = chr(i).lower()
         lower[i] = ord(small) if len(small) == 1 else i
     script = np.zeros(POINTS, np.uint8)
     for name, first, last in SCRIPT_RANGES:

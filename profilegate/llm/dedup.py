@@ -7,26 +7,21 @@ row shares a digest, so a group is a group of equal texts even if digests collid
 
 Bytes are compared without gathering a group: each task keeps the least and the greatest text it sees of a digest, and
 a digest whose least and greatest texts differ stands for several. Rows that can't belong to a group are left out of
-this by a second filter over the shared digests, as long as that takes at most ``MOST_FILTER_BYTES``; beyond that all
-rows are compared.
+this by a second set of filters over the shared digests, unless that is too large to send to every task; then all rows
+are compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilegate.llm import fuse
-from profilegate.llm.tables import Work, fresh, rows_of, without_spaces
+from profilegate.llm.screening import bucket_count, filter_table, screened
+from profilegate.llm.tables import Work, fresh, without_spaces
 
-KEYS_PER_FILTER = 20_000
-LEAST_BUCKETS = 64
-MOST_FILTER_BYTES = 32 << 20
-_FILTERS = "bucket int, filter binary"
 _SCREENED = "key string, n_points long, doc_id long, size long, hit boolean"
 
 
@@ -49,7 +44,7 @@ def _short(key: Column) -> Column:
 
 
 def _bucket(buckets: int) -> Column:
-    return F.pmod(F.hash("key"), F.lit(buckets))
+    return F.pmod(F.hash(_short(F.col("key"))), F.lit(buckets))
 
 
 def grouped(rows: DataFrame) -> DataFrame:
@@ -59,15 +54,6 @@ def grouped(rows: DataFrame) -> DataFrame:
     return out.select("key", (-F.col("best.less")).alias("n_points"), F.col("best.doc_id").alias("doc_id"), "size")
 
 
-def filters(keys: DataFrame, buckets: int) -> DataFrame:
-    """A binary-fuse filter for each bucket of ``keys``."""
-
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"bucket": group["bucket"][:1], "filter": [fuse.build(group["short"].to_numpy())]})
-
-    return keys.select(_bucket(buckets).alias("bucket"), _short(F.col("key")).alias("short")).groupBy("bucket").applyInPandas(one, _FILTERS)
-
-
 def screen(incoming: DataFrame, snapshot_filters: DataFrame, buckets: int) -> DataFrame:
     """Adds ``hit``: whether a key may be in the snapshot. A bucket without filter has no hits."""
 
@@ -83,33 +69,20 @@ def screen(incoming: DataFrame, snapshot_filters: DataFrame, buckets: int) -> Da
 
 def merge(work: Work, snapshot: DataFrame, batch: DataFrame, buckets: int) -> DataFrame:
     """Groups over a snapshot's rows and a batch's, both grouped: screened, then joined exactly where positive."""
-    screened = work.land(screen(batch, filters(snapshot, buckets), buckets), "screened")
-    positive = screened.filter("hit").drop("hit")
+    built = filter_table(snapshot.select(_short(F.col("key")).alias("key")), buckets)
+    probed = work.land(screen(batch, built, buckets), "screened")
+    positive = probed.filter("hit").drop("hit")
     old = snapshot.join(positive.select("key"), "key", "left_semi")
     both = grouped(old.unionByName(positive))
     untouched = snapshot.join(positive.select("key"), "key", "left_anti")
-    return both.unionByName(untouched).unionByName(screened.filter("NOT hit").drop("hit"))
+    return both.unionByName(untouched).unionByName(probed.filter("NOT hit").drop("hit"))
 
 
-def clashing(work: Work, docs: DataFrame, groups: DataFrame, buckets: int, digest=sha256) -> DataFrame:
+def clashing(work: Work, docs: DataFrame, groups: DataFrame, digest=sha256) -> DataFrame:
     """Keys that stand for more than one text."""
-    shared = groups.filter("size > 1")
+    shared = groups.filter("size > 1").select(_short(F.col("key")).alias("key"))
     rows = docs.select(normalised(F.col("text")).alias("norm")).withColumn("key", digest(F.col("norm")))
-    built = work.land(filters(shared, buckets), "shared-filters")
-    if (built.agg(F.sum(F.length("filter"))).first()[0] or 0) <= MOST_FILTER_BYTES:
-        table = work.spark.sparkContext.broadcast({r["bucket"]: bytes(r["filter"]) for r in built.collect()})
-
-        @F.pandas_udf("boolean")
-        def maybe(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            for bucket, short in batches:
-                hit = np.zeros(len(short), bool)
-                keys = short.to_numpy()
-                for b, where in bucket.groupby(bucket).indices.items():
-                    if b in table.value:
-                        hit[where] = fuse.probe(table.value[b], keys[where])
-                yield pd.Series(hit)
-
-        rows = rows.filter(maybe(_bucket(buckets), _short(F.col("key"))))
+    rows = screened(work, rows, _short(F.col("key")), shared)
     ends = rows.groupBy("key").agg(F.min("norm").alias("least"), F.max("norm").alias("greatest"))
     return ends.filter("least != greatest").select("key")
 
@@ -124,9 +97,9 @@ def exact_groups(work: Work, docs: DataFrame, digest=sha256) -> tuple[DataFrame,
     one = rows.withColumn("size", F.lit(1).cast("long"))
     snapshot = work.land(grouped(one.filter(half)), "snapshot")
     batch = work.land(grouped(one.filter(~half)), "batch")
-    buckets = max(LEAST_BUCKETS, -(-rows_of(snapshot) // KEYS_PER_FILTER))
+    buckets = bucket_count(snapshot)
     groups = work.land(merge(work, snapshot, batch, buckets), "groups")
-    clashes = work.land(clashing(work, docs, groups, buckets, digest), "clashes")
+    clashes = work.land(clashing(work, docs, groups, digest), "clashes")
     if not clashes.isEmpty():
         rows = work.land(_with_bytes(docs, clashes, digest), "exact-digests")
         groups = work.land(grouped(rows.withColumn("size", F.lit(1).cast("long"))), "exact-groups")

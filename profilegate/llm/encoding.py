@@ -8,6 +8,7 @@ matching cheaper and changes no id. Texts that spell out a special token are lef
 from __future__ import annotations
 
 import base64
+import functools
 import re
 from typing import NamedTuple
 
@@ -39,16 +40,22 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         plain = vocabulary.pattern.replace(r"\s+(?!\S)|\s+", r"\s")
         self.vocabulary = vocabulary
-        self.exact = tiktoken.Encoding("exact", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
         self.plain = tiktoken.Encoding("plain", pat_str=plain, mergeable_ranks=ranks, special_tokens={})
-        self.tokenizer = None
+
+    @functools.cached_property
+    def exact(self):
+        import tiktoken
+
+        return tiktoken.Encoding("exact", pat_str=self.vocabulary.pattern, mergeable_ranks=self.plain._mergeable_ranks, special_tokens={})
+
+    @functools.cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.vocabulary.tokenizer)
 
     def ids(self, text: str) -> list[int]:
         if any(x in text for x in self.vocabulary.special):
-            if self.tokenizer is None:
-                from tokenizers import Tokenizer
-
-                self.tokenizer = Tokenizer.from_file(self.vocabulary.tokenizer)
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         return (self.exact if _RUN.search(text) else self.plain).encode_ordinary(text)
 

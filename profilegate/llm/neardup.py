@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from profilegate.llm.components import components
+from profilegate.llm.screening import screened
 from profilegate.llm.shingles import bands, set_key, shingle_set, signature
 from profilegate.llm.tables import Work, fresh
 
@@ -51,18 +52,20 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", signed("text").alias("s")).select("doc_id", "s.n", "s.set_key", "s.bands")
 
 
-def shingles_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+def shingles_of(work: Work, docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """node and its sorted set, for the texts of ``nodes`` (node, set_key)."""
 
-    @F.pandas_udf("found_key string, shingles array<long>")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingle_set(x, words) for x in batch.tolist()]
-            yield pd.DataFrame({"found_key": [set_key(x) for x in sets], "shingles": [x.view(np.int64) for x in sets]})
+    @F.pandas_udf("array<long>")
+    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, keys in batches:
+            sets = (shingle_set(x, words) for x in texts.tolist())
+            yield pd.Series([x.view(np.int64) if set_key(x) == key else None for x, key in zip(sets, keys.tolist(), strict=True)])
 
-    texts = docs.select("doc_id", "text").join(nodes, F.col("doc_id") == F.col("node"))
-    sets = texts.select("node", "set_key", found("text").alias("f")).filter("f.found_key = set_key")
-    return sets.groupBy("node", "set_key").agg(F.first("f.shingles").alias("shingles")).select("node", "shingles")
+    texts = screened(work, docs.select("doc_id", "text"), F.col("doc_id"), nodes.select(F.col("node").alias("key")))
+    texts = texts.join(nodes, F.col("doc_id") == F.col("node"))
+    # Both sides go into the function, so it runs on joined rows only.
+    sets = texts.select("node", "set_key", found("text", "set_key").alias("shingles")).filter("shingles IS NOT NULL")
+    return sets.groupBy("node", "set_key").agg(F.first("shingles").alias("shingles")).select("node", "shingles")
 
 
 def comparable(n: str, m: str, percent: int) -> str:
@@ -155,7 +158,7 @@ def near_links(work: Work, docs: DataFrame, nodes: DataFrame, words: int, percen
     stars = work.land(stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "stars")
 
     used = work.land(members.select("node").distinct().join(nodes.select("node", "set_key"), "node"), "used")
-    sets = work.land(shingles_of(docs, used, words), "sets")
+    sets = work.land(shingles_of(work, docs, used, words), "sets")
     first = work.land(links(stars, sets, percent), "star-links")
     linked = components(work, first)
 

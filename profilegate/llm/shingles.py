@@ -9,7 +9,7 @@ import numpy as np
 
 from profilegate.llm.codepoints import mix64
 
-PIECE = 1 << 20
+PIECE = 1 << 16
 UNIVERSE = 1 << 20
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -81,8 +81,10 @@ def set_key(shingles: np.ndarray) -> str:
 @functools.cache
 def _second_permutation(coordinates: int) -> np.ndarray:
     """Every window of ``coordinates`` neighbours of one fixed permutation of the universe, wrapping around."""
-    order = np.argsort(mix64(np.arange(UNIVERSE, dtype=np.uint64) + np.uint64(12345)), kind="stable").astype(np.uint32)
-    return np.lib.stride_tricks.sliding_window_view(np.concatenate([order, order[:coordinates]]), coordinates)
+    ring = np.empty(UNIVERSE + coordinates, np.uint32)
+    ring[:UNIVERSE] = np.argsort((mix64(np.arange(UNIVERSE, dtype=np.uint32)) >> np.uint64(32)).astype(np.uint32), kind="stable")
+    ring[UNIVERSE:] = ring[:coordinates]
+    return np.lib.stride_tricks.sliding_window_view(ring, coordinates)
 
 
 def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
@@ -94,8 +96,8 @@ def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
     windows = _second_permutation(coordinates)
     places = (shingles * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
     out = np.full(coordinates, UNIVERSE, np.uint32)
-    for at in range(0, len(places), 2048):
-        np.minimum(out, windows[places[at : at + 2048]].min(axis=0), out=out)
+    for at in range(0, len(places), 512):
+        np.minimum(out, windows[places[at : at + 512]].min(axis=0), out=out)
     return out
 
 

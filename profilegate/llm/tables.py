@@ -9,6 +9,8 @@ from profilegate.options import shared_folder
 
 # The characters [\x20\x09-\x0D], which separate words.
 SPACES = " \t\n\x0b\x0c\r"
+MOST_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -17,12 +19,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Work:
-    """A fresh folder under ``spark.checkpoint.dir``; what is landed there survives lost executors."""
+    """A fresh folder under ``spark.checkpoint.dir``; what is landed there survives lost executors.
+
+    Whole texts go through Python, so the session's Arrow batches are held to ``MOST_ROWS`` rows; the default lets a
+    task hold many more than it needs, several times over.
+    """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.folder = shared_folder(spark)
         self.count = 0
+        if int(spark.conf.get(_BATCH)) > MOST_ROWS:
+            spark.conf.set(_BATCH, str(MOST_ROWS))
 
     def land(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Write a table and read it again, which cuts the lineage and fixes the row values."""
