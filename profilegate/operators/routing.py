@@ -46,7 +46,7 @@ def unframe(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def route(checked: DataFrame, options: JobOptions, *carry: str) -> DataFrame:
-    """Every checked row as exactly one keyed record for the created or the invalid topic.
+    """Every checked row as exactly one keyed record for the valid or the invalid topic.
 
     Both sides come out of one pass, with the topic in the row: a Kafka sink reads it there, a file
     sink partitions by it. Valid events are keyed on the user id, invalid ones on its pseudonym.
@@ -61,7 +61,7 @@ def route(checked: DataFrame, options: JobOptions, *carry: str) -> DataFrame:
         F.when(valid, frame(created_json(), options.created_schema_id))
         .otherwise(frame(invalid_json_event(user), options.invalid_schema_id))
         .alias("value"),
-        F.when(valid, F.lit(options.created_topic)).otherwise(F.lit(options.invalid_topic)).alias("topic"),
+        F.when(valid, F.lit(options.valid_topic)).otherwise(F.lit(options.invalid_topic)).alias("topic"),
     )
 
 

@@ -33,8 +33,6 @@ SESSION_SETTINGS = {
     # The JVM never compiles methods above 8000 bytes. A stage with the whole rule set would be one;
     # with this limit Spark falls back to its split projections, which do get compiled.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # A re-run of a batch replaces only the partitions it writes.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -47,6 +45,7 @@ def check_topic(name: str) -> str:
 @dataclass(frozen=True)
 class JobOptions:
     created_topic: str = S.CREATED_TOPIC
+    valid_topic: str = S.VALID_TOPIC
     invalid_topic: str = S.INVALID_TOPIC
     created_schema_id: int = 1
     invalid_schema_id: int = 2
@@ -62,10 +61,9 @@ class JobOptions:
     country_codes: tuple[str, ...] | None = None
 
     def __post_init__(self) -> None:
-        check_topic(self.created_topic)
-        check_topic(self.invalid_topic)
-        if self.created_topic == self.invalid_topic:
-            raise ValueError("valid and invalid events need different topics")
+        topics = {check_topic(x) for x in (self.created_topic, self.valid_topic, self.invalid_topic)}
+        if len(topics) < 3:
+            raise ValueError("the topic that is read and those of valid and invalid events must be three")
         for name in ("salt", "sasl_username", "sasl_password"):
             if getattr(self, name) == "":
                 object.__setattr__(self, name, None)
@@ -108,7 +106,11 @@ class JobOptions:
     def kafka_source(self, topics: tuple[str, ...] | None = None, starting: str = "earliest") -> dict[str, str]:
         """Options for ``readStream.format("kafka")``."""
         out = self._kafka_connection()
-        out |= {"subscribe": ",".join(topics or (self.created_topic,)), "startingOffsets": starting}
+        topics = topics or (self.created_topic,)
+        if {self.valid_topic, self.invalid_topic} & set(topics):
+            raise ValueError("a topic this job writes to must not be read by it")
+        # Correlation ids travel in the headers, which are left out by default.
+        out |= {"subscribe": ",".join(topics), "startingOffsets": starting, "includeHeaders": "true"}
         if self.max_offsets_per_trigger is not None:
             out["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
         return out

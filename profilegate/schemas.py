@@ -19,6 +19,8 @@ USER_PROFILE_INVALID_TYPE = "UserProfileInvalid"
 DEMO_SOURCE = "random_user"
 CREATED_TOPIC = "users_created"
 INVALID_TOPIC = "users_created_invalid"
+# Where this job publishes what it found valid; it must not be a topic the job reads.
+VALID_TOPIC = "users_valid"
 PSEUDONYM_PREFIX = "sha256:"
 
 MIN_AGE = 13

@@ -38,7 +38,7 @@ def test_pseudonyms_need_a_salt_and_an_id(spark):
 
 
 def test_invalid_events_carry_nothing_personal(spark):
-    people = frame(spark, [{}, {"username": ""}, {"country_code": None, "country": "Atlantis", "street_name": "\x01"}])
+    people = frame(spark, [{}, {"username": ""}, {"country_code": None, "country": "Ruritania", "street_name": "\x01"}])
     events = rejects.invalid_events(C.check_profiles(people, TODAY), "pepper")
     assert events.dtypes == [(f.name, f.dataType.simpleString()) for f in S.USER_PROFILE_INVALID_SCHEMA]
     assert events.schema["rejection_reasons"].dataType.containsNull is False
@@ -57,7 +57,7 @@ def test_every_row_is_routed_once_and_reads_back(spark):
     people = frame(spark, [{}, {"username": ""}, {"source_user_id": None}, {"registered_at": "2023-03-04T05:06:07.120000Z"}])
     checked = C.check_profiles(people, TODAY)
     back = RT.unframe(RT.route(checked, OPTIONS, "case")).orderBy("case").collect()
-    assert [r.topic for r in back] == [S.CREATED_TOPIC, S.INVALID_TOPIC, S.INVALID_TOPIC, S.CREATED_TOPIC]
+    assert [r.topic for r in back] == [S.VALID_TOPIC, S.INVALID_TOPIC, S.INVALID_TOPIC, S.VALID_TOPIC]
     assert [r.schema_id for r in back] == [258, 7, 7, 258]
     assert bytes(back[0].value)[:5] == b"\x00\x00\x00\x01\x02"
     assert [r.key and bytes(r.key).decode() for r in back[:3]] == ["id-0001", expected("pepper", "random_user", "id-0001"), None]
@@ -93,6 +93,17 @@ def test_kafka_options():
     assert r'password="p\"w"' in secure["kafka.sasl.jaas.config"]
     source = JobOptions(max_offsets_per_trigger=10).kafka_source()
     assert (source["subscribe"], source["startingOffsets"], source["maxOffsetsPerTrigger"]) == (S.CREATED_TOPIC, "earliest", "10")
+    assert source["includeHeaders"] == "true"
+
+
+def test_no_topic_is_read_and_written():
+    options = JobOptions(salt="s")
+    assert not {options.valid_topic, options.invalid_topic} & set(options.kafka_source()["subscribe"].split(","))
+    for topic in (options.valid_topic, options.invalid_topic):
+        with pytest.raises(ValueError):
+            options.kafka_source((options.created_topic, topic))
+        with pytest.raises(ValueError):
+            JobOptions(created_topic=topic)
 
 
 def test_options_are_checked():
