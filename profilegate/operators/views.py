@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from profilegate.operators import rules as R
 
+LOAD = "load_id"
 USER_KEY = ("source", "source_user_id")
 
 
@@ -42,24 +43,26 @@ def invalid_by_reason(invalid: DataFrame, ts: str = "processed_at", *carry: str)
 def latest_invalid_by_reason(by_reason: DataFrame, k: int, ts: str = "processed_at", tie: Sequence[str] = ("source_user_id",)) -> DataFrame:
     """The k newest rejects of each reason.
 
-    Spark limits each map task to k rows per reason before the shuffle, as long as k stays within
-    ``spark.sql.optimizer.windowGroupLimitThreshold``; larger k are refused.
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark limits each map task to k rows of a reason
+    before the shuffle; a larger k gives the same rows with more of them shuffled.
     """
-    spark = by_reason.sparkSession
-    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if not 1 <= k <= limit:
-        raise ValueError(f"k must be between 1 and {limit}")
+    if k < 1:
+        raise ValueError("k must be at least 1")
     w = W.partitionBy("reason").orderBy(F.col(ts).desc(), *tie)
     return by_reason.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def write_view(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite") -> None:
+def write_view(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "errorifexists", load: str | None = None) -> None:
     """Partitioned Parquet, with files of even size.
 
     The rebalance hint lets adaptive execution split a partition value that holds much of the data
     and merge the small ones, so neither one huge file nor a file per task and value comes out.
-    With the dynamic overwrite mode a re-run replaces only the partitions it writes.
+
+    A view that is there already is left alone. To add to it, name the ``load``: its rows go to directories
+    of their own, and writing the same load again replaces these and no others.
     """
+    if load is not None:
+        df, partition_by, mode = df.withColumn(LOAD, F.lit(load)), [LOAD, *partition_by], "overwrite"
     even = df.hint("rebalance", *[F.col(c) for c in partition_by])
     even.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
@@ -71,8 +74,23 @@ def retained(view: DataFrame, today: dt.date, keep_days: int, date_column: str =
     return view.filter(F.col(date_column) > F.lit(today - dt.timedelta(days=keep_days)))
 
 
-def rewrite_retained(
-    spark: SparkSession, path: str, new_path: str, today: dt.date, keep_days: int, date_column: str = "event_date"
-) -> None:
-    """A new table without the expired partitions; the old one is left for the caller to retire."""
-    write_view(retained(spark.read.parquet(path), today, keep_days, date_column), new_path, [date_column])
+def expire(spark: SparkSession, path: str, today: dt.date, keep_days: int, date_column: str = "event_date") -> list[str]:
+    """Remove the directories of expired dates of a table partitioned by date; returns their names.
+
+    No file that is kept is read or written. Directories whose value is no date are left.
+    """
+    if keep_days < 1:
+        raise ValueError("keep_days must be at least 1")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for entry in files.listStatus(folder):
+        column, _, value = entry.getPath().getName().partition("=")
+        try:
+            day = dt.date.fromisoformat(value)
+        except ValueError:
+            continue
+        if column == date_column and entry.isDirectory() and day <= today - dt.timedelta(days=keep_days):
+            files.delete(entry.getPath(), True)
+            gone.append(value)
+    return sorted(gone)

@@ -1,8 +1,9 @@
 """Idempotent view maintenance from a stream.
 
-Each micro-batch appends its folded rows under its own batch directory and nothing else. A batch
-that runs again, after a lost executor or a restart, overwrites exactly those directories. Readers
-fold the batches by key. No row of an earlier batch is ever rewritten, so no failure can lose one.
+Each micro-batch appends its folded rows under a directory named after its query and its number, and touches nothing
+else. A batch that runs again, after a lost executor or a restart, overwrites exactly those directories; a query with a
+fresh checkpoint, or a second query on the same view, has an id of its own and so never meets the rows of another.
+Readers fold the batches by key. No row of an earlier batch is ever rewritten, so no failure can lose one.
 """
 
 from __future__ import annotations
@@ -13,15 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from profilegate.operators.views import latest_per_key, write_view
+from profilegate.operators.views import latest_per_key
 
-BATCH = "batch_id"
+QUERY, BATCH = "query_id", "batch_id"
 
 
-def write_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], order: Sequence[str], date_column: str) -> None:
+def write_batch(batch: DataFrame, query_id: str, batch_id: int, path: str, keys: Sequence[str], order: Sequence[str], date_column: str) -> None:
     """Fold one micro-batch to the newest row per key and day, and (over)write its own partitions."""
     folded = latest_per_key(batch, [*keys, date_column], order)
-    write_view(folded.withColumn(BATCH, F.lit(batch_id)), path, [date_column, BATCH])
+    named = folded.withColumns({QUERY: F.lit(query_id), BATCH: F.lit(batch_id)})
+    even = named.hint("rebalance", F.col(date_column))
+    writer = even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(date_column, QUERY, BATCH).parquet(path)
 
 
 def start_upsert(
@@ -38,7 +42,10 @@ def start_upsert(
     dated = stream.withColumn(date_column, F.to_date(ts))
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, path, keys, order, date_column)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("the streaming query of this batch is not known")
+        write_batch(batch, query_id, batch_id, path, keys, order, date_column)
 
     writer = dated.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
@@ -48,5 +55,5 @@ def current_rows(
     spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], *, date_column: str = "event_date", per_day: bool = True
 ) -> DataFrame:
     """The newest row per key (and day). Filters on the date prune directories."""
-    stored = spark.read.parquet(path).drop(BATCH)
+    stored = spark.read.parquet(path).drop(QUERY, BATCH)
     return latest_per_key(stored, [*keys, date_column] if per_day else list(keys), order)
