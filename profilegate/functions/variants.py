@@ -41,3 +41,26 @@ def is_integer(v: Column) -> Column:
 
 def number_kind(k: Column) -> Column:
     return (k == "BIGINT") | k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT")
+
+
+def whole_number(text: Column) -> Column:
+    """The number of a JSON number's text as a long, without a detour through double.
+
+    A fraction of zeros counts as whole. Null for other fractions and for what a long can't hold.
+    """
+    digits = F.regexp_replace(text, r"\.0+\z", "").try_cast("long")
+    power = text.try_cast("double")
+    return F.coalesce(digits, F.when(text.contains("E") & (power == F.floor(power)), power.try_cast("long")))
+
+
+def one_document(value: Column) -> Column:
+    """JSON text as a variant; null unless the text is exactly one document.
+
+    Parsers stop at the end of the first document and ignore what follows, and text can close a bracket put
+    around it. So it is parsed as the first of two elements, the second being the hash of the text, which
+    no text can contain of itself.
+    """
+    seal = F.sha2(value, 256)
+    root = F.from_json(F.concat(F.lit("["), value, F.lit(',"'), seal, F.lit('"]')), "array<variant>")
+    sealed = (F.size(root) == 2) & (as_text(F.get(root, F.lit(1))) == seal)
+    return F.when(sealed, F.get(root, F.lit(0)))

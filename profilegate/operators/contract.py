@@ -91,9 +91,15 @@ def subject(topic: Column | str) -> Column:
     return F.concat(F.col(topic) if isinstance(topic, str) else topic, F.lit("-value"))
 
 
-def contracts(created_topic: str = S.CREATED_TOPIC, invalid_topic: str = S.INVALID_TOPIC) -> dict[str, tuple[S.Field, ...]]:
-    """Topic name to field contract; topics may be renamed, their contracts follow."""
-    return {created_topic: S.USER_CREATED_FIELDS, invalid_topic: S.USER_PROFILE_INVALID_FIELDS}
+def contracts(
+    created_topic: str = S.CREATED_TOPIC, invalid_topic: str = S.INVALID_TOPIC, valid_topic: str | None = None
+) -> dict[str, tuple[S.Field, ...]]:
+    """Topic name to field contract; topics may be renamed, their contracts follow.
+
+    The valid stream carries created events, so its contract is theirs.
+    """
+    out = {created_topic: S.USER_CREATED_FIELDS, invalid_topic: S.USER_PROFILE_INVALID_FIELDS}
+    return out if valid_topic is None else out | {valid_topic: S.USER_CREATED_FIELDS}
 
 
 def json_schema(title: str, fields: Sequence[S.Field]) -> dict:
@@ -165,7 +171,7 @@ def _conforms(f: S.Field, kind: Column, text: Column) -> Column:
         number = text.try_cast("double")
         ok = V.number_kind(kind)
         if f.kind == "integer":
-            ok &= number == F.floor(number)
+            ok &= V.whole_number(text).isNotNull()
         return ok & X.in_bounds(number, *f.bounds) if f.bounds is not None else ok
     ok = kind == "STRING"
     if f.const is not None:
@@ -201,27 +207,22 @@ def _message_rules(fields: Sequence[S.Field], kinds: Column, texts: Column, keys
     return R.joined_codes(rules)
 
 
-def _one_object(value: Column, names: Sequence[str], member: str) -> Column:
-    """JSON text to a struct of its members; null when it is not exactly one document.
-
-    The text is parsed as the only element of an array, so trailing text after the object or a
-    second document shows as malformed.
-    """
-    members = ", ".join(f"`{n}`: {member}" for n in names)
-    root = F.from_json(F.concat(F.lit("["), value, F.lit("]")), f"array<struct<{members}>>")
-    return F.when(F.size(root) == 1, F.get(root, F.lit(0)))
-
-
 def parse_messages(df: DataFrame, value: str, names: Sequence[str], column: str) -> DataFrame:
-    """Adds a struct with the JSON ``kinds`` of the named fields and their plain ``texts``.
+    """Adds a struct with the JSON ``kinds`` of the named fields, their plain ``texts``, and all ``keys``.
 
-    Two passes over the text, one into variants for the kinds and one into strings for the values,
-    are cheaper than reading each value back out of its variant. Null when the text is no object.
+    The text is parsed once. Null when it is not exactly one JSON object.
     """
-    df = df.withColumn("_variants", _one_object(F.col(value), names, "variant"))
-    kinds = F.struct(*[V.kind(F.col("_variants")[n]).alias(n) for n in names])
-    both = F.struct(kinds.alias("kinds"), _one_object(F.col(value), names, "string").alias("texts"))
-    return df.withColumn(column, F.when(F.col("_variants").isNotNull(), both)).drop("_variants")
+    df = settle(df, {"_document": V.one_document(F.col(value))})
+    opened = F.struct(
+        V.as_struct(F.col("_document"), *names).alias("members"),
+        F.map_keys(F.try_variant_get(F.col("_document"), "$", "map<string, variant>")).alias("keys"),
+    )
+    df = settle(df.withColumn("_opened", opened).drop("_document"), {"_opened": F.col("_opened")})
+    members = F.col("_opened")["members"]
+    kinds = F.struct(*[V.kind(members[n]).alias(n) for n in names])
+    texts = F.struct(*[V.as_text(members[n]).alias(n) for n in names])
+    parsed = F.struct(kinds.alias("kinds"), texts.alias("texts"), F.col("_opened")["keys"].alias("keys"))
+    return settle(df, {column: F.when(members.isNotNull(), parsed)}).drop("_opened")
 
 
 def check_messages(
@@ -241,16 +242,16 @@ def check_messages(
     """
     topic_contracts = contracts() if topic_contracts is None else topic_contracts
     names = list(dict.fromkeys(f.name for fields in topic_contracts.values() for f in fields))
-    df = parse_messages(df.withColumn("_keys", F.json_object_keys(value)), value, names, "_message")
+    df = parse_messages(df, value, names, "_message")
     root, out = F.col("_message"), None
     for name, fields in topic_contracts.items():
-        violations = _message_rules(fields, root["kinds"], root["texts"], F.col("_keys"))
+        violations = _message_rules(fields, root["kinds"], root["texts"], root["keys"])
         out = (F if out is None else out).when(F.col(topic) == name, violations)
     broken = F.when(~F.col(topic).isin(list(topic_contracts)) | F.col(topic).isNull(), F.lit(NO_CONTRACT))
-    broken = broken.when(root.isNull() | F.col("_keys").isNull(), F.lit(INVALID_JSON))
-    df = df.withColumn("_codes", broken.otherwise(out)).withColumn(column, R.split_codes(F.col("_codes")))
-    observed = settle(df, observe_as, messages=F.count(F.lit(1)), violating=F.count_if(F.col("_codes") != ""))
-    observed = observed.drop("_keys", "_codes")
+    broken = broken.when(root.isNull(), F.lit(INVALID_JSON))
+    counts = {"messages": F.count(F.lit(1)), "violating": F.count_if(F.col("_codes") != "")}
+    observed = settle(df, {"_codes": broken.otherwise(out)}, observe_as, **counts)
+    observed = observed.withColumn(column, R.split_codes(F.col("_codes"))).drop("_codes")
     return observed.withColumnRenamed("_message", keep_parsed) if keep_parsed else observed.drop("_message")
 
 
@@ -266,6 +267,6 @@ def read_created(df: DataFrame, parsed: str) -> DataFrame:
         if f.kind == "string":
             columns[f.name] = F.when(kind == "STRING", text)
         else:
-            number = text.try_cast("double")
-            columns[f.name] = F.when(V.number_kind(kind), number if f.kind == "number" else number.try_cast("long"))
+            number = text.try_cast("double") if f.kind == "number" else V.whole_number(text)
+            columns[f.name] = F.when(V.number_kind(kind), number)
     return df.withColumns(columns).drop(parsed)

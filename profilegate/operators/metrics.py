@@ -87,17 +87,24 @@ def latency_histogram(df: DataFrame, value: str, by: Sequence[str] = (), bounds:
     return wide.select(*by, F.inline(rows))
 
 
+def _cell(v: Column) -> Column:
+    """Number of the logarithmic cell of a value, rising with the value; zero is a cell of its own."""
+    # Logarithms of doubles lie between -746 and 710, so the sum below is positive.
+    size = F.floor(F.least(F.ln(F.abs(v)), F.lit(710.0)) * 1000) + F.lit(1_000_000)
+    return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, size).otherwise(-size)
+
+
 def exact_percentiles(df: DataFrame, value: str, per_mille: Sequence[int], by: Sequence[str]) -> DataFrame:
     """Nearest-rank percentiles per group, exact, without gathering a group anywhere.
 
-    Equal values are folded first. A logarithmic grid (three decimals of the natural logarithm)
-    then locates the cell that holds each wanted rank; only the distinct values of those cells are
-    ranked. A group of any size costs its cells in the first window and one cell in the second.
-    Values must not be negative; nulls and NaN are left out.
+    Equal values are folded first. A grid of cells as wide as a thousandth of their value, below and above
+    zero, then locates the cell that holds each wanted rank; only the distinct values of those cells are
+    ranked. A group of any size costs its cells in the first window and one cell in the second. Nulls and
+    NaN are left out.
     """
     number = F.col(value).cast("double")
-    clean = df.filter((number >= 0) & ~F.isnan(number)).select(*by, F.col(value).alias("_value"))
-    cell = F.floor(F.ln(F.col("_value").cast("double") + 1) * 1000)
+    clean = df.filter(number.isNotNull() & ~F.isnan(number)).select(*by, F.col(value).alias("_value"))
+    cell = _cell(F.col("_value").cast("double"))
     folded = clean.groupBy(*by, "_value").agg(F.count("*").alias("_n")).withColumn("_cell", cell)
 
     # The grid comes from the raw rows again: a second cheap scan beats keeping the folded values.

@@ -14,6 +14,9 @@ from profilegate.functions import variants as V
 from profilegate.functions.barrier import settle
 
 INVALID_PAYLOAD = "invalid_payload"
+# A request for less than one profile, which the client refuses to send.
+INVALID_REQUEST = "invalid_request"
+NO_ATTEMPT = "no_attempt"
 RETRYABLE = ("timeout", "http_error", "http_429", "empty_results")
 
 _ITEM = ("gender", "name", "location", "email", "login", "dob", "registered", "phone", "cell", "picture", "nat")
@@ -139,10 +142,8 @@ def classify_responses(responses: DataFrame, observe_as: str | None = None) -> D
     One bad item fails its whole response, so items are mapped inside the row and never shuffled.
     """
     answered = F.col("transport_error").isNull() & F.col("status_code").between(200, 299)
-    df = responses.withColumn(
-        "_root", F.when(answered, F.from_json(F.concat(F.lit("["), F.col("body"), F.lit("]")), "array<variant>"))
-    )
-    df = df.withColumn("_object", F.when(F.size("_root") == 1, V.as_struct(F.get("_root", F.lit(0)), "results")))
+    df = settle(responses, {"_root": F.when(answered, V.one_document(F.col("body")))})
+    df = df.withColumn("_object", V.as_struct(F.col("_root"), "results"))
     df = df.withColumn("_items", V.as_array(F.col("_object")["results"]))
     opened = F.transform(F.transform(F.transform(F.col("_items"), _open_item), _open_parts), _open_location)
     df = df.withColumn("_opened", opened)
@@ -153,22 +154,22 @@ def classify_responses(responses: DataFrame, observe_as: str | None = None) -> D
         raw = F.when(big, F.call_function("get_json_object", F.col("body"), path))
         return _flatten(q, raw)
 
-    df = df.withColumn("profiles", F.transform(F.col("_opened"), flatten))
+    df = settle(df, {"profiles": F.transform(F.col("_opened"), flatten)})
     status = F.col("status_code")
     reason = (
-        F.when(F.col("transport_error") == "timeout", F.lit("timeout"))
+        F.when(F.coalesce(F.col("expected_count"), F.lit(0)) < 1, F.lit(INVALID_REQUEST))
+        .when(F.col("transport_error") == "timeout", F.lit("timeout"))
         .when(F.col("transport_error").isNotNull(), F.lit("http_error"))
         .when(~F.coalesce(status.between(200, 299), F.lit(False)),
               F.concat(F.lit("http_"), F.coalesce(status.cast("string"), F.lit("error"))))
-        .when(F.col("_root").isNull() | (F.size("_root") != 1), F.lit("invalid_json"))
+        .when(F.col("_root").isNull(), F.lit("invalid_json"))
         .when(F.col("_object").isNull() | F.col("_items").isNull(), F.lit("unexpected_response"))
         .when(F.size("_items") == 0, F.lit("empty_results"))
         .when(F.exists("profiles", lambda p: p["error_field"].isNotNull()), F.lit(INVALID_PAYLOAD))
         .when(F.size("_items") != F.col("expected_count"), F.lit("unexpected_response"))
     )
-    df = df.withColumn("reason", reason).withColumn("retryable", is_retryable(F.col("reason")))
-    df = df.drop("_root", "_object", "_items", "_opened")
-    return settle(df, observe_as, attempts=F.count(F.lit(1)), failures=F.count("reason"))
+    df = settle(df, {"reason": reason}, observe_as, attempts=F.count(F.lit(1)), failures=F.count("reason"))
+    return df.withColumn("retryable", is_retryable(F.col("reason"))).drop("_root", "_object", "_items", "_opened")
 
 
 def is_retryable(reason: Column) -> Column:
@@ -193,25 +194,27 @@ def explode_profiles(classified: DataFrame, *carry: str) -> DataFrame:
 def resolve_attempts(classified: DataFrame, max_retries: int = 2, *carry: str) -> DataFrame:
     """Per request, the attempt that settled it: the first success or final failure, else the last try.
 
-    Attempts after that one are ignored. Written as one aggregation, not a window: each map task
-    folds its attempts before the shuffle, so a request id with a flood of copies stays cheap.
+    Attempts after that one are ignored, and so are those without a number or beyond the last retry. A
+    request that has no others is reported with the outcome ``no_attempt`` and 0 attempts. Written as one
+    aggregation, not a window: each map task folds its attempts before the shuffle, so a request id with a
+    flood of copies stays cheap.
     """
     if max_retries < 0:
         raise ValueError("max_retries must not be negative")
-    tries = classified.filter(F.col("attempt").between(0, max_retries))
+    counts = F.coalesce(F.col("attempt").between(0, max_retries), F.lit(False))
     settled = F.struct(
         "attempt", "requested_at", F.coalesce("reason", F.lit("ok")).alias("outcome"), *[F.col(n) for n in carry]
     )
-    stops = F.col("reason").isNull() | ~F.col("retryable")
+    stops = counts & (F.col("reason").isNull() | ~F.col("retryable"))
     order = F.struct("attempt", "requested_at", F.coalesce("reason", F.lit("ok")))
-    merged = tries.groupBy("request_id").agg(
+    merged = classified.groupBy("request_id").agg(
         F.min_by(F.when(stops, settled), F.when(stops, order)).alias("_stop"),
-        F.max_by(settled, order).alias("_last"),
+        F.max_by(F.when(counts, settled), F.when(counts, order)).alias("_last"),
     )
     final = F.coalesce("_stop", "_last")
     return merged.select(
         "request_id",
-        final["outcome"].alias("outcome"),
-        (final["attempt"] + 1).alias("attempts_made"),
+        F.coalesce(final["outcome"], F.lit(NO_ATTEMPT)).alias("outcome"),
+        F.coalesce(final["attempt"] + 1, F.lit(0)).alias("attempts_made"),
         *[final[n].alias(n) for n in carry],
     )

@@ -157,13 +157,14 @@ def split_codes(joined: Column) -> Column:
 
 def with_reasons(df: DataFrame, rules: Sequence[Rule], column: str = REASONS, observe_as: str | None = None) -> DataFrame:
     """Adds the ordered reason codes of each row, and observes how many rows earned any."""
-    marked = df.withColumn("_codes", joined_codes(rules)).withColumn(column, split_codes(F.col("_codes")))
-    return settle(
-        marked,
+    marked = settle(
+        df,
+        {"_codes": joined_codes(rules)},
         observe_as,
         rows=F.count(F.lit(1)),
         with_reasons=F.count_if(F.col("_codes") != ""),
-    ).drop("_codes")
+    )
+    return marked.withColumn(column, split_codes(F.col("_codes"))).drop("_codes")
 
 
 def check_quality(
