@@ -19,7 +19,7 @@ SALT = "fixture-salt"
 
 _COUNTRIES = ",".join(S.SOURCE_COUNTRY_CODES)
 _CODES = ",".join(S.SOURCE_COUNTRY_CODES.values())
-_OFFSETS = "+0:00,5:30,-12:00,+14:00,+15:00,+01:99,bad,-12:01"
+_OFFSETS = "+1:00,3:30,-11:45,+13:45,+14:15,+02:75,east,-13:00"
 
 K = "c_custkey"
 PROFILE_SQL = {
@@ -28,7 +28,7 @@ PROFILE_SQL = {
     "source_user_id": f"'user-' || CAST({K} AS STRING)",
     "gender": f"CASE WHEN {K} % 3 = 0 THEN 'female' WHEN {K} % 3 = 1 THEN 'male' END",
     "title": f"CASE WHEN {K} % 61 = 9 THEN 'M' || chr(133) || 's' ELSE 'Ms' END",
-    "first_name": f"CASE WHEN {K} % 53 = 5 THEN repeat('a', 513) WHEN {K} % 59 = 7 THEN 'A' || chr(10) || 'da' "
+    "first_name": f"CASE WHEN {K} % 53 = 5 THEN repeat('a', 513) WHEN {K} % 59 = 7 THEN 'Gr' || chr(9) || 'ace' "
     f"ELSE 'First' || CAST({K} AS STRING) END",
     "last_name": "c_name",
     "street_number": f"CAST({K} % 200 AS BIGINT)",
@@ -37,18 +37,18 @@ PROFILE_SQL = {
     "city": "n_name",
     "state": "CAST(NULL AS STRING)",
     "country": f"CASE WHEN n_nationkey < 21 THEN split_part('{_COUNTRIES}', ',', CAST(n_nationkey + 1 AS INT)) "
-    "WHEN n_nationkey = 21 THEN '  ' ELSE 'Atlantis' END",
+    "WHEN n_nationkey = 21 THEN '  ' ELSE 'Ruritania' END",
     "country_code": f"CASE WHEN {K} % 17 = 3 THEN 'ZZ' WHEN {K} % 17 = 5 THEN 'gb' WHEN n_nationkey >= 21 THEN NULL "
     f"ELSE split_part('{_CODES}', ',', CAST(n_nationkey + 1 AS INT)) END",
     "postcode": f"CAST(10000 + {K} % 7919 AS STRING)",
-    "latitude": f"CASE WHEN {K} % 13 = 4 THEN '91.0' WHEN {K} % 13 = 5 THEN 'north' WHEN {K} % 13 = 6 THEN NULL "
-    "ELSE '51.5072' END",
-    "longitude": f"CASE WHEN {K} % 19 = 4 THEN '181.0' ELSE '-0.1276' END",
+    "latitude": f"CASE WHEN {K} % 13 = 4 THEN '97.25' WHEN {K} % 13 = 5 THEN 'up' WHEN {K} % 13 = 6 THEN NULL "
+    "ELSE '48.8584' END",
+    "longitude": f"CASE WHEN {K} % 19 = 4 THEN '-190.5' ELSE '2.2945' END",
     "timezone_offset": f"CASE WHEN {K} % 9 = 8 THEN NULL ELSE split_part('{_OFFSETS}', ',', CAST({K} % 9 + 1 AS INT)) END",
     "timezone_description": "CAST(NULL AS STRING)",
-    "email": f"CASE WHEN {K} % 29 = 3 THEN 'ada.example.com' ELSE 'u' || CAST({K} AS STRING) || '@example.com' END",
+    "email": f"CASE WHEN {K} % 29 = 3 THEN 'grace-at-example.net' ELSE 'u' || CAST({K} AS STRING) || '@example.com' END",
     "username": f"CASE WHEN {K} % 31 = 2 THEN '   ' ELSE 'name' || CAST({K} AS STRING) END",
-    "date_of_birth": f"CASE WHEN {K} % 41 = 0 THEN DATE '1890-01-01' WHEN {K} % 43 = 1 THEN NULL "
+    "date_of_birth": f"CASE WHEN {K} % 41 = 0 THEN DATE '1899-07-04' WHEN {K} % 43 = 1 THEN NULL "
     f"ELSE DATE '1945-01-01' + CAST(({K} * 37) % 26000 AS INT) END",
     "registered_at": f"CASE WHEN {K} % 23 = 2 THEN NULL ELSE DATE '2010-01-01' + CAST(({K} * 13) % 6000 AS INT) END",
     "phone": f"CASE WHEN {K} % 73 = 1 THEN chr(127) ELSE '020 ' || CAST({K} AS STRING) END",

@@ -23,8 +23,8 @@ REPLAY_END = dt.datetime(2024, 1, 1, 18, tzinfo=dt.UTC)
 
 # Wire values that are no text, by key; shared with the checking SQL.
 LATITUDE_JSON = (
-    "CASE WHEN k % 13 = 4 THEN '91.0' WHEN k % 13 = 5 THEN '\"north\"' WHEN k % 13 = 6 THEN 'null' "
-    "WHEN k % 13 = 7 THEN '-90' ELSE '51.5072' END"
+    "CASE WHEN k % 13 = 4 THEN '97.25' WHEN k % 13 = 5 THEN '\"up\"' WHEN k % 13 = 6 THEN 'null' "
+    "WHEN k % 13 = 7 THEN '-90' ELSE '48.8584' END"
 )
 STREET_NUMBER_JSON = (
     "CASE WHEN k % 151 = 1 THEN '42.0' WHEN k % 151 = 2 THEN '42.5' WHEN k % 151 = 3 THEN '\"42\"' "
@@ -96,6 +96,9 @@ def responses(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("k") % 167 == 4, F.expr("substring(_good, 1, 40)"))
         .when(F.col("k") % 167 == 5, F.concat("_good", F.lit(" {}")))
         .when(F.col("k") % 167 == 6, F.lit('{"info":1}'))
+        .when(F.col("k") % 167 == 7, F.concat("_good", F.lit('],[{"x":1}')))
+        .when(F.col("k") % 167 == 8, F.concat("_good", F.lit("] junk")))
+        .when(F.col("k") % 167 == 9, F.concat("_good", F.lit(',"x"')))
         .otherwise(F.col("_good"))
     )
     p = p.withColumn("_good", good).withColumn("_body", body)
@@ -134,6 +137,10 @@ def created_messages(spark: SparkSession, folder: str) -> DataFrame:
         .when(k % 157 == 4, F.expr("left(value, 50)"))
         .when(k % 157 == 5, F.concat(F.lit("["), "value", F.lit("]")))
         .when(k % 157 == 6, F.concat("value", F.lit(" x")))
+        .when(k % 157 == 7, F.concat("value", F.lit("],[{}")))
+        .when(k % 157 == 8, F.concat("value", F.lit("],\"x\"")))
+        .when(k % 157 == 9, F.concat("value", F.lit("] trailing")))
+        .when(k % 157 == 10, F.concat("value", F.lit(",{}")))
         .otherwise(F.col("value"))
     )
     topic = F.when(k % 179 == 1, F.lit("other_topic")).otherwise(F.lit(S.CREATED_TOPIC))

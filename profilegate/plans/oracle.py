@@ -199,7 +199,7 @@ STATUS = "CASE WHEN reasons = '' THEN 'valid' ELSE 'invalid' END"
 # --- responses --------------------------------------------------------------------------------
 
 LUCK = "(k * 7 + attempt * 3) % 11"
-_DOCUMENT = {1: "empty_results", 2: "unexpected_response", 3: "unexpected_response", 4: "invalid_json", 5: "invalid_json", 6: "unexpected_response"}
+_DOCUMENT = {1: "empty_results", 2: "unexpected_response", 3: "unexpected_response", 4: "invalid_json", 5: "invalid_json", 6: "unexpected_response"} | dict.fromkeys((7, 8, 9), "invalid_json")
 # What keeps either of the two items of a response from being mapped.
 BAD_ITEM = (
     "(coalesce(first_name, '') = '' OR coalesce(date_of_birth, '') = '' OR coalesce(username, '') = '' OR k % 157 = 1 "
@@ -273,7 +273,7 @@ def wire_pairs() -> list[tuple[str, str]]:
 
 TOPIC = "CASE WHEN k % 179 = 1 THEN 'other_topic' ELSE 'users_created' END"
 CREATED_VIOLATIONS = (
-    f"CASE WHEN k % 157 IN (4, 5, 6) THEN 'invalid_json' ELSE {reasons(wire_pairs())} END"
+    f"CASE WHEN k % 157 BETWEEN 4 AND 10 THEN 'invalid_json' ELSE {reasons(wire_pairs())} END"
 )
 INVALID_VIOLATIONS = reasons(
     [
@@ -287,7 +287,7 @@ INVALID_VIOLATIONS = reasons(
 WIRE = (
     "W AS (SELECT * REPLACE (CASE WHEN k % 157 = 3 THEN NULL ELSE schema_version END AS schema_version, "
     "CASE WHEN k % 157 = 2 THEN NULL ELSE email END AS email, NULL::VARCHAR AS longitude, "
-    "CASE WHEN k % 13 = 4 THEN '91.0' WHEN k % 13 IN (5, 6) THEN NULL WHEN k % 13 = 7 THEN '-90' ELSE '51.5072' END AS latitude) FROM RAW)"
+    "CASE WHEN k % 13 = 4 THEN '97.25' WHEN k % 13 IN (5, 6) THEN NULL WHEN k % 13 = 7 THEN '-90' ELSE '48.8584' END AS latitude) FROM RAW)"
 )
 COVERED = {
     "source": ["missing_source"],
@@ -320,14 +320,14 @@ def _stream_route() -> str:
     for code, i in at.items():
         twice = f" AND NOT w_{code.split(':')[1]}" if code.startswith("contract_violation:") else ""
         parts.append(f"CASE WHEN m_{i}{twice} THEN {q(code)} END")
-    broken = "(k % 157 IN (4, 5, 6) OR k % 181 = 1)"
+    broken = "(k % 157 BETWEEN 4 AND 10 OR k % 181 = 1)"
     listed = "'[\"' || replace(reasons, ',', '\",\"') || '\"]'"
     return (
         f"WITH {RAW}, {WIRE}, S AS ({stripped('W', False)}), D AS ({parsed('S', False)}), "
         f"WF AS (SELECT k AS wk, {flags} FROM RAW), MF AS (SELECT *, {model_flags} FROM D), "
         f"Q AS (SELECT MF.*, CASE WHEN {broken} THEN 'invalid_json' ELSE concat_ws(',', {', '.join(parts)}) END AS reasons "
         "FROM MF JOIN WF ON k = wk) "
-        "SELECT CASE WHEN reasons = '' THEN 'users_created' ELSE 'users_created_invalid' END AS topic, "
+        "SELECT CASE WHEN reasons = '' THEN 'users_valid' ELSE 'users_created_invalid' END AS topic, "
         f"CASE WHEN {broken} OR source_user_id = '' THEN NULL WHEN reasons = '' THEN source_user_id ELSE {PSEUDONYM} END AS key, "
         f"CASE WHEN reasons <> '' THEN {listed} END AS reasons, "
         "CASE WHEN reasons = '' THEN username END AS username FROM Q"
@@ -399,7 +399,7 @@ def statements() -> dict[str, str]:
     framed = "k % 7 <> 0"
 
     def json_bytes(c: str) -> str:  # length of a JSON string literal
-        escapes = f"(length({c}) - length(replace({c}, chr(10), '')))"
+        escapes = f"(length({c}) - length(replace({c}, chr(9), '')))"
         return f"(octet_length(encode({c})) + {escapes})"
 
     return {
@@ -420,7 +420,7 @@ def statements() -> dict[str, str]:
         "contract_url": f"{PREPARED}, U AS (SELECT 'profile-' || k AS id, picture_large AS url FROM D "
         f"UNION ALL SELECT 'page-' || page_id, url FROM pages) SELECT id, {http_ok('url')} AS http_ok, {https_ok('url')} AS https_ok FROM U",
         "contract_profiles": f"{STRUCTURAL} SELECT k, reasons FROM Q",
-        "contract_extra_fields": f"WITH {RAW}, V AS (SELECT k, k % 179 <> 1 AND k % 157 NOT IN (4, 5, 6) AS judged, "
+        "contract_extra_fields": f"WITH {RAW}, V AS (SELECT k, k % 179 <> 1 AND k % 157 NOT BETWEEN 4 AND 10 AS judged, "
         "k % 157 IN (1, 2) AS extra, (k % 157 = 3 OR coalesce(schema_version, '') <> '1.0') AS version, "
         "coalesce(event_type, '') <> 'UserCreated' AS kind FROM RAW) "
         "SELECT k, judged AND extra AS additional_properties, judged AND version AS schema_version, judged AND kind AS event_type FROM V",
@@ -430,6 +430,9 @@ def statements() -> dict[str, str]:
         "normalize_profiles": f"WITH {RESPONSES} SELECT request_id, attempt, CAST(position AS INT) AS position, {_normalized()} "
         "FROM C, (SELECT unnest([0, 1]) AS position) WHERE reason = 'ok'",
         "classify_responses": f"WITH {RESPONSES} SELECT request_id, attempt, reason, retryable FROM C",
+        "response_scan": f"WITH {RESPONSES}, L AS (SELECT CASE WHEN k % 191 = 1 THEN 'invalid_request' ELSE reason END AS reason FROM C) "
+        "SELECT reason, count(*) AS attempts, reason IN ('timeout', 'http_error', 'http_429', 'empty_results') OR reason LIKE 'http_5%' AS retryable "
+        "FROM L GROUP BY 1",
         "resolve_attempts": f"WITH {RESPONSES}, N AS (SELECT request_id, attempt, reason, retryable, "
         "coalesce(bool_or(NOT retryable) OVER (PARTITION BY request_id ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS over FROM C) "
         "SELECT request_id, arg_max(reason, attempt) AS outcome, CAST(max(attempt) + 1 AS INT) AS attempts_made FROM N WHERE NOT over GROUP BY request_id",
@@ -439,7 +442,7 @@ def statements() -> dict[str, str]:
         f"reasons, {payload} FROM Q WHERE reasons <> ''",
         "valid_events": f"{STRUCTURAL} SELECT {event} FROM Q WHERE reasons = ''",
         "route_topics": f"{STRUCTURAL_P}, V AS (SELECT *, reasons = '' AS ok FROM Q) "
-        "SELECT k, CASE WHEN ok THEN 'users_created' ELSE 'users_created_invalid' END AS topic, "
+        "SELECT k, CASE WHEN ok THEN 'users_valid' ELSE 'users_created_invalid' END AS topic, "
         f"CASE WHEN ok THEN source_user_id ELSE {PSEUDONYM} END AS key, CAST(CASE WHEN ok THEN 1 ELSE 2 END AS BIGINT) AS schema_id, "
         "CASE WHEN ok THEN 'UserCreated' ELSE 'UserProfileInvalid' END AS event_type, "
         f"CASE WHEN ok THEN source_user_id ELSE {PSEUDONYM} END AS source_user_id, "
@@ -495,7 +498,7 @@ def statements() -> dict[str, str]:
         "invalid_by_reason_time": f"{QUALITY}, {EVENTS}, R AS (SELECT unnest(string_split(reasons, ',')) AS reason, event_id, ingested_at, source, source_user_id FROM E WHERE reasons <> ''), "
         "N AS (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY ingested_at DESC, event_id) AS rank FROM R) "
         f"SELECT reason, CAST(rank AS INT) AS rank, event_id, epoch_us(ingested_at) AS processed_us, {PSEUDONYM} AS source_user_id FROM N WHERE rank <= 3",
-        "view_partitioned": f"{STRUCTURAL_P}, {EVENTS} SELECT event_id, source_user_id, country FROM E WHERE reasons = '' AND country = 'France'",
+        "view_partitioned": f"{STRUCTURAL_P}, {EVENTS} SELECT event_id, source_user_id, country FROM E WHERE reasons = ''",
         "retention": f"{QUALITY}, {EVENTS} SELECT CAST(date_trunc('month', ingested_at) AS DATE) AS event_date, count(*) AS rejects FROM E "
         f"WHERE reasons <> '' AND CAST(date_trunc('month', ingested_at) AS DATE) > DATE '{cutoff}' GROUP BY 1",
         "stream_counters": "WITH T AS (SELECT CAST(floor(epoch_us(ts) / 21600000000) AS BIGINT) * 21600000000 AS window_us, "

@@ -22,7 +22,7 @@ from profilegate.operators import views as V
 from profilegate.options import JobOptions, configure, shared_folder
 from profilegate.plans import fixtures as FX
 from profilegate.plans import landed as L
-from profilegate.sources import event_log
+from profilegate.sources import event_log, responses
 from profilegate.streaming import jobs, upsert
 
 TODAY = FX.REFERENCE_DATE
@@ -163,6 +163,17 @@ def classify_responses(spark, folder):
     return classified.select("request_id", "attempt", F.coalesce("reason", F.lit("ok")).alias("reason"), "retryable")
 
 
+@query
+def response_scan(spark, folder):
+    """Landed responses, one request in 191 asking for nothing, by what became of them."""
+    path = shared_folder(spark) + "/responses"
+    count = F.when(F.expr("CAST(substring(request_id, 2) AS BIGINT) % 191 = 1"), 0).otherwise(F.col("expected_count"))
+    L.responses(spark, folder).withColumn("expected_count", count).write.parquet(path)
+    classified = N.classify_responses(responses.read_responses(spark, path))
+    outcome = F.coalesce("reason", F.lit("ok")).alias("reason")
+    return classified.groupBy(outcome, "retryable").agg(F.count("*").alias("attempts"))
+
+
 @query
 def resolve_attempts(spark, folder):
     return N.resolve_attempts(N.classify_responses(L.responses(spark, folder)), 2)
@@ -338,23 +349,23 @@ def invalid_by_reason_time(spark, folder):
 
 @query
 def view_partitioned(spark, folder):
-    """Valid profile events written by country, read back for one country."""
+    """Valid profile events written by country in two loads, the second of them twice, and read back."""
     path = shared_folder(spark) + "/valid_by_country"
     events = rejects.valid_events(C.check_profiles(FX.profile_events(spark, folder), TODAY), "event_id", "ingested_at")
-    V.write_view(events, path, ["country"])
-    view = spark.read.parquet(path)
-    return view.filter(F.col("country") == "France").select("event_id", "source_user_id", "country")
+    for load, part in (("a", 0), ("b", 1), ("b", 1)):
+        V.write_view(events.filter(F.col("event_id") % 2 == part), path, ["country"], load=load)
+    return spark.read.parquet(path).select("event_id", "source_user_id", "country")
 
 
 @query
 def retention(spark, folder):
-    """A dated reject view, rewritten without what is older than the retention period."""
+    """A dated reject view after its expired directories were removed."""
     base = shared_folder(spark)
     invalid = rejects.invalid_events(checked_events(spark, folder), FX.SALT, "event_id", "ingested_at")
     dated = invalid.select("event_id", F.trunc("ingested_at", "month").alias("event_date"))
     V.write_view(dated, base + "/rejects", ["event_date"])
-    V.rewrite_retained(spark, base + "/rejects", base + "/rejects_kept", L.RETENTION_TODAY, L.RETENTION_DAYS)
-    return spark.read.parquet(base + "/rejects_kept").groupBy("event_date").agg(F.count("*").alias("rejects"))
+    V.expire(spark, base + "/rejects", L.RETENTION_TODAY, L.RETENTION_DAYS)
+    return spark.read.parquet(base + "/rejects").groupBy("event_date").agg(F.count("*").alias("rejects"))
 
 
 # --- streams ----------------------------------------------------------------------------------

@@ -11,33 +11,31 @@ from profilegate.operators import rejects
 from profilegate.operators import routing as RT
 from profilegate.options import JobOptions
 
-MODEL_CASES = [
-    ({}, []),
-    ({"schema_version": "2.0"}, ["contract_violation:schema_version"]),
-    ({"event_type": "Other"}, ["contract_violation:event_type"]),
-    ({"first_name": " 　"}, ["contract_violation:first_name"]),
-    ({"last_name": None}, ["contract_violation:last_name"]),
-    ({"source": ""}, ["missing_source"]),
-    ({"source_user_id": ""}, ["missing_source_user_id"]),
-    ({"username": ""}, ["missing_username"]),
-    ({"email": ""}, ["missing_email"]),
-    ({"email": "alan.example.org"}, ["invalid_email"]),
-    ({"email": "a..b@example.org"}, ["invalid_email"]),
-    ({"email": "a@localhost"}, ["invalid_email"]),
-    ({"email": "x" * 64 + "@example.org"}, []),
-    ({"email": "x" * 65 + "@example.org"}, ["invalid_email"]),
-    ({"email": "a@example.123"}, ["invalid_email"]),
-    ({"email": "zoë@example.org"}, []),
-    ({"country": ""}, ["missing_country"]),
-    ({"country_code": "IRL"}, ["invalid_country_code"]),
-    ({"date_of_birth": ""}, ["missing_date_of_birth"]),
-    ({"date_of_birth": "not-a-date"}, ["invalid_date_of_birth"]),
-    ({"registered_at": "not-a-date"}, ["invalid_registered_at"]),
-    ({"latitude": "91.0"}, ["invalid_latitude"]),
-    ({"longitude": "east"}, ["invalid_longitude"]),
-    ({"picture_large": "not-a-url"}, ["invalid_picture_url:picture_large"]),
-    ({"picture_large": "https:example.org"}, ["invalid_picture_url:picture_large"]),
-]
+# By rule: changes to a good profile that break it, and the reason each of them gives.
+BROKEN = {
+    "contract_violation:schema_version": [{"schema_version": "v1"}],
+    "contract_violation:event_type": [{"event_type": "userCreated"}],
+    "contract_violation:first_name": [{"first_name": ""}, {"first_name": None}, {"first_name": "\u2003"}],
+    "contract_violation:last_name": [{"last_name": "\t"}],
+    "missing_source": [{"source": "\u00a0"}],
+    "missing_source_user_id": [{"source_user_id": "\n"}],
+    "missing_username": [{"username": None}],
+    "missing_email": [{"email": "   "}],
+    "missing_country": [{"country": None}],
+    "missing_date_of_birth": [{"date_of_birth": " "}],
+    "invalid_email": [
+        {"email": x}
+        for x in ("grace", "@hopper.net", "grace@", "gr..ace@hopper.net", "grace@hopper", "g@hopper.77", "g race@hopper.net", "q" * 65 + "@hopper.net")
+    ],
+    "invalid_country_code": [{"country_code": "IRLX"}, {"country_code": "Q1"}],
+    "invalid_date_of_birth": [{"date_of_birth": "1985-13-40"}, {"date_of_birth": "last spring"}],
+    "invalid_registered_at": [{"registered_at": "2019/03/04"}, {"registered_at": "25:61"}],
+    "invalid_latitude": [{"latitude": "-90.5"}, {"latitude": "0x1F"}],
+    "invalid_longitude": [{"longitude": "-180.01"}, {"longitude": "12,5"}],
+    "invalid_picture_url:picture_large": [{"picture_large": "pictures/7.png"}, {"picture_large": "https:pic.hopper.net"}],
+}
+FINE = [{}, {"email": "q" * 64 + "@hopper.net"}, {"email": "søren@hopper.net"}, {"schema_version": None}, {"latitude": "-90"}, {"longitude": "+1.8e2"}]
+MODEL_CASES = [(case, []) for case in FINE] + [(case, [code]) for code, cases in BROKEN.items() for case in cases]
 
 
 def test_structural_reasons(spark):
@@ -92,9 +90,22 @@ WIRE_CASES = [
     ("[" + wire() + "]", [C.INVALID_JSON]),
     (wire() + " x", [C.INVALID_JSON]),
     (wire() + "," + wire(), [C.INVALID_JSON]),
+    *[(wire() + tail, [C.INVALID_JSON]) for tail in ("],[{}", '],"x"', "] more", "]", ',"x"', "],[")],
+    (" " + wire() + "\n", []),
+    (wire(street_number=2**53 + 1), []),
+    (wire(street_number=2**63 - 1), []),
+    (wire(street_number=2**63), [V + "street_number"]),
+    (wire(street_number=10**40), [V + "street_number"]),
 ]
 
 
+def test_integers_keep_their_value(spark):
+    numbers = [2**53 + 1, -(2**63), 42.0, 7e2, 0, 42.5, 2**63]
+    rows = spark.createDataFrame([(i, S.CREATED_TOPIC, wire(street_number=n)) for i, n in enumerate(numbers)], "i int, topic string, value string")
+    read = C.read_created(C.check_messages(rows, keep_parsed="p"), "p").orderBy("i").collect()
+    assert [r.street_number for r in read] == [2**53 + 1, -(2**63), 42, 700, 0, None, None]
+
+
 def check(spark, values, topic=S.CREATED_TOPIC, **kw):
     rows = spark.createDataFrame([(i, topic, v) for i, v in enumerate(values)], "case int, topic string, value string")
     return [r.violations for r in C.check_messages(rows, **kw).orderBy("case").collect()]
@@ -158,9 +169,9 @@ def test_registered_contracts():
 def test_routed_records_conform_to_their_contracts(spark):
     people = frame(spark, [c for c, _ in MODEL_CASES])
     routed = RT.unframe(RT.route(C.check_profiles(people, TODAY), JobOptions(salt="s"))).drop("value")
-    checked = C.check_messages(routed, value="json")
+    checked = C.check_messages(routed, value="json", topic_contracts=C.contracts(valid_topic=S.VALID_TOPIC))
     assert {tuple(r.violations) for r in checked.collect()} == {()}
-    assert {r.topic for r in checked.select("topic").distinct().collect()} == {S.CREATED_TOPIC, S.INVALID_TOPIC}
+    assert {r.topic for r in checked.select("topic").distinct().collect()} == {S.VALID_TOPIC, S.INVALID_TOPIC}
 
 
 def test_repeated_keys_keep_the_last_value(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from profilegate import schemas as S
 from profilegate.operators import delivery as D
 from profilegate.operators import metrics as M
+from profilegate.operators import normalize as N
 from profilegate.operators import rules as R
 from profilegate.operators import sli
 from profilegate.operators import views as V
@@ -139,16 +140,22 @@ def test_top_k_per_reason_limits_before_the_shuffle(spark):
         ("all", 1, "u19"), ("all", 2, "u18"), ("r0", 1, "u18"), ("r0", 2, "u16"), ("r1", 1, "u19"), ("r1", 2, "u17"),
     ]
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+    by_reason = V.invalid_by_reason(df, "processed_at", "source_user_id")
+    assert V.latest_invalid_by_reason(by_reason, 5000).count() == 40
     with pytest.raises(ValueError):
-        V.latest_invalid_by_reason(df, 5000)
+        V.latest_invalid_by_reason(by_reason, 0)
 
 
 def test_views_prune_partitions_and_overwrite_only_their_own(spark, tmp_path):
     path = str(tmp_path / "view")
-    V.write_view(spark.createDataFrame([("FR", 1), ("DE", 2)], "country string, n int"), path, ["country"])
-    V.write_view(spark.createDataFrame([("FR", 3)], "country string, n int"), path, ["country"])
+    first = spark.createDataFrame([("FR", 1), ("DE", 2)], "country string, n int")
+    V.write_view(first, path, ["country"], load="1")
+    for n in (3, 4):
+        V.write_view(spark.createDataFrame([("FR", n)], "country string, n int"), path, ["country"], load="2")
     view = spark.read.parquet(path)
-    assert sorted((r.country, r.n) for r in view.collect()) == [("DE", 2), ("FR", 3)]
+    assert sorted((r.country, r.n) for r in view.collect()) == [("DE", 2), ("FR", 1), ("FR", 4)]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        V.write_view(first, path, ["country"])
     plan = view.filter("country = 'FR'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(country" in plan
 
@@ -156,8 +163,10 @@ def test_views_prune_partitions_and_overwrite_only_their_own(spark, tmp_path):
 def test_retention(spark, tmp_path):
     days = [dt.date(2025, 1, 1) - dt.timedelta(days=i) for i in range(10)]
     V.write_view(spark.createDataFrame([(d, 1) for d in days], "event_date date, n int"), str(tmp_path / "a"), ["event_date"])
-    V.rewrite_retained(spark, str(tmp_path / "a"), str(tmp_path / "b"), TODAY, 3)
-    assert sorted(r.event_date for r in spark.read.parquet(str(tmp_path / "b")).collect()) == sorted(days[:3])
+    kept = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    assert len(V.expire(spark, str(tmp_path / "a"), TODAY, 3)) == 7
+    assert sorted(r.event_date for r in spark.read.parquet(str(tmp_path / "a")).collect()) == sorted(days[:3])
+    assert all(kept[p] == p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet"))
     with pytest.raises(ValueError):
         V.retained(spark.range(1), TODAY, 0)
 
@@ -171,7 +180,17 @@ def test_replay_is_bounded_and_pushed_down(spark, tmp_path):
     assert "GreaterThanOrEqual(timestamp" in part._jdf.queryExecution().executedPlan().toString()
 
 
-def test_response_scan_refuses_empty_requests(spark, tmp_path):
-    rows = [("a", 0, None, 1.0, n, 200, None, "{}") for n in (0, 1)]
+def test_response_scan_keeps_empty_requests(spark, tmp_path):
+    rows = [("a", 0, None, 1.0, n, 200, None, "{}") for n in (0, 1, None)]
     spark.createDataFrame(rows, S.RESPONSE_SCHEMA).write.json(str(tmp_path / "r"))
-    assert [r.expected_count for r in RS.read_responses(spark, str(tmp_path / "r"), "json").collect()] == [1]
+    found = N.classify_responses(RS.read_responses(spark, str(tmp_path / "r"), "json")).collect()
+    assert sorted((str(r.expected_count), r.reason) for r in found) == [
+        ("0", "invalid_request"), ("1", "unexpected_response"), ("None", "invalid_request"),
+    ]
+
+
+def test_percentiles_take_every_number(spark):
+    values = [-5.0, -4.0, -3.0, 1.0, 2.0, 0.0, -0.5, 1e-9, float("inf"), float("-inf"), None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r.per_mille: (r.rows, r.value) for r in M.exact_percentiles(df, "v", [100, 500, 1000], []).collect()}
+    assert got == {100: (10, float("-inf")), 500: (10, -0.5), 1000: (10, float("inf"))}

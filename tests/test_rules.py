@@ -17,62 +17,62 @@ CASES = [
     ({"username": " "}, ["missing_username"]),
     ({"username": "\x1c\x1f"}, ["missing_username", "text_field_has_control_characters:username"]),
     ({"country": "  "}, ["missing_country"]),
-    ({"country": "Atlantis"}, ["unsupported_country"]),
-    ({"country": "ireland"}, ["unsupported_country"]),
-    ({"source": "crm", "country": "Cote d Ivoire", "country_code": "CI"}, []),
-    ({"country_code": "ZZ"}, ["invalid_country_code"]),
-    ({"country_code": "ie"}, ["invalid_country_code"]),
+    ({"country": "Ruritania"}, ["unsupported_country"]),
+    ({"country": "IRELAND"}, ["unsupported_country"]),
+    ({"source": "crm", "country": "Bhutan", "country_code": "BT"}, []),
+    ({"country_code": "Q9"}, ["invalid_country_code"]),
+    ({"country_code": "iE"}, ["invalid_country_code"]),
     ({"country_code": None}, []),
     ({"date_of_birth": None}, ["missing_date_of_birth"]),
-    ({"date_of_birth": "soon"}, ["invalid_date_of_birth"]),
-    ({"date_of_birth": "12:30"}, ["invalid_date_of_birth"]),
-    ({"date_of_birth": "2000"}, ["invalid_date_of_birth"]),
-    ({"date_of_birth": "2000-1-1"}, ["invalid_date_of_birth"]),
-    ({"date_of_birth": "2001-02-29"}, ["invalid_date_of_birth"]),
+    ({"date_of_birth": "someday"}, ["invalid_date_of_birth"]),
+    ({"date_of_birth": "08:15"}, ["invalid_date_of_birth"]),
+    ({"date_of_birth": "1991"}, ["invalid_date_of_birth"]),
+    ({"date_of_birth": "1991-7-3"}, ["invalid_date_of_birth"]),
+    ({"date_of_birth": "1999-02-29"}, ["invalid_date_of_birth"]),
     ({"date_of_birth": "1980-06-23"}, []),
     ({"date_of_birth": "1980-06-23 10:00"}, []),
     ({"date_of_birth": "1980-06-23T10:00:00.123456+05:30"}, []),
-    ({"date_of_birth": "1890-01-01T00:00:00Z"}, ["implausible_age"]),
+    ({"date_of_birth": "1871-11-30T05:00:00Z"}, ["implausible_age"]),
     ({"date_of_birth": "2012-01-01", "registered_at": "2024-01-01"}, []),
     ({"date_of_birth": "2012-01-02", "registered_at": "2024-01-01"}, ["implausible_age"]),
     ({"date_of_birth": "1924-01-02"}, []),
     ({"date_of_birth": "1924-01-01"}, ["implausible_age"]),
-    ({"date_of_birth": "2026-01-01T00:00:00Z"}, ["implausible_age", "registered_before_date_of_birth"]),
+    ({"date_of_birth": "2031-04-05T00:00:00Z"}, ["implausible_age", "registered_before_date_of_birth"]),
     ({"registered_at": None}, []),
-    ({"registered_at": "never"}, ["invalid_registered_at"]),
-    ({"registered_at": "1979-01-01T00:00:00Z"}, ["registered_before_date_of_birth"]),
+    ({"registered_at": "a while ago"}, ["invalid_registered_at"]),
+    ({"registered_at": "1975-08-09T00:00:00Z"}, ["registered_before_date_of_birth"]),
     ({"registered_at": "2025-01-01T23:59:59Z"}, []),
     ({"registered_at": "2025-01-01T23:59:59-01:00"}, ["registered_in_future"]),
-    ({"registered_at": "2026-01-01", "date_of_birth": "2027-01-01"},
+    ({"registered_at": "2028-03-01", "date_of_birth": "2029-03-01"},
      ["implausible_age", "registered_before_date_of_birth", "registered_in_future"]),
-    ({"latitude": "91.0"}, ["invalid_latitude"]),
-    ({"latitude": "north"}, ["invalid_latitude"]),
+    ({"latitude": "90.25"}, ["invalid_latitude"]),
+    ({"latitude": "up"}, ["invalid_latitude"]),
     ({"latitude": "NaN"}, ["invalid_latitude"]),
     ({"latitude": "1d"}, ["invalid_latitude"]),
     ({"latitude": "-90"}, []),
     ({"latitude": None, "longitude": None}, []),
-    ({"longitude": "180.0001"}, ["invalid_longitude"]),
-    ({"nationality": "IRL"}, ["invalid_nationality"]),
-    ({"nationality": "ie"}, ["invalid_nationality"]),
-    ({"nationality": "ZZ"}, ["invalid_nationality"]),
-    ({"timezone_offset": "5:30"}, []),
+    ({"longitude": "-180.5"}, ["invalid_longitude"]),
+    ({"nationality": "Irish"}, ["invalid_nationality"]),
+    ({"nationality": "Ie"}, ["invalid_nationality"]),
+    ({"nationality": "Q9"}, ["invalid_nationality"]),
+    ({"timezone_offset": "3:45"}, []),
     ({"timezone_offset": "-12:00"}, []),
     ({"timezone_offset": "-12:01"}, ["invalid_timezone_offset"]),
     ({"timezone_offset": "+14:00"}, []),
     ({"timezone_offset": "+14:01"}, ["invalid_timezone_offset"]),
-    ({"timezone_offset": "+15:00"}, ["invalid_timezone_offset"]),
-    ({"timezone_offset": "+01:99"}, ["invalid_timezone_offset"]),
-    ({"timezone_offset": "+001:00"}, ["invalid_timezone_offset"]),
+    ({"timezone_offset": "+19:30"}, ["invalid_timezone_offset"]),
+    ({"timezone_offset": "+03:60"}, ["invalid_timezone_offset"]),
+    ({"timezone_offset": "+003:00"}, ["invalid_timezone_offset"]),
     ({"timezone_offset": "+١:00"}, ["invalid_timezone_offset"]),
-    ({"picture_large": "http://example.org/l.png"}, ["invalid_picture_url:picture_large"]),
-    ({"picture_medium": "HTTPS://example.org/m.png"}, []),
-    ({"picture_thumbnail": "https:///t.png"}, ["invalid_picture_url:picture_thumbnail"]),
+    ({"picture_large": "http://pics.hopper.net/1"}, ["invalid_picture_url:picture_large"]),
+    ({"picture_medium": "HTTPS://pics.hopper.net/2"}, []),
+    ({"picture_thumbnail": "https:///3"}, ["invalid_picture_url:picture_thumbnail"]),
     ({"picture_medium": LONG_URL},
      ["invalid_picture_url:picture_medium", "text_field_too_long:picture_medium"]),
     ({"first_name": "a" * 512}, []),
     ({"first_name": "é" * 512}, []),
     ({"first_name": "é" * 513}, ["text_field_too_long:first_name"]),
-    ({"first_name": "A\nda"}, ["text_field_has_control_characters:first_name"]),
+    ({"first_name": "Gr\tace"}, ["text_field_has_control_characters:first_name"]),
     ({"first_name": "Ada\n"}, []),
     ({"last_name": "x\x85y"}, ["text_field_has_control_characters:last_name"]),
     ({"city": "c" * 513 + "\x7fd", "gender": "\x00m"},

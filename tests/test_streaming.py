@@ -15,7 +15,7 @@ from profilegate.streaming import jobs, upsert
 
 OPTIONS = JobOptions(salt="pepper", reference_date=TODAY)
 NOON = dt.datetime(2024, 5, 1, 12, tzinfo=dt.UTC)
-CHANGES = [{}, {"username": ""}, {"country": "Atlantis"}, {"email": "nobody"}, {"timezone_offset": "+15:00"}]
+CHANGES = [{}, {"username": ""}, {"country": "Ruritania"}, {"email": "nobody"}, {"timezone_offset": "+16:30"}]
 
 
 def message(i, change, **wire):
@@ -45,7 +45,7 @@ def test_job_routes_every_record_with_its_reasons(spark, tmp_path):
         ["invalid_json"], ["invalid_json"], ["contract_violation:additional_properties"],
         ["contract_violation:latitude"], ["contract_violation:first_name"],
     ]
-    assert [r.topic == S.CREATED_TOPIC for r in back] == [r is None for r in reasons]
+    assert [r.topic == S.VALID_TOPIC for r in back] == [r is None for r in reasons]
     observed = jobs.batch_metrics(query)
     assert observed[0]["quality.rows"] == 10 and observed[0]["contract.violating"] >= 4 and observed[0]["input_rows"] == 10
 
@@ -124,13 +124,13 @@ def test_upsert_is_idempotent_over_replayed_batches(spark, tmp_path):
     path, keys, order = str(tmp_path / "view"), ["kind"], ["ts", "n"]
     one = spark.createDataFrame([(1, NOON, "a"), (2, NOON, "a"), (3, NOON, "b")], "n long, ts timestamp, kind string")
     two = spark.createDataFrame([(4, NOON + dt.timedelta(hours=1), "a"), (5, NOON + dt.timedelta(days=1), "b")], one.schema)
-    for batch_id, batch in ((0, one), (1, two), (1, two), (0, one)):
-        upsert.write_batch(batch.withColumn("event_date", F.to_date("ts")), batch_id, path, keys, order, "event_date")
+    for query_id, batch_id, batch in (("q", 0, one), ("q", 1, two), ("q", 1, two), ("q", 0, one), ("r", 0, two)):
+        upsert.write_batch(batch.withColumn("event_date", F.to_date("ts")), query_id, batch_id, path, keys, order, "event_date")
     rows = upsert.current_rows(spark, path, keys, order).orderBy("kind", "event_date").collect()
     assert [(r.kind, r.event_date.day, r.n) for r in rows] == [("a", 1, 4), ("b", 1, 3), ("b", 2, 5)]
     whole = upsert.current_rows(spark, path, keys, order, per_day=False).orderBy("kind").collect()
     assert [(r.kind, r.n) for r in whole] == [("a", 4), ("b", 5)]
-    assert spark.read.parquet(path).count() == 4
+    assert spark.read.parquet(path).count() == 6  # the second query has directories of its own
 
 
 def test_upsert_stream_restarts(spark, tmp_path):
