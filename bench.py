@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,14 +22,14 @@ from profilegate.operators import routing as RT
 from profilegate.operators import rules as R
 from profilegate.operators import sli
 from profilegate.operators import views as V
-from profilegate.options import JobOptions, configure
+from profilegate.options import JobOptions, configure, local_folder, shared_folder
 from profilegate.plans import fixtures as FX
 from profilegate.plans import landed as L
 from profilegate.streaming import jobs
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-ROUNDS = 2
+ROUNDS = 3
 
 
 def noop(df: DataFrame) -> None:
@@ -49,7 +48,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
     options = JobOptions(salt=FX.SALT, reference_date=FX.REFERENCE_DATE)
-    base = tempfile.mkdtemp(prefix="profilegate-bench-")
+    base = shared_folder(local_folder(spark))
     tasks = 2 * int(CPUS)
 
     lines = FX.table(spark, FOLDER, "lineitem").select("l_orderkey", "l_linenumber")
@@ -61,7 +60,8 @@ def main() -> None:
     responses = spark.read.parquet(base + "/responses")
     L.created_log(spark, FOLDER).repartition(tasks).write.parquet(base + "/log")
     log = spark.read.parquet(base + "/log")
-    raw_events = FX.table(spark, FOLDER, "events")
+    FX.table(spark, FOLDER, "events").repartition(tasks).write.parquet(base + "/ticks")
+    raw_events = spark.read.parquet(base + "/ticks")
 
     def checked() -> DataFrame:
         return R.check_quality(events, FX.REFERENCE_DATE)

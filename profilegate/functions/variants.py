@@ -53,14 +53,17 @@ def whole_number(text: Column) -> Column:
     return F.coalesce(digits, F.when(text.contains("E") & (power == F.floor(power)), power.try_cast("long")))
 
 
-def one_document(value: Column) -> Column:
-    """JSON text as a variant; null unless the text is exactly one document.
+def sealed(value: Column) -> Column:
+    """JSON text parsed as the first of two elements, the second being the hash of the text.
 
     Parsers stop at the end of the first document and ignore what follows, and text can close a bracket put
-    around it. So it is parsed as the first of two elements, the second being the hash of the text, which
-    no text can contain of itself.
+    around it, but no text can contain the hash of itself. ``document()`` tells what came of it; the two are
+    apart so that the parse can be computed once.
     """
-    seal = F.sha2(value, 256)
-    root = F.from_json(F.concat(F.lit("["), value, F.lit(',"'), seal, F.lit('"]')), "array<variant>")
-    sealed = (F.size(root) == 2) & (as_text(F.get(root, F.lit(1))) == seal)
-    return F.when(sealed, F.get(root, F.lit(0)))
+    return F.from_json(F.concat(F.lit("["), value, F.lit(',"'), F.sha2(value, 256), F.lit('"]')), "array<variant>")
+
+
+def document(parsed: Column, value: Column) -> Column:
+    """The document of sealed text; null unless the text is exactly one."""
+    whole = (F.size(parsed) == 2) & (as_text(F.get(parsed, F.lit(1))) == F.sha2(value, 256))
+    return F.when(whole, F.get(parsed, F.lit(0)))

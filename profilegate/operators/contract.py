@@ -212,7 +212,8 @@ def parse_messages(df: DataFrame, value: str, names: Sequence[str], column: str)
 
     The text is parsed once. Null when it is not exactly one JSON object.
     """
-    df = settle(df, {"_document": V.one_document(F.col(value))})
+    df = settle(df, {"_sealed": V.sealed(F.col(value))})
+    df = df.withColumn("_document", V.document(F.col("_sealed"), F.col(value))).drop("_sealed")
     opened = F.struct(
         V.as_struct(F.col("_document"), *names).alias("members"),
         F.map_keys(F.try_variant_get(F.col("_document"), "$", "map<string, variant>")).alias("keys"),

@@ -142,7 +142,8 @@ def classify_responses(responses: DataFrame, observe_as: str | None = None) -> D
     One bad item fails its whole response, so items are mapped inside the row and never shuffled.
     """
     answered = F.col("transport_error").isNull() & F.col("status_code").between(200, 299)
-    df = settle(responses, {"_root": F.when(answered, V.one_document(F.col("body")))})
+    df = settle(responses, {"_sealed": F.when(answered, V.sealed(F.col("body")))})
+    df = df.withColumn("_root", V.document(F.col("_sealed"), F.col("body"))).drop("_sealed")
     df = df.withColumn("_object", V.as_struct(F.col("_root"), "results"))
     df = df.withColumn("_items", V.as_array(F.col("_object")["results"]))
     opened = F.transform(F.transform(F.transform(F.col("_items"), _open_item), _open_parts), _open_location)

@@ -124,15 +124,18 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder all executors can reach, under ``spark.checkpoint.dir``.
-
-    A local master may fall back on a temporary folder; a cluster must name the shared one.
-    """
+    """A fresh folder all executors can reach, under ``spark.checkpoint.dir`` or the context's checkpoint folder."""
     import uuid
 
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.gettempdir() + "/profilegate"
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
+
+
+def local_folder(spark: SparkSession) -> SparkSession:
+    """Give a session on one machine a checkpoint folder if it has none, as tests and benchmarks do."""
+    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if known is None and spark.sparkContext.master.partition("[")[0] == "local":
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="profilegate-"))
+    return spark

@@ -330,7 +330,9 @@ def _stream_route() -> str:
         "SELECT CASE WHEN reasons = '' THEN 'users_valid' ELSE 'users_created_invalid' END AS topic, "
         f"CASE WHEN {broken} OR source_user_id = '' THEN NULL WHEN reasons = '' THEN source_user_id ELSE {PSEUDONYM} END AS key, "
         f"CASE WHEN reasons <> '' THEN {listed} END AS reasons, "
-        "CASE WHEN reasons = '' THEN username END AS username FROM Q"
+        "CASE WHEN reasons = '' THEN username END AS username, "
+        "CASE WHEN reasons = '' THEN 'valid' ELSE 'invalid' END AS validation_status, "
+        "CAST(CASE WHEN reasons = '' THEN 0 ELSE len(string_split(reasons, ',')) END AS INT) AS reason_count FROM Q"
     )
 
 
@@ -512,6 +514,7 @@ def statements() -> dict[str, str]:
         "stream_dedupe": "WITH T AS (SELECT CAST(floor(epoch_us(ts) / 86400000000) AS BIGINT) * 86400000000 AS window_us, *, "
         "row_number() OVER (PARTITION BY user_id, event_type, floor(epoch_us(ts) / 86400000000) ORDER BY ts, event_id) AS rn FROM events) "
         f"SELECT window_us, user_id, event_type, event_id FROM T WHERE rn = 1 AND window_us + 86400000000 <= {WATERMARK}",
+        "stream_exactly_once": "SELECT event_id, user_id, event_type FROM events",
         "stream_route": _stream_route(),
         "replay_range": f"WITH {RAW}, G AS (SELECT 'user-' || (k % 1000) AS key, k AS \"offset\", 1704067200 + k * 61 AS sec FROM RAW), "
         f"N AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY sec DESC, \"offset\" DESC) AS rn FROM G WHERE sec >= {start} AND sec < {end}) "

@@ -405,6 +405,23 @@ def stream_dedupe(spark, folder):
     return spark.read.schema(out.schema).parquet(_drain(out, shared_folder(spark)))
 
 
+@query
+def stream_exactly_once(spark, folder):
+    """Events in four batches by time, the last a late copy of the first: every event comes out once."""
+    base = shared_folder(spark)
+    events = FX.table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type")
+    start, end = events.agg(F.min("ts"), F.max("ts")).first()
+    third = (end - start) / 3
+    first, second = F.col("ts") < start + third, F.col("ts") < start + 2 * third
+    parts = (first, ~first & second, ~second, first)
+    for part in parts:
+        events.filter(part).coalesce(1).write.mode("append").parquet(base + "/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(base + "/events")
+    once = jobs.drop_duplicates(stream, ["user_id", "event_type", "event_id"], ts="ts", watermark="1 day")
+    out = once.select("event_id", "user_id", "event_type")
+    return spark.read.schema(out.schema).parquet(_drain(out, base))
+
+
 @query
 def stream_route(spark, folder):
     """Framed messages through the whole job: contract, rules, reasons, topics."""
@@ -419,6 +436,8 @@ def stream_route(spark, folder):
         F.decode("key", "UTF-8").alias("key"),
         F.get_json_object("json", "$.rejection_reasons").alias("reasons"),
         F.get_json_object("json", "$.username").alias("username"),
+        "validation_status",
+        "reason_count",
     )
 
 

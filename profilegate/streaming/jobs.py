@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from profilegate import schemas as S
 from profilegate.operators import contract as C
@@ -20,7 +20,8 @@ def validate_log(log: DataFrame, options: JobOptions) -> DataFrame:
     """Event-log records of the created topic to checked, typed profiles with all their reasons.
 
     Works on streams and tables alike and stays one narrow stage: unframe, parse once, contract,
-    rules. A record that is not framed or not JSON keeps its place in the log as a reject.
+    rules. A record that is not framed or not JSON keeps its place in the log as a reject. Status, number of reasons,
+    age, and the times of ingestion and processing come along.
     """
     messages = RT.unframe(log).withColumn("_topic", F.lit(options.created_topic))
     messages = C.check_messages(
@@ -35,7 +36,8 @@ def validate_log(log: DataFrame, options: JobOptions) -> DataFrame:
     checked = C.check_profiles(
         profiles, options.today_column, country_codes=options.iso_codes, observe_as="quality"
     )
-    return checked.withColumn(R.REASONS, merged_reasons(F.col("violations"), F.col(R.REASONS))).drop("violations", "_topic")
+    merged = checked.withColumn(R.REASONS, merged_reasons(F.col("violations"), F.col(R.REASONS))).drop("violations", "_topic")
+    return R.enrich(merged, options.today_column, F.col("timestamp") if "timestamp" in log.columns else None)
 
 
 def merged_reasons(violations: Column, reasons: Column) -> Column:
@@ -73,10 +75,11 @@ def start_route(log: DataFrame, options: JobOptions, checkpoint: str, *, path: s
     """Validate a log stream and publish every record to its topic.
 
     One query feeds both topics, so the source is read once. The file sink is exactly-once, the
-    Kafka sink at-least-once. Event time and correlation headers travel along.
+    Kafka sink at-least-once. Correlation headers travel along; a file sink keeps event time and quality metadata too.
     """
     checked = validate_log(log, options)
-    carry = [c for c in ("timestamp", "headers") if c in checked.columns]
+    metadata = ("timestamp", "validation_status", "reason_count", "age_years", "processed_at")
+    carry = [c for c in ("headers", *(metadata if path is not None else ())) if c in checked.columns]
     routed = RT.route(checked, options, *carry)
     writer = routed.writeStream.queryName("route").option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "30 seconds"}))
     if path is None:
@@ -145,15 +148,45 @@ def drop_duplicates(df: DataFrame, keys: Sequence[str], *, ts: str, watermark: s
     return rows.dropDuplicatesWithinWatermark(list(keys))
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the query dropped so far for arriving behind the watermark."""
-    return sum(
-        operator.numRowsDroppedByWatermark for progress in query.recentProgress for operator in progress.stateOperators
-    )
+class JobTotals(StreamingQueryListener):
+    """Totals of every streaming query of a session since ``watch()``, over all of its batches.
+
+    A query itself remembers only its latest batches; a listener hears of each one.
+    """
+
+    def __init__(self) -> None:
+        self._totals: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self._totals.setdefault(str(event.id), {"batches": 0, "input_rows": 0, "late_rows": 0})
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        totals = self._totals.setdefault(str(progress.id), {"batches": 0, "input_rows": 0, "late_rows": 0})
+        totals["batches"] += 1
+        totals["input_rows"] += progress.numInputRows
+        totals["late_rows"] += sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> dict[str, int]:
+        """Batches, input rows and rows dropped behind the watermark, kept across restarts of the query in this session."""
+        return dict(self._totals.get(str(query.id), {"batches": 0, "input_rows": 0, "late_rows": 0}))
+
+
+def watch(spark: SparkSession) -> JobTotals:
+    """Start to count; ``spark.streams.removeListener`` ends it."""
+    totals = JobTotals()
+    spark.streams.addListener(totals)
+    return totals
 
 
 def batch_metrics(query: StreamingQuery) -> list[dict]:
-    """Per micro-batch: rows read and written, duration, and the observed contract and quality counts."""
+    """Per micro-batch that the query still remembers, a hundred by default: rows read and written, duration, and the observed contract and quality counts."""
     out = []
     for progress in query.recentProgress:
         row = {

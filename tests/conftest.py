@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 @pytest.fixture(scope="session")
 def spark():
-    from profilegate.options import configure
+    from profilegate.options import configure, local_folder
 
     session = (
         SparkSession.builder.master("local[8]")
@@ -22,5 +22,5 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield configure(session)
+    yield local_folder(configure(session))
     session.stop()

@@ -77,6 +77,7 @@ def ticks(spark, path, minutes, kind="a", first=0):
 
 
 def test_counters_emit_closed_windows_and_drop_late_rows(spark, tmp_path):
+    totals = jobs.watch(spark)
     path = str(tmp_path / "in")
     stream = ticks(spark, path, [0, 5, 59, 130])
     checked = lambda s: s.select("ts", F.col("kind").alias("source"), F.array().cast("array<string>").alias(R.REASONS))
@@ -85,7 +86,9 @@ def test_counters_emit_closed_windows_and_drop_late_rows(spark, tmp_path):
     stream = ticks(spark, path, [10, 250], first=10)  # the first one is long gone
     query, out = run(spark, jobs.windowed_counters(checked(stream), ts="ts"), tmp_path, "counters")
     assert [(r.window.start.hour, r.profiles) for r in out.orderBy("window").collect()] == [(12, 3), (14, 1)]
-    assert jobs.late_rows(query) == 1
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert totals.of(query)["late_rows"] == 1 and totals.of(query)["batches"] >= 2
+    spark.streams.removeListener(totals)
 
 
 def test_copies_fold_to_the_first_row_of_a_window(spark, tmp_path):
@@ -157,7 +160,8 @@ def test_work_folder_comes_from_the_session():
     cluster = Session("spark://host:7077", "/shared/ckpt/")
     assert shared_folder(cluster).startswith("/shared/ckpt/run-")
     assert shared_folder(cluster) != shared_folder(cluster)
-    assert "/profilegate/run-" in shared_folder(Session("local[2]"))
+    with pytest.raises(ValueError):
+        shared_folder(Session("local[2]"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session("spark://host:7077"))
 
@@ -184,3 +188,12 @@ def test_a_running_job_moves_with_the_date(spark, tmp_path):
     checked = jobs.validate_log(log, JobOptions(salt="x"))
     assert [r.rejection_reasons for r in checked.orderBy("offset").collect()] == [["registered_in_future"], []]
     assert "headers" in checked.columns
+
+
+def test_routed_rows_carry_their_metadata(spark, tmp_path):
+    write_log(spark, str(tmp_path / "log"), [message(0, {}), message(1, {"username": ""})])
+    log = event_log.stream_files(spark, str(tmp_path / "log")).withColumn("headers", RT.correlation_headers(F.lit("r1"), F.lit("t1")))
+    jobs.start_route(log, OPTIONS, str(tmp_path / "cp"), path=str(tmp_path / "out"), availableNow=True).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("timestamp").collect()
+    assert [(r.validation_status, r.reason_count) for r in rows] == [("valid", 0), ("invalid", 1)]
+    assert all(r.age_years > 13 and r.processed_at and r.headers[0].key == "request_id" for r in rows)
