@@ -31,13 +31,15 @@ UTC_OFFSET = (
 
 _ATOM = r"[A-Za-z0-9_!#$%&'*+/=?^`{|}~\p{L}\p{N}\p{M}-]+"
 _LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
-EMAIL = rf"\A{_ATOM}(?:[.]{_ATOM})*@(?:{_LABEL}[.])+(?:[A-Za-z0-9-]{{0,62}}[A-Za-z])\z"
+EMAIL = rf"\A{_ATOM}(?:[.]{_ATOM})*@(?:{_LABEL}[.])+(?:[A-Za-z0-9][A-Za-z0-9-]{{0,61}})?[A-Za-z]\z"
 # Top-level names reserved by RFC 6761 and RFC 7686, which no mail can reach.
 RESERVED_DOMAIN = r"[.@](?:arpa|invalid|local|localhost|onion|test)\z"
 
+# Up to 65535, or none after the colon.
+_PORT = r"(?:[0-9]{0,4}|[0-5][0-9]{4}|6(?:[0-4][0-9]{3}|5(?:[0-4][0-9]{2}|5(?:[0-2][0-9]|3[0-5]))))"
 HTTP_URL = (
     r"(?is)\Ahttps?://(?:[^/?#@\s]*@)?"
-    r"(?:\[[0-9a-f:.]+\]|[^\s/?#@:\[\]<>^|%\\\"{}`]+)(?::[0-9]{0,5})?(?:[/?#\\].*)?\z"
+    r"(?:\[[0-9a-f:.]+\]|[^\s/?#@:\[\]<>^|%\\\"{}`]+)(?::" + _PORT + r")?(?:[/?#\\].*)?\z"
 )
 HTTPS_WITH_HOST = r"(?i)\Ahttps://[^/?#]"
 

@@ -85,6 +85,8 @@ _EMAILS = {
     7: "'a b@example.com'",
     8: "repeat('x', 65) || '@example.com'",
     9: "'a@mail.test'",
+    10: "'a@mail.-com'",
+    11: "'a@mail.co-m'",
 }
 _URLS = {
     0: "'not-a-url'",
@@ -95,6 +97,9 @@ _URLS = {
     5: "'https://exa mple.com/'",
     6: "'https:example.com'",
     7: "'https://[::1]/x'",
+    8: "'https://example.com:99999/x'",
+    9: "'https://example.com:65535'",
+    10: "'http://example.com:/'",
 }
 _NUMBERS = {0: "'1d'", 1: "'NaN'", 2: "' 12.5 '", 3: "'-90'", 4: "'1e1'", 5: "''", 6: "'.5'", 7: "'90.0001'"}
 

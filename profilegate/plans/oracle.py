@@ -58,15 +58,45 @@ def inside(c: str, low: int, high: int) -> str:
     return f"coalesce({c} >= {low} AND {c} <= {high}, false)"
 
 
+def _only(c: str, allowed: str) -> str:
+    """No character outside of ``allowed``."""
+    return f"translate({c}, {q(allowed)}, '') = ''"
+
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_DIGITS = "0123456789"
+
+
 def email_ok(c: str) -> str:
+    """Taken apart at @ and dots, and each part checked by its characters."""
+    local, domain = f"string_split({c}, '@')[1]", f"lower(string_split({c}, '@')[2])"
+    labels = f"string_split({domain}, '.')"
+    last = f"list_extract({labels}, -1)"
+    label = f"x <> '' AND length(x) <= 63 AND x[1] <> '-' AND x[-1] <> '-' AND {_only('x', _LETTERS + _DIGITS + '-')}"
+    unwanted = "list_has_any(string_split(" + local + ", ''), string_split(' \"(),:;<>[]' || chr(92) || chr(9) || chr(10), ''))"
     return (
-        f"(regexp_matches({c}, {q(X.EMAIL)}) AND length({c}) <= 254 AND strpos({c}, '@') <= 65 "
-        f"AND NOT regexp_matches(lower({c}), {q(X.RESERVED_DOMAIN)}))"
+        f"(CASE WHEN {c} IS NULL THEN NULL ELSE len(string_split({c}, '@')) = 2 AND length({c}) <= 254 AND length({local}) BETWEEN 1 AND 64 "
+        f"AND NOT list_contains(string_split({local}, '.'), '') AND NOT {unwanted} AND len({labels}) >= 2 "
+        f"AND len(list_filter({labels}, lambda x: NOT ({label}))) = 0 AND {_only(last + '[-1]', _LETTERS)} "
+        f"AND {last} NOT IN ('arpa', 'invalid', 'local', 'localhost', 'onion', 'test') END)"
     )
 
 
 def http_ok(c: str) -> str:
-    return f"regexp_matches({c}, {q(X.HTTP_URL)})"
+    """Scheme, authority, host and port taken apart in turn."""
+    authority = f"string_split_regex(substr({c}, strpos({c}, '://') + 3), '[/?#\\\\]')[1]"
+    place = f"list_extract(string_split({authority}, '@'), -1)"
+    closed = f"strpos({place}, ']')"
+    bracketed = f"{place}[1] = '['"
+    host = f"CASE WHEN {bracketed} THEN substr({place}, 2, {closed} - 2) ELSE string_split({place}, ':')[1] END"
+    after = f"CASE WHEN {bracketed} THEN substr({place}, {closed} + 1) ELSE substr({place}, length(string_split({place}, ':')[1]) + 1) END"
+    forbidden = "list_has_any(string_split(" + host + ", ''), string_split(' \"<>^|%{}`[]' || chr(9) || chr(10) || chr(92), ''))"
+    good_host = f"CASE WHEN {bracketed} THEN {closed} > 2 AND {_only(f'lower({host})', 'abcdef:.' + _DIGITS)} ELSE ({host}) <> '' AND NOT {forbidden} END"
+    good_port = f"(({after}) IN ('', ':') OR (({after})[1] = ':' AND length({after}) <= 6 AND {_only(f'({after})[2:]', _DIGITS)} AND coalesce(TRY_CAST(({after})[2:] AS INT), 0) <= 65535))"
+    return (
+        f"(CASE WHEN {c} IS NULL THEN NULL ELSE lower(split_part({c}, '://', 1)) IN ('http', 'https') AND strpos({c}, '://') > 0 "
+        f"AND len(string_split({authority}, '@')) <= 2 AND strpos({authority}, ' ') = 0 AND ({good_host}) AND {good_port} END)"
+    )
 
 
 def control(c: str) -> str:
