@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from profilegate.operators import metrics, rejects
 from profilegate.operators import rules as R
 
 LOAD = "load_id"
@@ -67,6 +68,28 @@ def write_view(df: DataFrame, path: str, partition_by: Sequence[str], mode: str
     even.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def dated(df: DataFrame, ts: str, unit: str = "day", date_column: str = "event_date") -> DataFrame:
+    """Adds the date a view is laid out by: the day of ``ts``, or the first of its week or month."""
+    return df.withColumn(date_column, F.trunc(ts, unit) if unit != "day" else F.to_date(ts))
+
+
+def write_latest_valid(checked: DataFrame, path: str, ts: str, *carry: str, unit: str = "day", load: str | None = None) -> None:
+    """Valid events by date of ingestion, so the latest ones are found in the last directories."""
+    write_view(dated(rejects.valid_events(checked, ts, *carry), ts, unit), path, ["event_date"], load=load)
+
+
+def write_invalid_by_reason(invalid: DataFrame, path: str, ts: str, *carry: str, unit: str = "day", load: str | None = None) -> None:
+    """Rejects by reason and date of processing, one row for each reason."""
+    write_view(dated(invalid_by_reason(invalid, ts, *carry), ts, unit), path, ["reason", "event_date"], load=load)
+
+
+def write_counters(checked: DataFrame, path: str, ts: str, unit: str = "day", load: str | None = None) -> None:
+    """Rows per date, status and source."""
+    rows = dated(checked.select(ts, "source", metrics.status().alias("validation_status")), ts, unit)
+    counts = rows.groupBy("event_date", "validation_status", "source").agg(F.count("*").alias("profiles"))
+    write_view(counts, path, ["event_date"], load=load)
+
+
 def retained(view: DataFrame, today: dt.date, keep_days: int, date_column: str = "event_date") -> DataFrame:
     """Rows within the retention period; on a table partitioned by date this prunes directories."""
     if keep_days < 1:

@@ -531,6 +531,12 @@ def statements() -> dict[str, str]:
         "N AS (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY ingested_at DESC, event_id) AS rank FROM R) "
         f"SELECT reason, CAST(rank AS INT) AS rank, event_id, epoch_us(ingested_at) AS processed_us, {PSEUDONYM} AS source_user_id FROM N WHERE rank <= 3",
         "view_partitioned": f"{STRUCTURAL_P}, {EVENTS} SELECT event_id, source_user_id, country FROM E WHERE reasons = ''",
+        "view_latest_valid": f"{STRUCTURAL_P}, {EVENTS} SELECT CAST(date_trunc('month', ingested_at) AS DATE) AS event_date, count(*) AS events, "
+        "arg_max(event_id, (ingested_at, event_id)) AS newest FROM E WHERE reasons = '' GROUP BY 1",
+        "view_invalid_by_reason": f"{QUALITY}, {EVENTS} SELECT unnest(string_split(reasons, ',')) AS reason, "
+        "CAST(date_trunc('month', ingested_at) AS DATE) AS event_date, event_id FROM E WHERE reasons <> ''",
+        "view_counters": f"{QUALITY}, {EVENTS} SELECT CAST(date_trunc('month', ingested_at) AS DATE) AS event_date, {STATUS} AS validation_status, source, "
+        "count(*) AS profiles FROM E GROUP BY ALL",
         "retention": f"{QUALITY}, {EVENTS} SELECT CAST(date_trunc('month', ingested_at) AS DATE) AS event_date, count(*) AS rejects FROM E "
         f"WHERE reasons <> '' AND CAST(date_trunc('month', ingested_at) AS DATE) > DATE '{cutoff}' GROUP BY 1",
         "stream_counters": "WITH T AS (SELECT CAST(floor(epoch_us(ts) / 21600000000) AS BIGINT) * 21600000000 AS window_us, "

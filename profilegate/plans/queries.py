@@ -357,6 +357,33 @@ def view_partitioned(spark, folder):
     return spark.read.parquet(path).select("event_id", "source_user_id", "country")
 
 
+@query
+def view_latest_valid(spark, folder):
+    """Valid events laid out by month of ingestion; the newest of every month."""
+    path = shared_folder(spark) + "/latest_valid"
+    V.write_latest_valid(C.check_profiles(FX.profile_events(spark, folder), TODAY), path, "ingested_at", "event_id", unit="month")
+    view = spark.read.parquet(path)
+    return view.groupBy("event_date").agg(F.count("*").alias("events"), F.max(F.struct("ingested_at", "event_id")).alias("m")).select(
+        "event_date", "events", F.col("m.event_id").alias("newest"))
+
+
+@query
+def view_invalid_by_reason(spark, folder):
+    """Rejects laid out by reason and month."""
+    path = shared_folder(spark) + "/by_reason"
+    invalid = rejects.invalid_events(checked_events(spark, folder), FX.SALT, "event_id", "ingested_at")
+    V.write_invalid_by_reason(invalid, path, "ingested_at", "event_id", unit="month")
+    return spark.read.parquet(path).select("reason", "event_date", "event_id")
+
+
+@query
+def view_counters(spark, folder):
+    """Counters laid out by month."""
+    path = shared_folder(spark) + "/counters"
+    V.write_counters(checked_events(spark, folder), path, "ingested_at", unit="month")
+    return spark.read.parquet(path).select("event_date", "validation_status", "source", "profiles")
+
+
 @query
 def retention(spark, folder):
     """A dated reject view after its expired directories were removed."""
