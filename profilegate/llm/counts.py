@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from profilegate.llm.tables import give_back
+
 SLICE = 1024
 _PARTIAL = "class string, slice int, counts binary"
 
@@ -33,6 +35,7 @@ def count_features(df: DataFrame, features: Callable[[list], Iterator[np.ndarray
             if part.any()
         ]
         yield pd.DataFrame(rows, columns=["class", "slice", "counts"])
+        give_back()
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         total = np.sum([np.frombuffer(x, np.int64) for x in group["counts"]], axis=0)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilegate.llm import fuse
-from profilegate.llm.screening import bucket_count, filter_table, screened
+from profilegate.llm.screening import bucket_count, filter_table, screened, without
 from profilegate.llm.tables import Work, fresh, without_spaces
 
 _SCREENED = "key string, n_points long, doc_id long, size long, hit boolean"
@@ -142,7 +142,9 @@ def without_duplicates(work: Work, docs: DataFrame) -> DataFrame:
     gone_id, gone_key = fresh(docs, "gone_id", "gone_key")
     gone = work.land(gone.select(F.col("doc_id").alias(gone_id), F.col("key").alias(gone_key)).distinct(), "gone")
     key = sha256(normalised(F.col("text")))
-    out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(gone_id)) & F.col(gone_key).startswith(key), "left_anti")
+    match = F.col("doc_id").eqNullSafe(F.col(gone_id)) & F.col(gone_key).startswith(key)
+    # A null id has no place among longs; the hash of an id has.
+    out = without(work, docs, F.xxhash64("doc_id"), gone, F.xxhash64(gone_id), match)
     if not rows.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
         out = out.withColumn(gone_key, key).dropDuplicates(["doc_id", gone_key]).drop(gone_key)
     return out

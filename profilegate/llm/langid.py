@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from profilegate.llm.codepoints import SCRIPTS, mix64, pieces, tables, words
 from profilegate.llm.counts import count_features
-from profilegate.llm.tables import Work, id_text
+from profilegate.llm.tables import Work, give_back, id_text
 
 UNKNOWN = "und"
 TRIGRAMS = 1 << 15
@@ -182,5 +182,6 @@ def label(work: Work, model: Model, text: Column, penalty: float = PENALTY) -> C
         labeller = Labeller(shared.value, penalty)
         for batch in batches:
             yield pd.DataFrame(labeller.label(batch.tolist()), columns=["lang_pred", "score", "spans"])
+        give_back()
 
     return labelled(text)

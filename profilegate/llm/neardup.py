@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from profilegate.llm.components import components
-from profilegate.llm.screening import screened
+from profilegate.llm.screening import screened, without
 from profilegate.llm.shingles import bands, set_key, shingle_set, signature
-from profilegate.llm.tables import Work, fresh
+from profilegate.llm.tables import Work, fresh, give_back
 
 WORDS = 5
 PERCENT = 80
@@ -48,6 +48,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 else:
                     out.append((0, None, None))
             yield pd.DataFrame(out, columns=["n", "set_key", "bands"])
+        give_back()
 
     return docs.select("doc_id", signed("text").alias("s")).select("doc_id", "s.n", "s.set_key", "s.bands")
 
@@ -60,6 +61,7 @@ def shingles_of(work: Work, docs: DataFrame, nodes: DataFrame, words: int) -> Da
         for texts, keys in batches:
             sets = (shingle_set(x, words) for x in texts.tolist())
             yield pd.Series([x.view(np.int64) if set_key(x) == key else None for x, key in zip(sets, keys.tolist(), strict=True)])
+        give_back()
 
     texts = screened(work, docs.select("doc_id", "text"), F.col("doc_id"), nodes.select(F.col("node").alias("key")))
     texts = texts.join(nodes, F.col("doc_id") == F.col("node"))
@@ -140,7 +142,9 @@ def rest_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).join(sets, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(block_links(group.reset_index(drop=True), percent), columns=["a", "b"], dtype="int64")
+        found = block_links(group.reset_index(drop=True), percent)
+        give_back()
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
 
@@ -204,4 +208,6 @@ def without_near_duplicates(work: Work, docs: DataFrame, words: int = WORDS, per
     """The rows of ``docs`` whose document is the least of its component, with their columns."""
     (gone_id,) = fresh(docs, "gone_id")
     gone = near_duplicates(work, docs, words, percent).filter("NOT kept").select(F.col("doc_id").alias(gone_id)).distinct()
-    return docs.join(work.land(gone, "gone"), F.col("doc_id") == F.col(gone_id), "left_anti")
+    gone = work.land(gone, "gone")
+    # Any id will do for rows without one: at worst they take part in the join, which they don't match.
+    return without(work, docs, F.coalesce("doc_id", F.lit(-1)), gone, F.col(gone_id), F.col("doc_id") == F.col(gone_id))

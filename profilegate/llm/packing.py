@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilegate.llm.encoding import Encoder, Vocabulary, default_vocabulary
-from profilegate.llm.tables import Work, rows_of
+from profilegate.llm.tables import Work, give_back, rows_of
 
 LENGTH = 2048
 CLOSING_ID = 0
@@ -48,6 +48,8 @@ def pieces(text: Column, vocabulary: Vocabulary | None = None, length: int = LEN
         encoder = Encoder(files)
         for batch in batches:
             yield pd.Series([cut(encoder.encode(x or "") + end, length) for x in batch.tolist()])
+        del encoder
+        give_back()
 
     return encoded(text)
 

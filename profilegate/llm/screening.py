@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilegate.llm import fuse
-from profilegate.llm.tables import Work, rows_of
+from profilegate.llm.tables import Work, give_back, rows_of
 
 KEYS_PER_FILTER = 20_000
 LEAST_FILTERS = 64
@@ -30,16 +30,16 @@ def bucket_count(keys: DataFrame) -> int:
     return max(LEAST_FILTERS, -(-rows_of(keys) // KEYS_PER_FILTER))
 
 
-def screened(work: Work, rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    """The rows whose ``key`` (long) is among ``keys``, and a few others.
+def screen(work: Work, key: Column, keys: DataFrame) -> Column | None:
+    """Whether ``key`` (long) may be among ``keys``: true for all that are, and for a few others; false for null.
 
-    The filters are sent to all tasks if they take at most ``MOST_FILTER_BYTES`` together; beyond that every row stays,
-    so results may not depend on rows being left out.
+    The filters are sent to all tasks, so there are none (None) if they would take more than ``MOST_FILTER_BYTES``.
+    Results may not depend on rows being left out.
     """
     buckets = bucket_count(keys)
     built = work.land(filter_table(keys, buckets), "screen")
     if (built.agg(F.sum(F.length("filter"))).first()[0] or 0) > MOST_FILTER_BYTES:
-        return rows
+        return None
     table = work.spark.sparkContext.broadcast({r["bucket"]: bytes(r["filter"]) for r in built.collect()})
 
     @F.pandas_udf("boolean")
@@ -52,5 +52,23 @@ def screened(work: Work, rows: DataFrame, key: Column, keys: DataFrame) -> DataF
                 if b in table.value:
                     hit[where] = fuse.probe(table.value[b], own[where])
             yield pd.Series(hit & known)
+        give_back()
+
+    return maybe(F.pmod(F.hash(key), F.lit(buckets)), key)
+
+
+def screened(work: Work, rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key`` (long) is among ``keys``, and a few others; all rows if the filters are too large."""
+    maybe = screen(work, key, keys)
+    return rows if maybe is None else rows.filter(maybe)
+
 
-    return rows.filter(maybe(F.pmod(F.hash(key), F.lit(buckets)), key))
+def without(work: Work, rows: DataFrame, key: Column, gone: DataFrame, gone_key: Column, match: Column) -> DataFrame:
+    """The rows that match none of ``gone``; equal ``key`` and ``gone_key`` (long) must follow from ``match``.
+
+    Rows the filters clear of being among ``gone`` stay where they are, and only the others are shuffled for the join.
+    """
+    maybe = screen(work, key, gone.select(gone_key.alias("key")))
+    if maybe is None:
+        return rows.join(gone, match, "left_anti")
+    return rows.filter(~maybe).unionByName(rows.filter(maybe).join(gone, match, "left_anti"))

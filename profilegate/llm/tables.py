@@ -29,7 +29,7 @@ class Work:
         self.spark = spark
         self.folder = shared_folder(spark)
         self.count = 0
-        if int(spark.conf.get(_BATCH)) > MOST_ROWS:
+        if not 0 < int(spark.conf.get(_BATCH)) <= MOST_ROWS:
             spark.conf.set(_BATCH, str(MOST_ROWS))
 
     def land(self, df: DataFrame, name: str = "t") -> DataFrame:
@@ -37,16 +37,7 @@ class Work:
         self.count += 1
         path = f"{self.folder}/{self.count:03d}-{name}"
         df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._landed_path = path
-        return out
-
-    def drop(self, *tables: DataFrame) -> None:
-        """Remove landed tables nothing reads any more."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for table in tables:
-            path = jvm.org.apache.hadoop.fs.Path(table._landed_path)
-            path.getFileSystem(conf).delete(path, True)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def word_count(text: Column) -> Column:
@@ -81,3 +72,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
             name += "_"
         out.append(name)
     return out
+
+
+def give_back() -> None:
+    """Return memory freed by a task to the system; Python workers outlive their tasks and would keep it."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -18,6 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from profilegate.llm.encoding import Encoder, Vocabulary, default_vocabulary
+from profilegate.llm.tables import give_back
 
 SEGMENT = 400
 TREE = "struct<chars: array<int>, sums: array<long>>"
@@ -150,6 +151,8 @@ def indexed(text: Column, vocabulary: Vocabulary | None = None) -> Column:
         encoder = Encoder(files)
         for batch in batches:
             yield pd.DataFrame([index(encoder, x or "") for x in batch.tolist()], columns=["chars", "sums"])
+        del encoder
+        give_back()
 
     return built(text)
 
@@ -173,5 +176,7 @@ def counted(text: Column, tree: Column, edits: Column, vocabulary: Vocabulary |
                 _, chars, after, made, encoded = edit(encoder, body or "", chars, sums, changes)
                 out.append((total(sums), total(after), made, encoded, {"chars": chars, "sums": after}))
             yield pd.DataFrame(out, columns=["before", "after", "edits", "encoded_chars", "tree"])
+        del encoder
+        give_back()
 
     return counts(text, tree, edits)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from profilegate.llm.codepoints import mix64, pieces, words
 from profilegate.llm.counts import count_features
-from profilegate.llm.tables import Work, id_text
+from profilegate.llm.tables import Work, give_back, id_text
 
 STEMS = 1 << 17
 PER_CLASS = 6000
@@ -199,5 +199,6 @@ def toxicity(work: Work, model: Model, text: Column) -> Column:
         scorer = Scorer(shared.value)
         for batch in batches:
             yield pd.DataFrame(scorer.score(batch.tolist()), columns=["score", "tokens", "segments"])
+        give_back()
 
     return scored(text)
