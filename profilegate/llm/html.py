@@ -1,7 +1,9 @@
 """Main text of web pages by minimum-cut labelling.
 
 A page is cut into blocks of text at its block-level tags. Each block gets costs for being called content or
-boilerplate, from the nearest telling ancestor, its tag, its length and the share of it that is links. The costs are
+boilerplate, from the nearest telling ancestor, its tag, its length and the share of it that is links. Boilerplate words
+in the names of an article, or of an element inside content, only lower the value of their text: a whole name lowers it
+more than part of one, a class more than an id, and ids of headings and sections, mostly slugs, least. The costs are
 capacities to the source and the sink of a graph; neighbouring blocks and neighbours under one parent are tied by
 smoothness edges, weaker the further apart they are in the tree. The minimum cut, found by maximum flow, is the
 cheapest labelling.
@@ -41,6 +43,17 @@ OTHER_WORDS = frozenset(
 )
 COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
 HEADING_WORDS = frozenset(["header"])
+SECTION_TAGS = frozenset("section h1 h2 h3 h4 h5 h6".split())
+
+# What content and boilerplate are worth, and what a boilerplate or comment word takes from content: as a whole name or a
+# part of one, in class and role or in id.
+CONTENT, OTHER, NAMED = 4.0, -9.0, 3.0
+ARTICLE_COSTS = {("class", True): 6.0, ("class", False): 2.0, ("id", True): 3.0, ("id", False): 1.0}
+INNER_COSTS = {("class", True): 13.0, ("class", False): 7.0, ("id", True): 6.0, ("id", False): 2.0}
+SECTION_COSTS = INNER_COSTS | {("id", True): 2.0, ("id", False): 1.0}
+COMMENT_COSTS = {("class", True): 13.0, ("class", False): 6.0, ("id", True): 8.0, ("id", False): 4.0}
+INNER_COMMENT_COSTS = {("class", True): 13.0, ("class", False): 10.0, ("id", True): 9.0, ("id", False): 4.0}
+HEADING_COMMENT_COSTS = INNER_COMMENT_COSTS | {("id", True): 3.0, ("id", False): 1.0}
 
 _TAG = re.compile(r"<(?:!--|(/?)([a-zA-Z][a-zA-Z0-9:_-]*)|[!?/])")
 _REST = re.compile(r"""(?:[^<>"']|"[^"<>]*"|'[^'<>]*'|["'])*>?""")
@@ -58,6 +71,7 @@ class Element:
     parent: Element | None
     depth: int
     kind: int  # 1 content, -1 boilerplate, -2 readers' comments, 0 untold
+    value: float
     skipped: bool
 
 
@@ -68,40 +82,76 @@ class Block:
     linked: int = 0
 
 
-def _kind(tag: str, words: set[str], parent: Element | None) -> int:
+#: A name of an element: "class" (or role) or "id", and its words.
+Name = tuple[str, tuple[str, ...]]
+
+
+def _cost(names: list[Name], words: frozenset[str], costs: dict[tuple[str, bool], float]) -> float:
+    return max((costs[place, len(parts) == 1] for place, parts in names if not words.isdisjoint(parts)), default=0.0)
+
+
+def _weighed(tag: str, names: list[Name], base: float, inside: bool) -> tuple[int, float]:
+    """Kind and value of an article, or of an element that is in content or names itself so."""
+    if tag in CONTENT_TAGS or not inside:
+        other, comment = ARTICLE_COSTS, COMMENT_COSTS
+    else:
+        other = SECTION_COSTS if tag in SECTION_TAGS else INNER_COSTS
+        comment = HEADING_COMMENT_COSTS if tag in SECTION_TAGS and tag != "section" else INNER_COMMENT_COSTS
+    others, comments = _cost(names, OTHER_WORDS, other), _cost(names, COMMENT_WORDS, comment)
+    value = base - max(others, comments)
+    if any(len(parts) == 1 and parts[0] in CONTENT_WORDS for _, parts in names):
+        value = min(base, value + NAMED)
+    return 1 if value >= 0 else -2 if comments >= others else -1, value
+
+
+def _kind(tag: str, names: list[Name], parent: Element | None) -> tuple[int, float]:
     inside = parent is not None and parent.kind == 1
-    if words & COMMENT_WORDS:
-        return -2
-    if tag in OTHER_TAGS or words & OTHER_WORDS:
-        return -1
+    words = {w for _, parts in names for w in parts}
+    told = words & (COMMENT_WORDS | OTHER_WORDS)
+    if tag in OTHER_TAGS:
+        return -2 if words & COMMENT_WORDS else -1, OTHER
     if tag in CONTENT_TAGS:
-        return 1
-    if (tag == "header" or words & HEADING_WORDS) and not inside:
-        return -1
+        return _weighed(tag, names, CONTENT, inside)
+    if inside:
+        return _weighed(tag, names, parent.value, True) if told else (1, parent.value)
+    heading = tag == "header" or words & HEADING_WORDS
+    if told or heading:
+        # Its own name says content, and only parts of other classes say otherwise.
+        rest = COMMENT_WORDS | OTHER_WORDS | HEADING_WORDS
+        named = any(not CONTENT_WORDS.isdisjoint(parts) and rest.isdisjoint(parts) for _, parts in names)
+        parts_only = all(place == "class" and len(parts) > 1 for place, parts in names if not rest.isdisjoint(parts))
+        if named and parts_only and tag != "header":
+            return _weighed(tag, names, CONTENT, False)
+        return -2 if words & COMMENT_WORDS else -1, OTHER
     if words & CONTENT_WORDS:
-        return 1
-    return parent.kind if parent is not None else 0
+        return 1, CONTENT
+    return (parent.kind, parent.value) if parent is not None else (0, 0.0)
 
 
 def _open(tag: str, attributes: str, parent: Element | None) -> Element:
-    words: set[str] = set()
+    names: list[Name] = []
     skipped = tag in SKIPPED_TAGS or (parent is not None and parent.skipped)
     if attributes:
         for name, *values in _HINTS.findall(attributes):
             value = "".join(values)
             name = name.lower()
             if name in ("class", "id", "role"):
-                words.update(_WORD.findall(value.lower()))
+                place = "id" if name == "id" else "class"
+                names += [(place, parts) for x in value.lower().split() if (parts := tuple(_WORD.findall(x)))]
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _GONE.search(value)):
                 skipped = True
     if tag in ("html", "body"):
-        words = set()
-    kind = _kind(tag, words, parent)
-    if parent is not None and parent.kind < 0 and kind > parent.kind:
-        # Only an article in a wrapper with a misleading name stands by itself.
-        wrapped = tag in CONTENT_TAGS and parent.kind == -1 and parent.tag not in OTHER_TAGS and not _in_content(parent)
-        kind = 1 if wrapped else parent.kind
-    return Element(tag, parent, parent.depth + 1 if parent else 0, kind, skipped)
+        names = []
+    kind, value = _kind(tag, names, parent)
+    if parent is not None and parent.kind < 0:
+        if kind > parent.kind:
+            # Only an article in a wrapper with a misleading name stands by itself.
+            wrapped = tag in CONTENT_TAGS and parent.kind == -1 and parent.tag not in OTHER_TAGS and not _in_content(parent)
+            if not (wrapped and kind == 1):
+                kind, value = parent.kind, parent.value
+        elif kind == parent.kind:
+            value = min(value, parent.value)
+    return Element(tag, parent, parent.depth + 1 if parent else 0, kind, value, skipped)
 
 
 def _in_content(element: Element | None) -> bool:
@@ -113,7 +163,7 @@ def _in_content(element: Element | None) -> bool:
 def blocks(html: str) -> list[Block]:
     """Blocks with text, in page order; markup that is cut off at the end of the page is dropped."""
     out: list[Block] = []
-    current = Element("", None, 0, 0, False)
+    current = Element("", None, 0, 0, 0.0, False)
     block: Block | None = None
     links = 0
     at = 0
@@ -215,9 +265,7 @@ def _leave_paragraph(element: Element) -> Element:
 def score(block: Block, text: str) -> int:
     """How much cheaper it is to call the block content, in hundredths; negative if boilerplate is cheaper."""
     linked = min(1.0, block.linked / max(1, sum(map(len, block.parts))))
-    kind = block.element.kind
-    value = 4.0 if kind == 1 else -9.0 if kind < 0 else 0.0
-    value += min(len(text), 240) / 80 - 4.0 * linked - 0.4
+    value = block.element.value + min(len(text), 240) / 80 - 4.0 * linked - 0.4
     tag = block.element.tag
     if tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"):
         value += 1.0

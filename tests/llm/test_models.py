@@ -157,6 +157,24 @@ def test_pages(spark):
     assert html.main_text(deep)[0] == "deep"
 
 
+SLUGS = {
+    "<article class='post category-legal tag-social'><h1>T</h1><p>Short.</p></article>": "T\nShort.",
+    "<main class='has-sidebar'><p>Short.</p></main>": "Short.",
+    "<div id='content' class='with-sidebar'><p>Short.</p></div>": "Short.",
+    "<article><h1>T</h1><h2 id='related-work'>Related work</h2><p>x</p></article>": "T\nRelated work\nx",
+    "<article><h1>T</h1><section id='search'><h2>Search</h2><p>How it works.</p></section></article>": "T\nSearch\nHow it works.",
+    f"<main><article class='post comments-open'><h2 id=search>Search</h2><p>{LONG}</p></article></main>": f"Search\n{LONG.strip()}",
+    f"<article><p>One</p><section id=comments><p>{LONG}</p></section></article>": "One",
+    f"<article><p>One</p><div class=sidebar><p>{LONG}</p></div><div class='related-posts'><a href=x>More</a></div></article>": "One",
+    f"<div id=sidebar class=main><p>{LONG}</p></div><article class=comment><p>{LONG}</p></article><main><p>Hi</p></main>": "Hi",
+}
+
+
+def test_names_with_boilerplate_words_are_weighed():
+    for page, want in SLUGS.items():
+        assert html.main_text(page)[0] == want, page
+
+
 def test_top_k(spark):
     rnd = np.random.default_rng(8)
     rows = [(i, (rnd.normal(size=8) * rnd.choice([0.02, 1.0])).round(2).tolist()) for i in range(300)]
