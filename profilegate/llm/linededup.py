@@ -120,15 +120,16 @@ def clashing(work: Work, docs: DataFrame, repeated: DataFrame) -> DataFrame:
 
 
 def removals(work: Work, docs: DataFrame) -> DataFrame:
-    """doc_id and the chunks to remove from it, an array of pos and digest."""
-    rows = docs.select("doc_id", F.explode(chunk_digests(F.col("text"))).alias("c"))
-    rows = work.land(rows.select("doc_id", "c.pos", "c.digest"), "chunks")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "pos")
+    """The row and the chunks to remove from it, an array of pos and digest; ``docs`` has row (unique), doc_id and text."""
+    # Under one id the hash of the text comes first, so what is left of the texts doesn't hang on how rows are numbered.
+    rows = docs.select("row", "doc_id", F.xxhash64("text").alias("tie"), F.explode(chunk_digests(F.col("text"))).alias("c"))
+    rows = work.land(rows.select("row", "doc_id", "tie", "c.pos", "c.digest"), "chunks")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "row", "pos")
     repeated = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first")).filter("times > 1")
-    repeated = work.land(repeated.select("digest", F.col("first.doc_id").alias("first_id"), F.col("first.pos").alias("first_pos")), "repeated")
+    repeated = work.land(repeated.select("digest", F.col("first.row").alias("first_row"), F.col("first.pos").alias("first_pos")), "repeated")
     repeated = repeated.join(work.land(clashing(work, docs, repeated), "clashes"), "digest", "left_anti")
-    later = rows.join(repeated, "digest").filter("NOT (doc_id <=> first_id AND pos = first_pos)")
-    return later.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "digest")).alias("gone"))
+    later = rows.select("row", "pos", "digest").join(repeated, "digest").filter("NOT (row = first_row AND pos = first_pos)")
+    return later.groupBy("row").agg(F.collect_set(F.struct("pos", "digest")).alias("gone"))
 
 
 def without_repeated_lines(work: Work, docs: DataFrame) -> DataFrame:
@@ -136,12 +137,14 @@ def without_repeated_lines(work: Work, docs: DataFrame) -> DataFrame:
 
     ``docs`` has doc_id and text; other columns stay, but for one called removed_lines. Null texts stay null and empty ones empty, with nothing removed;
     a text whose chunks all repeat earlier ones becomes empty. Chunks of white space alone are left. A null doc_id comes
-    last in order; rows that repeat a doc_id keep their chunks like one document, so copies under one id all stay.
+    last in order. Every row is a document of its own, also under a null or repeated doc_id; of rows that share one, the
+    text with the least xxhash64 comes first.
     """
     plain = docs.drop("removed_lines")
-    gone_id, gone, result = fresh(plain, "gone_id", "gone", "cut")
-    marked = work.land(removals(work, docs.select("doc_id", "text")), "removals")
-    marked = marked.select(F.col("doc_id").alias(gone_id), F.col("gone").alias(gone))
+    row, gone_row, gone, result = fresh(plain, "row", "gone_row", "gone", "cut")
+    kept = work.land(plain.withColumn(row, F.monotonically_increasing_id()), "documents")
+    marked = work.land(removals(work, kept.select(F.col(row).alias("row"), "doc_id", "text")), "removals")
+    marked = marked.select(F.col("row").alias(gone_row), F.col("gone").alias(gone))
 
     @F.pandas_udf("text string, removed_lines long")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -160,7 +163,7 @@ def without_repeated_lines(work: Work, docs: DataFrame) -> DataFrame:
         for texts, marks in batches:
             yield pd.DataFrame([one(t, m) for t, m in zip(texts.tolist(), marks.tolist(), strict=True)], columns=["text", "removed_lines"])
 
-    out = plain.join(marked, F.col("doc_id").eqNullSafe(F.col(gone_id)), "left").withColumn(result, cut("text", gone))
+    out = kept.join(marked, F.col(row) == F.col(gone_row), "left").withColumn(result, cut(F.col("text"), F.col(gone)))
     columns = [F.col(result)["text"].alias(c) if c == "text" else F.col(f"`{c}`") for c in plain.columns]
     return out.select(*columns, F.col(result)["removed_lines"].alias("removed_lines"))
 

@@ -181,6 +181,28 @@ def test_line_chunks(spark):
     assert sum(x[1] for x in got) > 20
 
 
+def test_rows_with_null_or_repeated_ids_are_documents_of_their_own(spark):
+    rnd = random.Random(12)
+    passages = ["\n".join(f"{rnd.choice(LINES)} {rnd.randint(0, 9)}" for _ in range(4)) for _ in range(4)]
+    texts = [*passages, *("\n".join(rnd.sample(passages, 2)) for _ in range(6))]
+    rows = [(rnd.choice([None, None, 1, 2, 3]), rnd.choice([None, *texts])) for _ in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashes = {r["text"]: r["h"] for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    seen, want = set(), []
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, hashes[r[1]])):
+        found = linededup.chunks(text) if text is not None else []
+        gone = []
+        for *_, compared, chunk in found:
+            gone.append(compared and chunk in seen)
+            seen |= {chunk} if compared else set()
+        kept = b"\n".join(c[3] for c, g in zip(found, gone, strict=True) if not g).decode()
+        want.append((doc_id, None if text is None else kept, sum(c[1] for c, g in zip(found, gone, strict=True) if g)))
+    got = [tuple(r) for r in linededup.without_repeated_lines(Work(spark), df).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    marks = linededup.removals(Work(spark), df.withColumn("row", F.monotonically_increasing_id()).localCheckpoint())
+    assert marks.agg(F.max(F.size("gone"))).first()[0] <= max(len(linededup.chunks(t)) for t in texts)
+
+
 def test_different_bytes_behind_a_digest_are_left(spark, monkeypatch):
     texts = ["a\nb c\nd e", "f\ng h\ni j", "a\nb c\nd e"]
     assert linededup.chunks(texts[0]) and linededup.chunks("") == [(0, 1, False, b"")]
