@@ -442,11 +442,13 @@ def stream_exactly_once(spark, folder):
     first, second = F.col("ts") < start + third, F.col("ts") < start + 2 * third
     parts = (first, ~first & second, ~second, first)
     for part in parts:
-        events.filter(part).coalesce(1).write.mode("append").parquet(base + "/events")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(base + "/events")
-    once = jobs.drop_duplicates(stream, ["user_id", "event_type", "event_id"], ts="ts", watermark="1 day")
-    out = once.select("event_id", "user_id", "event_type")
-    return spark.read.schema(out.schema).parquet(_drain(out, base))
+        events.filter(part).write.mode("append").parquet(base + "/events")
+        # One batch for each part, however many files it has.
+        stream = spark.readStream.schema(events.schema).parquet(base + "/events")
+        once = jobs.drop_duplicates(stream, ["user_id", "event_type", "event_id"], ts="ts", watermark="1 day")
+        out = once.select("event_id", "user_id", "event_type")
+        _drain(out, base)
+    return spark.read.schema(out.schema).parquet(base + "/out")
 
 
 @query

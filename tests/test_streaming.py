@@ -197,3 +197,18 @@ def test_routed_rows_carry_their_metadata(spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "out")).orderBy("timestamp").collect()
     assert [(r.validation_status, r.reason_count) for r in rows] == [("valid", 0), ("invalid", 1)]
     assert all(r.age_years > 13 and r.processed_at and r.headers[0].key == "request_id" for r in rows)
+
+
+def test_exactly_once_spreads_its_files(spark, tmp_path, monkeypatch):
+    from profilegate.plans import queries as Q
+
+    event = ["id AS event_id", "timestamp_micros((id + 24) * 3600000000) AS ts", "id % 7 AS user_id", "'view' AS event_type"]
+    spark.range(0, 600, 1, 4).selectExpr(*event).repartition(4).write.parquet(str(tmp_path / "in/events.parquet"))
+    base = f"file://{tmp_path}/work"
+    monkeypatch.setattr(Q, "shared_folder", lambda _: base)
+    out = Q.stream_exactly_once(spark, f"file://{tmp_path}/in")
+    assert sorted(r["event_id"] for r in out.collect()) == list(range(600))
+    files = spark.read.parquet(base + "/events").select(F.input_file_name()).distinct().count()
+    batches = spark.read.text(base + "/checkpoint/sources/0/*").filter("value LIKE '{%'")
+    batches = batches.select(F.get_json_object("value", "$.batchId").alias("b")).distinct().count()
+    assert files > 4 == batches
