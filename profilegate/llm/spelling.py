@@ -208,13 +208,19 @@ def _compared(rows: DataFrame) -> DataFrame:
                 continue
             rows = pd.concat(held, ignore_index=True)
             whole = int(np.argmax(rows["bucket"].to_numpy() == rows["bucket"].iloc[-1]))
-            yield compare_blocks(rows[:whole])
+            if whole:
+                yield from some(compare_blocks(rows[:whole]))
             held = [rows[whole:]]
             count, points = len(held[0]), int(held[0]["longer"].sum())
-        if held:
-            yield compare_blocks(pd.concat(held, ignore_index=True))
+        if count:
+            yield from some(compare_blocks(pd.concat(held, ignore_index=True)))
         give_back()
 
+    def some(found: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        # A table without rows has text columns without a chunk, which Arrow refuses.
+        if len(found):
+            yield found
+
     dealt = rows.repartition("bucket").sortWithinPartitions("longer", "bucket", F.col("n").desc(), "word")
     return dealt.mapInPandas(compare, "word string, n long, n_near long, form string, form_n long")
 

@@ -310,6 +310,19 @@ def test_op11_of_given_documents(spark):
     assert sorted(map(tuple, got)) == op11_by_hand(docs)
 
 
+def test_tasks_without_near_words(spark):
+    df = spark.createDataFrame([("aaaaa", 3), ("aaaab", 3), ("bcdef", 3), ("bcxyz", 4), ("bcdyz", 5)], "word string, n long").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 61)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = spelling.variants(Work(spark), df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(tuple, got)) == variants_by_hand({r["word"]: r["n"] for r in df.collect()})
+
+
 def test_chains_of_forms_end_at_their_root(spark):
     forms = [(f"w{i:03d}", f"w{i + 1:03d}") for i in range(100)] + [("solo", "end")]
     df = spark.createDataFrame(forms, "word string, form string")
