@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from profilegate.operators import metrics, rejects
 from profilegate.operators import rules as R
+from profilegate.operators.committed import OWNER, PART, Dates, State, Table, schema_of, value_of
 
-LOAD = "load_id"
+LOAD = OWNER
+WHOLE = "whole"
 USER_KEY = ("source", "source_user_id")
 
 
@@ -53,19 +55,47 @@ def latest_invalid_by_reason(by_reason: DataFrame, k: int, ts: str = "processed_
     return by_reason.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def write_view(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "errorifexists", load: str | None = None) -> None:
-    """Partitioned Parquet, with files of even size.
+def write_view(
+    df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "errorifexists", load: str | None = None, dates: Dates | None = None
+) -> None:
+    """Partitioned Parquet, with files of even size, that readers see once it is whole (``read_view``).
 
-    The rebalance hint lets adaptive execution split a partition value that holds much of the data
-    and merge the small ones, so neither one huge file nor a file per task and value comes out.
-
-    A view that is there already is left alone. To add to it, name the ``load``: its rows go to directories
-    of their own, and writing the same load again replaces these and no others.
+    A view that is there already is left alone, or replaced with ``mode`` overwrite. To add to it, name the ``load``:
+    writing the same load again replaces all its rows, also those of partitions the new rows have none of, and touches
+    no other load. A job that dies on the way leaves the view as it was. ``dates`` tells expiry how the view is laid
+    out by date.
     """
-    if load is not None:
-        df, partition_by, mode = df.withColumn(LOAD, F.lit(load)), [LOAD, *partition_by], "overwrite"
-    even = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    even.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode must be errorifexists or overwrite, not {mode!r}")
+    table = Table(df.sparkSession, path)
+    if load is None and mode == "errorifexists" and table.exists():
+        raise FileExistsError(f"[PATH_ALREADY_EXISTS] {path}")
+    if OWNER in df.columns or PART in df.columns:
+        raise ValueError(f"the columns {OWNER} and {PART} are the view's own")
+    owner = WHOLE if load is None else load
+    dirs = table.put(df, partition_by, owner)
+    fresh = State(schema_of(df), tuple(partition_by), dates, tuple(dirs))
+
+    def change(state: State | None) -> State:
+        if state is None or load is None:
+            if state is not None and mode == "errorifexists":
+                raise FileExistsError(f"[PATH_ALREADY_EXISTS] {path}")
+            return fresh
+        if (state.partition_by, state.dates) != (fresh.partition_by, fresh.dates) or {*state.fields.names} != {*df.columns}:
+            raise ValueError(f"a load must have the columns and the layout of the view at {path}")
+        return state.swap(state.of(owner), dirs)
+
+    table.commit(change)
+
+
+def read_view(spark: SparkSession, path: str, loads: bool = False) -> DataFrame:
+    """The rows of the last committed state; with ``loads``, the load each comes from. Filters prune directories."""
+    return Table(spark, path).read(owner=loads)
+
+
+def drop_load(spark: SparkSession, path: str, load: str) -> None:
+    """Take a load out of a view."""
+    Table(spark, path).commit(lambda state: state and state.swap(state.of(load), []))
 
 
 def dated(df: DataFrame, ts: str, unit: str = "day", date_column: str = "event_date") -> DataFrame:
@@ -75,45 +105,80 @@ def dated(df: DataFrame, ts: str, unit: str = "day", date_column: str = "event_d
 
 def write_latest_valid(checked: DataFrame, path: str, ts: str, *carry: str, unit: str = "day", load: str | None = None) -> None:
     """Valid events by date of ingestion, so the latest ones are found in the last directories."""
-    write_view(dated(rejects.valid_events(checked, ts, *carry), ts, unit), path, ["event_date"], load=load)
+    rows = dated(rejects.valid_events(checked, ts, *carry), ts, unit)
+    write_view(rows, path, ["event_date"], load=load, dates=Dates(unit=unit, ts=ts))
 
 
 def write_invalid_by_reason(invalid: DataFrame, path: str, ts: str, *carry: str, unit: str = "day", load: str | None = None) -> None:
     """Rejects by reason and date of processing, one row for each reason."""
-    write_view(dated(invalid_by_reason(invalid, ts, *carry), ts, unit), path, ["reason", "event_date"], load=load)
+    rows = dated(invalid_by_reason(invalid, ts, *carry), ts, unit)
+    write_view(rows, path, ["reason", "event_date"], load=load, dates=Dates(unit=unit, ts=ts))
 
 
 def write_counters(checked: DataFrame, path: str, ts: str, unit: str = "day", load: str | None = None) -> None:
     """Rows per date, status and source."""
     rows = dated(checked.select(ts, "source", metrics.status().alias("validation_status")), ts, unit)
     counts = rows.groupBy("event_date", "validation_status", "source").agg(F.count("*").alias("profiles"))
-    write_view(counts, path, ["event_date"], load=load)
+    write_view(counts, path, ["event_date"], load=load, dates=Dates(unit=unit))
 
 
-def retained(view: DataFrame, today: dt.date, keep_days: int, date_column: str = "event_date") -> DataFrame:
-    """Rows within the retention period; on a table partitioned by date this prunes directories."""
+def first_kept(today: dt.date, keep_days: int) -> dt.date:
+    """The oldest day of a retention period of so many days, today included."""
     if keep_days < 1:
         raise ValueError("keep_days must be at least 1")
-    return view.filter(F.col(date_column) > F.lit(today - dt.timedelta(days=keep_days)))
+    return today - dt.timedelta(days=keep_days - 1)
+
 
+def next_unit(start: dt.date, unit: str) -> dt.date:
+    """The first day after the day, week or month that starts on a date."""
+    if unit == "month":
+        return (start.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+    return start + dt.timedelta(days=7 if unit == "week" else 1)
 
-def expire(spark: SparkSession, path: str, today: dt.date, keep_days: int, date_column: str = "event_date") -> list[str]:
-    """Remove the directories of expired dates of a table partitioned by date; returns their names.
 
-    No file that is kept is read or written. Directories whose value is no date are left.
+def retained(view: DataFrame, today: dt.date, keep_days: int, dates: Dates = Dates()) -> DataFrame:  # noqa: B008
+    """Rows within the retention period, by their own day where ``dates`` has a ``ts``; prunes directories by date.
+
+    Rows without a date are kept: nothing tells that they are old.
     """
-    if keep_days < 1:
-        raise ValueError("keep_days must be at least 1")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    gone = []
-    for entry in files.listStatus(folder):
-        column, _, value = entry.getPath().getName().partition("=")
-        try:
-            day = dt.date.fromisoformat(value)
-        except ValueError:
-            continue
-        if column == date_column and entry.isDirectory() and day <= today - dt.timedelta(days=keep_days):
-            files.delete(entry.getPath(), True)
-            gone.append(value)
-    return sorted(gone)
+    first = first_kept(today, keep_days)
+    start = F.lit(first) if dates.unit == "day" else F.trunc(F.lit(first), dates.unit)
+    kept = F.col(dates.column).isNull() | (F.col(dates.column) >= start)
+    if dates.ts is not None:
+        kept &= F.col(dates.ts).isNull() | (F.col(dates.ts) >= F.lit(first))
+    return view.filter(kept)
+
+
+def expire(spark: SparkSession, path: str, today: dt.date, keep_days: int) -> list[str]:
+    """Remove from a dated view, and from disk, all rows older than the retention period; returns the dates it touched.
+
+    Directories are found by their date at whatever depth of the layout. One whose day, week or month is over is removed
+    without reading it. One in which the period begins is cut by the rows' own days if the view's ``dates`` name a
+    ``ts``, and otherwise stays until it is over. All other files stay as they are, and so do rows without a date.
+    Readers see the view before or after the change; those that still read the removed directories fail.
+    """
+    first, table = first_kept(today, keep_days), Table(spark, path)
+    while True:
+        state = table.state()
+        dates = state.dates
+        if dates is None:
+            raise ValueError(f"the view at {path} is not laid out by date")
+        start = {d: value_of(d, dates.column) for d in state.dirs}
+        start = {d: dt.date.fromisoformat(v) for d, v in start.items() if v is not None}
+        over = [d for d, day in start.items() if next_unit(day, dates.unit) <= first]
+        cut = [d for d, day in start.items() if day < first < next_unit(day, dates.unit)] if dates.ts else []
+        if cut:  # only those that do hold older rows, which the files' statistics mostly tell
+            cut = table.dirs_of(table.read(state, cut).filter(F.col(dates.ts) < F.lit(first)))
+        if not over and not cut:
+            return []
+        into = []
+        if cut:
+            rows = retained(table.read(state, cut, owner=True), today, keep_days, dates)
+            into = table.put(rows, state.partition_by)
+        out = {*over, *cut}
+        # Directories that another writer has replaced meanwhile may not come back: then all starts over.
+        done = table.commit(lambda last: last.swap(out, into) if out <= {*last.dirs} else None)  # noqa: B023
+        if done is not None:
+            table.remove(sorted(out))
+            return sorted({start[d].isoformat() for d in out})
+        table.remove(into)

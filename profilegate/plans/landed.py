@@ -16,8 +16,10 @@ from profilegate.operators import routing as RT
 from profilegate.operators import sli
 from profilegate.plans import fixtures as FX
 
-RETENTION_TODAY = dt.date(2001, 9, 1)
+# The period begins in the middle of a week and of a month.
+RETENTION_TODAY = dt.date(2001, 9, 12)
 RETENTION_DAYS = 730
+SECOND_LOAD_BELOW = "G"
 REPLAY_START = dt.datetime(2024, 1, 1, 6, tzinfo=dt.UTC)
 REPLAY_END = dt.datetime(2024, 1, 1, 18, tzinfo=dt.UTC)
 
@@ -226,6 +228,20 @@ def attempts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def hot_user_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Profile events, a third of which belong to one user."""
+    events = FX.profile_events(spark, folder).select("source", "source_user_id", "event_id", "ingested_at", "username", "country")
+    hot = F.col("event_id") % 3 == 0
+    names = {"source": F.lit(S.DEMO_SOURCE), "source_user_id": F.lit("user-hot")}
+    return events.withColumns({n: F.when(hot, value).otherwise(F.col(n)) for n, value in names.items()})
+
+
+def in_files(rows: DataFrame, path: str, n: int, number: Column) -> None:
+    """Rows in ``n`` files, read one by one in the order of their number, which a stream takes for ``n`` batches."""
+    for i in range(n):
+        rows.filter(number == i).coalesce(1).write.mode("append").parquet(path)
+
+
 def event_slots(spark: SparkSession, folder: str, step: int) -> DataFrame:
     """Good and total rows per slot for two indicators."""
     kind = F.when(F.col("user_id") % 2 == 0, F.lit("ingestion")).otherwise(F.lit("publish"))

@@ -211,6 +211,11 @@ QUALITY = "WITH " + _checked("P", True, False)
 STRUCTURAL = "WITH " + _checked("RAW", False, True)
 STRUCTURAL_P = "WITH " + _checked("P", True, True)
 EVENTS = "E AS (SELECT o_orderkey AS event_id, o_orderdate AS ingested_at, Q.* FROM orders JOIN Q ON o_custkey = k)"
+HOT_EVENTS = (
+    f"WITH {P}, H AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'random_user' ELSE source END AS source, "
+    "CASE WHEN o_orderkey % 3 = 0 THEN 'user-hot' ELSE source_user_id END AS source_user_id, "
+    "o_orderkey AS event_id, o_orderdate AS ingested_at, username FROM orders JOIN P ON o_custkey = k)"
+)
 PREPARED = f"WITH {RAW}, S AS ({stripped('RAW', False)}), D AS ({parsed('S', False)})"
 
 
@@ -426,7 +431,7 @@ def statements() -> dict[str, str]:
         "date_of_birth": "epoch_us(birth)", "registered_at": "epoch_us(reg)",
     }
     event = ", ".join(f"{typed.get(n, n)} AS {n}" for n in S.PROFILE_FIELDS)
-    cutoff = L.RETENTION_TODAY - dt.timedelta(days=L.RETENTION_DAYS)
+    in_period = f"CAST(ingested_at AS DATE) > DATE '{L.RETENTION_TODAY - dt.timedelta(days=L.RETENTION_DAYS)}'"
     start, end = (int(t.timestamp()) for t in (L.REPLAY_START, L.REPLAY_END))
     framed = "k % 7 <> 0"
 
@@ -530,15 +535,22 @@ def statements() -> dict[str, str]:
         "invalid_by_reason_time": f"{QUALITY}, {EVENTS}, R AS (SELECT unnest(string_split(reasons, ',')) AS reason, event_id, ingested_at, source, source_user_id FROM E WHERE reasons <> ''), "
         "N AS (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY ingested_at DESC, event_id) AS rank FROM R) "
         f"SELECT reason, CAST(rank AS INT) AS rank, event_id, epoch_us(ingested_at) AS processed_us, {PSEUDONYM} AS source_user_id FROM N WHERE rank <= 3",
-        "view_partitioned": f"{STRUCTURAL_P}, {EVENTS} SELECT event_id, source_user_id, country FROM E WHERE reasons = ''",
+        "view_partitioned": f"{STRUCTURAL_P}, {EVENTS} SELECT event_id, source_user_id, country, CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS load_id "
+        f"FROM E WHERE reasons = '' AND (event_id % 2 = 1 OR country < '{L.SECOND_LOAD_BELOW}')",
         "view_latest_valid": f"{STRUCTURAL_P}, {EVENTS} SELECT CAST(date_trunc('month', ingested_at) AS DATE) AS event_date, count(*) AS events, "
         "arg_max(event_id, (ingested_at, event_id)) AS newest FROM E WHERE reasons = '' GROUP BY 1",
         "view_invalid_by_reason": f"{QUALITY}, {EVENTS} SELECT unnest(string_split(reasons, ',')) AS reason, "
         "CAST(date_trunc('month', ingested_at) AS DATE) AS event_date, event_id FROM E WHERE reasons <> ''",
         "view_counters": f"{QUALITY}, {EVENTS} SELECT CAST(date_trunc('month', ingested_at) AS DATE) AS event_date, {STATUS} AS validation_status, source, "
         "count(*) AS profiles FROM E GROUP BY ALL",
-        "retention": f"{QUALITY}, {EVENTS} SELECT CAST(date_trunc('month', ingested_at) AS DATE) AS event_date, count(*) AS rejects FROM E "
-        f"WHERE reasons <> '' AND CAST(date_trunc('month', ingested_at) AS DATE) > DATE '{cutoff}' GROUP BY 1",
+        "retention": f"{QUALITY}, {EVENTS} SELECT 'load ' || CAST(event_id % 2 AS VARCHAR) AS load_id, source, event_id, "
+        f"CAST(ingested_at AS DATE) AS day FROM E WHERE reasons <> '' AND {in_period}",
+        "retention_on_read": f"{QUALITY}, {EVENTS} SELECT event_id, CAST(ingested_at AS DATE) AS day FROM E WHERE reasons <> '' AND {in_period}",
+        "retention_of_counters": f"{QUALITY}, {EVENTS}, M AS (SELECT CAST(date_trunc('month', ingested_at) AS DATE) AS event_date, {STATUS} AS validation_status, source, "
+        f"max(CAST(date_trunc('month', ingested_at) AS DATE) + INTERVAL 1 MONTH) AS ended, count(*) AS profiles FROM E GROUP BY 1, 2, 3) "
+        f"SELECT event_date, validation_status, source, profiles FROM M WHERE date_diff('day', CAST(ended AS DATE), DATE '{L.RETENTION_TODAY}') < {L.RETENTION_DAYS - 1}",
+        "newest_by_user": f"{HOT_EVENTS}, N AS (SELECT *, row_number() OVER (PARTITION BY source, source_user_id, year(ingested_at) ORDER BY ingested_at DESC, event_id DESC) AS rn FROM H) "
+        "SELECT source, source_user_id, CAST(year(ingested_at) AS INT) AS year, event_id, username FROM N WHERE rn = 1",
         "stream_counters": "WITH T AS (SELECT CAST(floor(epoch_us(ts) / 21600000000) AS BIGINT) * 21600000000 AS window_us, "
         "CASE WHEN event_type = 'error' THEN 'invalid' ELSE 'valid' END AS validation_status, event_type AS source FROM events) "
         f"SELECT window_us, validation_status, source, count(*) AS profiles FROM T WHERE window_us + 21600000000 <= {WATERMARK} GROUP BY 1, 2, 3",
@@ -555,7 +567,7 @@ def statements() -> dict[str, str]:
         "replay_range": f"WITH {RAW}, G AS (SELECT 'user-' || (k % 1000) AS key, k AS \"offset\", 1704067200 + k * 61 AS sec FROM RAW), "
         f"N AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY sec DESC, \"offset\" DESC) AS rn FROM G WHERE sec >= {start} AND sec < {end}) "
         "SELECT key, sec * 1000000 AS at_us, \"offset\" FROM N WHERE rn = 1",
-        "stream_upsert": f"WITH {P}, E AS (SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS event_date FROM orders JOIN P ON o_custkey = k), "
-        "N AS (SELECT *, row_number() OVER (PARTITION BY source, source_user_id, event_date ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM E) "
-        "SELECT source, source_user_id, event_date, o_orderkey AS event_id FROM N WHERE rn = 1",
+        "stream_upsert": f"{HOT_EVENTS}, E AS (SELECT *, CAST(date_trunc('month', ingested_at) AS DATE) AS event_date FROM H), "
+        "N AS (SELECT *, row_number() OVER (PARTITION BY source, source_user_id, event_date ORDER BY ingested_at DESC, event_id DESC) AS rn FROM E) "
+        "SELECT source, source_user_id, event_date, event_id FROM N WHERE rn = 1",
     }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from profilegate import schemas as S
 from profilegate.functions import text as X
 from profilegate.functions.privacy import pseudonym
+from profilegate.operators import by_user
 from profilegate.operators import contract as C
 from profilegate.operators import delivery as D
 from profilegate.operators import metrics as M
@@ -19,6 +20,7 @@ from profilegate.operators import routing as RT
 from profilegate.operators import rules as R
 from profilegate.operators import sli
 from profilegate.operators import views as V
+from profilegate.operators.committed import Dates
 from profilegate.options import JobOptions, configure, shared_folder
 from profilegate.plans import fixtures as FX
 from profilegate.plans import landed as L
@@ -349,12 +351,13 @@ def invalid_by_reason_time(spark, folder):
 
 @query
 def view_partitioned(spark, folder):
-    """Valid profile events written by country in two loads, the second of them twice, and read back."""
+    """Valid profile events by country in two loads; the first is loaded again with fewer rows and countries."""
     path = shared_folder(spark) + "/valid_by_country"
     events = rejects.valid_events(C.check_profiles(FX.profile_events(spark, folder), TODAY), "event_id", "ingested_at")
-    for load, part in (("a", 0), ("b", 1), ("b", 1)):
-        V.write_view(events.filter(F.col("event_id") % 2 == part), path, ["country"], load=load)
-    return spark.read.parquet(path).select("event_id", "source_user_id", "country")
+    even = F.col("event_id") % 2 == 0
+    for load, part in (("a", even), ("b", ~even), ("a", even & (F.col("country") < L.SECOND_LOAD_BELOW))):
+        V.write_view(events.filter(part), path, ["country"], load=load)
+    return V.read_view(spark, path, loads=True).select("event_id", "source_user_id", "country", "load_id")
 
 
 @query
@@ -362,7 +365,7 @@ def view_latest_valid(spark, folder):
     """Valid events laid out by month of ingestion; the newest of every month."""
     path = shared_folder(spark) + "/latest_valid"
     V.write_latest_valid(C.check_profiles(FX.profile_events(spark, folder), TODAY), path, "ingested_at", "event_id", unit="month")
-    view = spark.read.parquet(path)
+    view = V.read_view(spark, path)
     return view.groupBy("event_date").agg(F.count("*").alias("events"), F.max(F.struct("ingested_at", "event_id")).alias("m")).select(
         "event_date", "events", F.col("m.event_id").alias("newest"))
 
@@ -373,7 +376,7 @@ def view_invalid_by_reason(spark, folder):
     path = shared_folder(spark) + "/by_reason"
     invalid = rejects.invalid_events(checked_events(spark, folder), FX.SALT, "event_id", "ingested_at")
     V.write_invalid_by_reason(invalid, path, "ingested_at", "event_id", unit="month")
-    return spark.read.parquet(path).select("reason", "event_date", "event_id")
+    return V.read_view(spark, path).select("reason", "event_date", "event_id")
 
 
 @query
@@ -381,18 +384,50 @@ def view_counters(spark, folder):
     """Counters laid out by month."""
     path = shared_folder(spark) + "/counters"
     V.write_counters(checked_events(spark, folder), path, "ingested_at", unit="month")
-    return spark.read.parquet(path).select("event_date", "validation_status", "source", "profiles")
+    return V.read_view(spark, path).select("event_date", "validation_status", "source", "profiles")
 
 
 @query
 def retention(spark, folder):
-    """A dated reject view after its expired directories were removed."""
-    base = shared_folder(spark)
+    """Rejects in two loads, by load, source and month, after all rows beyond the retention period were removed."""
+    path = shared_folder(spark) + "/rejects"
     invalid = rejects.invalid_events(checked_events(spark, folder), FX.SALT, "event_id", "ingested_at")
-    dated = invalid.select("event_id", F.trunc("ingested_at", "month").alias("event_date"))
-    V.write_view(dated, base + "/rejects", ["event_date"])
-    V.expire(spark, base + "/rejects", L.RETENTION_TODAY, L.RETENTION_DAYS)
-    return spark.read.parquet(base + "/rejects").groupBy("event_date").agg(F.count("*").alias("rejects"))
+    rows = V.dated(invalid.select("source", "event_id", "ingested_at"), "ingested_at", "month")
+    for load in range(2):
+        part = rows.filter(F.col("event_id") % 2 == load)
+        V.write_view(part, path, ["source", "event_date"], load=f"load {load}", dates=Dates(unit="month", ts="ingested_at"))
+    V.expire(spark, path, L.RETENTION_TODAY, L.RETENTION_DAYS)
+    return V.read_view(spark, path, loads=True).select("load_id", "source", "event_id", F.to_date("ingested_at").alias("day"))
+
+
+@query
+def retention_on_read(spark, folder):
+    """Rejects of the retention period, from a view by week that has older ones."""
+    path = shared_folder(spark) + "/rejects"
+    invalid = rejects.invalid_events(checked_events(spark, folder), FX.SALT, "event_id", "ingested_at")
+    dates = Dates(unit="week", ts="ingested_at")
+    V.write_view(V.dated(invalid.select("event_id", "ingested_at"), "ingested_at", "week"), path, ["event_date"], dates=dates)
+    view = V.retained(V.read_view(spark, path), L.RETENTION_TODAY, L.RETENTION_DAYS, dates)
+    return view.select("event_id", F.to_date("ingested_at").alias("day"))
+
+
+@query
+def retention_of_counters(spark, folder):
+    """Monthly counters, whose rows have no day of their own: a month stays until all of it is beyond the period."""
+    path = shared_folder(spark) + "/counters"
+    V.write_counters(checked_events(spark, folder), path, "ingested_at", unit="month")
+    V.expire(spark, path, L.RETENTION_TODAY, L.RETENTION_DAYS)
+    return V.read_view(spark, path).select("event_date", "validation_status", "source", "profiles")
+
+
+@query
+def newest_by_user(spark, folder):
+    """The newest event of each user and year, dealt out by user, of whom one owns a third of all rows."""
+    events = L.hot_user_events(spark, folder).withColumn("year", F.year("ingested_at"))
+    path = shared_folder(spark) + "/events"
+    events.write.parquet(path)
+    newest = by_user.newest_by_user(spark.read.parquet(path), ["ingested_at", "event_id"], 16, within=["year"])
+    return newest.select(*V.USER_KEY, "year", "event_id", "username")
 
 
 # --- streams ----------------------------------------------------------------------------------
@@ -482,14 +517,15 @@ def replay_range(spark, folder):
 
 @query
 def stream_upsert(spark, folder):
+    """The newest event of each user and month, from a stream of ten batches whose months are merged on the way."""
     base = shared_folder(spark)
-    events = FX.profile_events(spark, folder).select(*V.USER_KEY, "event_id", "ingested_at", "username", "country")
-    events.write.parquet(base + "/events")
-    stream = spark.readStream.schema(events.schema).parquet(base + "/events")
+    events = L.hot_user_events(spark, folder)
+    L.in_files(events, base + "/events", 10, F.pmod(F.hash("event_id"), F.lit(10)))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(base + "/events")
     keys, order = list(V.USER_KEY), ["ingested_at", "event_id"]
     query = upsert.start_upsert(
         stream.withColumn("ingested_month", F.trunc("ingested_at", "month")), base + "/view", base + "/checkpoint",
-        keys=keys, order=order, ts="ingested_month", availableNow=True,
+        keys=keys, order=order, ts="ingested_month", compact_every=4, most=2, availableNow=True,
     )
     query.awaitTermination()
     rows = upsert.current_rows(spark, base + "/view", keys, order)

@@ -7,12 +7,14 @@ from people import TODAY, frame
 from pyspark.sql import functions as F
 
 from profilegate import schemas as S
+from profilegate.operators import by_user
 from profilegate.operators import delivery as D
 from profilegate.operators import metrics as M
 from profilegate.operators import normalize as N
 from profilegate.operators import rules as R
 from profilegate.operators import sli
 from profilegate.operators import views as V
+from profilegate.operators.committed import Dates, Table
 from profilegate.sources import event_log
 from profilegate.sources import responses as RS
 
@@ -152,7 +154,7 @@ def test_views_prune_partitions_and_overwrite_only_their_own(spark, tmp_path):
     V.write_view(first, path, ["country"], load="1")
     for n in (3, 4):
         V.write_view(spark.createDataFrame([("FR", n)], "country string, n int"), path, ["country"], load="2")
-    view = spark.read.parquet(path)
+    view = V.read_view(spark, path)
     assert sorted((r.country, r.n) for r in view.collect()) == [("DE", 2), ("FR", 1), ("FR", 4)]
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         V.write_view(first, path, ["country"])
@@ -160,15 +162,156 @@ def test_views_prune_partitions_and_overwrite_only_their_own(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(country" in plan
 
 
+def rows_of(spark, path):
+    return sorted((tuple(r) for r in V.read_view(spark, path, loads=True).collect()), key=repr)
+
+
+def test_a_load_is_replaced_whole(spark, tmp_path):
+    path, kind = str(tmp_path / "view"), "country string, n int"
+    write = lambda rows, load: V.write_view(spark.createDataFrame(rows, kind), path, ["country"], load=load)
+    write([("FR", 1), ("DE", 2), (None, 3), ("a/b=c %", 4)], "day 1/2")
+    write([("FR", 5)], "b")
+    both = [("FR", 1, "day 1/2"), ("DE", 2, "day 1/2"), (None, 3, "day 1/2"), ("a/b=c %", 4, "day 1/2"), ("FR", 5, "b")]
+    assert rows_of(spark, path) == sorted(both, key=repr)
+    write([("DE", 6)], "day 1/2")
+    assert rows_of(spark, path) == [("DE", 6, "day 1/2"), ("FR", 5, "b")]
+    write([], "day 1/2")
+    assert rows_of(spark, path) == [("FR", 5, "b")]
+    V.drop_load(spark, path, "b")
+    assert rows_of(spark, path) == [] and V.read_view(spark, path).columns == ["country", "n"]
+    write([("FR", 7)], "c")
+    assert rows_of(spark, path) == [("FR", 7, "c")]
+    with pytest.raises(ValueError):
+        V.write_view(spark.createDataFrame([("FR", "x")], "country string, other string"), path, ["country"], load="d")
+    with pytest.raises(ValueError):
+        V.write_view(spark.createDataFrame([("FR", "x")], "country string, load_id string"), path, ["country"], load="d")
+    V.write_view(spark.createDataFrame([("FR", 8)], kind), path, ["country"], mode="overwrite")
+    assert [tuple(r) for r in V.read_view(spark, path).collect()] == [("FR", 8)]
+
+
+def test_a_load_that_dies_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "view")
+    V.write_view(spark.createDataFrame([("FR", 1)], "country string, n int"), path, ["country"], load="a")
+
+    def dies(self, change):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Table, "commit", dies)
+        with pytest.raises(RuntimeError):
+            V.write_view(spark.createDataFrame([("FR", 2), ("DE", 3)], "country string, n int"), path, ["country"], load="a")
+    assert rows_of(spark, path) == [("FR", 1, "a")]
+    assert len(Table(spark, path).tidy(0)) == 2 and rows_of(spark, path) == [("FR", 1, "a")]
+
+
+def test_commits_that_meet_are_worked_out_again(spark, tmp_path):
+    path = str(tmp_path / "view")
+    V.write_view(spark.createDataFrame([("FR", 1)], "country string, n int"), path, ["country"], load="a")
+    one, two, calls = Table(spark, path), Table(spark, path), []
+    dirs = two.put(spark.createDataFrame([("DE", 2)], "country string, n int"), ["country"], "b")
+
+    def change(state):
+        calls.append(len(state.dirs))
+        if len(calls) == 1:
+            two.commit(lambda s: s.swap([], dirs))
+        return state.swap(state.of("a"), [])
+
+    one.commit(change)
+    assert calls == [1, 2] and rows_of(spark, path) == [("DE", 2, "b")]
+    assert one.last()[0] == 3 and one.commit(lambda s: s) == one.state() and one.last()[0] == 3
+
+
+def moments(*days):
+    return [(dt.datetime.combine(d, dt.time(12)), str(d)) for d in days]
+
+
 def test_retention(spark, tmp_path):
     days = [dt.date(2025, 1, 1) - dt.timedelta(days=i) for i in range(10)]
-    V.write_view(spark.createDataFrame([(d, 1) for d in days], "event_date date, n int"), str(tmp_path / "a"), ["event_date"])
+    path, dates = str(tmp_path / "a"), Dates()
+    V.write_view(spark.createDataFrame([(d, 1) for d in days], "event_date date, n int"), path, ["event_date"], dates=dates)
     kept = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
-    assert len(V.expire(spark, str(tmp_path / "a"), TODAY, 3)) == 7
-    assert sorted(r.event_date for r in spark.read.parquet(str(tmp_path / "a")).collect()) == sorted(days[:3])
-    assert all(kept[p] == p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet"))
+    assert len(V.expire(spark, path, TODAY, 3)) == 7
+    assert sorted(r.event_date for r in V.read_view(spark, path).collect()) == sorted(days[:3])
+    files = [*tmp_path.rglob("*.parquet")]
+    assert len(files) == 3 and all(kept[p] == p.stat().st_mtime_ns for p in files)
+    assert V.expire(spark, path, TODAY, 3) == []
     with pytest.raises(ValueError):
         V.retained(spark.range(1), TODAY, 0)
+    V.write_view(spark.range(1), str(tmp_path / "b"), [])
+    with pytest.raises(ValueError):
+        V.expire(spark, str(tmp_path / "b"), TODAY, 3)
+
+
+@pytest.mark.parametrize("unit", ["day", "week", "month"])
+@pytest.mark.parametrize("layout", [["event_date"], ["kind", "event_date"], ["event_date", "kind"]])
+def test_retention_is_exact_at_any_depth(spark, tmp_path, unit, layout):
+    today, keep = dt.date(2025, 2, 5), 10
+    days = [dt.date(2024, 11, 1) + dt.timedelta(days=i) for i in range(97)]
+    path = str(tmp_path / "v")
+    for load in "ab":
+        rows = spark.createDataFrame([(*m, f"{load}{i % 2}") for i, m in enumerate(moments(*days))], "at timestamp, day string, kind string")
+        V.write_view(V.dated(rows, "at", unit), path, layout, load=load, dates=Dates(unit=unit, ts="at"))
+    late = [d for d in days if d > today - dt.timedelta(days=keep)]
+    view = V.read_view(spark, path)
+    assert sorted(r.day for r in V.retained(view, today, keep, Dates(unit=unit, ts="at")).collect()) == sorted([str(d) for d in late] * 2)
+    assert V.expire(spark, path, today, keep)
+    assert sorted(r.day for r in V.read_view(spark, path).collect()) == sorted([str(d) for d in late] * 2)
+    on_disk = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/_data")
+    assert sorted(r.day for r in on_disk.collect()) == sorted([str(d) for d in late] * 2)
+    assert V.expire(spark, path, today, keep) == []
+    # Loads keep their rows apart.
+    V.drop_load(spark, path, "a")
+    assert V.read_view(spark, path).count() == len(late)
+
+
+def test_rows_of_a_month_without_days_stay_until_it_is_over(spark, tmp_path):
+    path = str(tmp_path / "v")
+    rows = [(dt.date(2025, 1, 1), 1), (dt.date(2024, 12, 1), 2), (None, 3)]
+    V.write_view(spark.createDataFrame(rows, "event_date date, n int"), path, ["event_date"], dates=Dates(unit="month"))
+    assert V.expire(spark, path, dt.date(2025, 2, 5), 10) == ["2024-12-01"]
+    assert V.expire(spark, path, dt.date(2025, 2, 5), 5) == ["2025-01-01"]
+    assert [r.n for r in V.read_view(spark, path).collect()] == [3]
+
+
+def test_expiry_starts_over_if_a_load_is_replaced_meanwhile(spark, tmp_path, monkeypatch):
+    path, put, writes = str(tmp_path / "v"), Table.put, []
+    days = [dt.date(2025, 1, 1) + dt.timedelta(days=i) for i in range(20)]
+    frame = lambda ds: V.dated(spark.createDataFrame(moments(*ds), "at timestamp, day string"), "at", "month")
+    load = lambda ds: V.write_view(frame(ds), path, ["event_date"], load="a", dates=Dates(unit="month", ts="at"))
+    load(days)
+
+    def slow(self, rows, *args):
+        writes.append(1)
+        if len(writes) == 1:
+            load(days[5:15])
+        return put(self, rows, *args)
+
+    monkeypatch.setattr(Table, "put", slow)
+    V.expire(spark, path, dt.date(2025, 1, 20), 10)
+    assert sorted(r.day for r in V.read_view(spark, path).collect()) == [str(d) for d in days[10:15]]
+
+
+def test_hot_users_are_dealt_to_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 30_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("u"), F.col("id") % 500)).alias("source_user_id"),
+        F.lit("s").alias("source"), (F.col("id") % 10).alias("n"),
+    )
+    rows.write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    assert sorted(r.source_user_id or "" for r in by_user.hot_users(rows, 8).collect()) == ["", "hot"]
+    dealt = by_user.by_user(rows, 8)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 30_000 and max(sizes) < 2.5 * 30_000 / 8
+    tasks = dealt.withColumn("p", F.spark_partition_id()).groupBy("source_user_id").agg(F.countDistinct("p").alias("p"), F.countDistinct("_slice").alias("s"))
+    spread = {r.source_user_id: (r.p, r.s) for r in tasks.collect()}
+    assert spread["hot"][1] > 4 and all(v == (1, 1) for k, v in spread.items() if k not in ("hot", None))
+    plan = by_user.newest_by_user(rows, ["n"], 8)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(source" in plan and "_slice" in plan and "REPARTITION_BY_NUM" in plan and "BroadcastHashJoin" in plan
+    # Folding the slices needs no shuffle beyond the one by user, and one for what they have been folded to.
+    assert plan.split("BroadcastExchange")[0].count("Exchange hashpartitioning") == 2
+    newest = {(r.source_user_id, r.n) for r in by_user.newest_by_user(rows, ["n"], 8).collect()}
+    assert newest == {(r.source_user_id, r.n) for r in rows.groupBy("source_user_id").agg(F.max("n").alias("n")).collect()}
+    assert by_user.by_user(rows.filter("false"), 4).count() == 0
 
 
 def test_replay_is_bounded_and_pushed_down(spark, tmp_path):

@@ -9,6 +9,7 @@ from profilegate import schemas as S
 from profilegate.operators import contract as C
 from profilegate.operators import routing as RT
 from profilegate.operators import rules as R
+from profilegate.operators.committed import Table
 from profilegate.options import JobOptions, shared_folder
 from profilegate.sources import event_log
 from profilegate.streaming import jobs, upsert
@@ -133,7 +134,7 @@ def test_upsert_is_idempotent_over_replayed_batches(spark, tmp_path):
     assert [(r.kind, r.event_date.day, r.n) for r in rows] == [("a", 1, 4), ("b", 1, 3), ("b", 2, 5)]
     whole = upsert.current_rows(spark, path, keys, order, per_day=False).orderBy("kind").collect()
     assert [(r.kind, r.n) for r in whole] == [("a", 4), ("b", 5)]
-    assert spark.read.parquet(path).count() == 6  # the second query has directories of its own
+    assert Table(spark, path).read().count() == 6  # the second query has directories of its own
 
 
 def test_upsert_stream_restarts(spark, tmp_path):
@@ -144,6 +145,56 @@ def test_upsert_stream_restarts(spark, tmp_path):
     assert [r.n for r in upsert.current_rows(spark, view, ["kind"], ["ts", "n"]).collect()] == [12]
 
 
+def test_crowded_days_are_merged(spark, tmp_path):
+    path, keys, order = str(tmp_path / "view"), ["kind"], ["ts", "n"]
+    for i in range(12):
+        rows = [(i, NOON + dt.timedelta(minutes=i), "ab"[i % 2]), (100 - i, NOON + dt.timedelta(days=1 + i % 3), "c")]
+        batch = spark.createDataFrame(rows, "n long, ts timestamp, kind string").withColumn("event_date", F.to_date("ts"))
+        upsert.write_batch(batch, "q", i, path, keys, order, "event_date", tasks=4)
+    before = sorted(tuple(r) for r in upsert.current_rows(spark, path, keys, order).collect())
+    table = Table(spark, path)
+    state = table.state()
+    assert len(state.dirs) == 24 and upsert.compact(spark, path, keys, order, most=4) == ["2024-05-01"]
+    assert len(table.state().dirs) == 13 and table.read().count() == 14
+    assert upsert.compact(spark, path, keys, order, most=1) == ["2024-05-02", "2024-05-03", "2024-05-04"]
+    assert len(table.state().dirs) == 4 and upsert.compact(spark, path, keys, order, most=1) == []
+    assert sorted(tuple(r) for r in upsert.current_rows(spark, path, keys, order).collect()) == before
+    # A reader of the state before still finds its files; they go once no reader can need them.
+    assert table.read(state).count() == 24 and table.tidy(older_than=3600) == []
+    assert len(table.tidy(older_than=0)) == 24 and table.read().count() == 5
+    # A batch that comes again after the merge is known by its number.
+    assert not upsert.write_batch(batch, "q", 11, path, keys, order, "event_date")
+    plan = upsert.current_rows(spark, path, keys, order).filter("event_date = '2024-05-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_a_merge_gives_way_to_another_commit(spark, tmp_path, monkeypatch):
+    path, keys, order = str(tmp_path / "view"), ["kind"], ["ts", "n"]
+    for i in range(3):
+        batch = spark.createDataFrame([(i, NOON, "a")], "n long, ts timestamp, kind string").withColumn("event_date", F.to_date("ts"))
+        upsert.write_batch(batch, "q", i, path, keys, order, "event_date", tasks=2)
+    put = Table.put
+
+    def interrupted(self, *args):
+        written = put(self, *args)
+        self.commit(lambda last: last.swap(last.dirs[:1], []))
+        return written
+
+    monkeypatch.setattr(Table, "put", interrupted)
+    assert upsert.compact(spark, path, keys, order, most=1) == []
+    assert len(Table(spark, path).state().dirs) == 2
+
+
+def test_upsert_merges_while_it_runs(spark, tmp_path):
+    src, view, cp = (str(tmp_path / n) for n in ("in", "view", "cp"))
+    for first in range(0, 90, 10):
+        stream = ticks(spark, src, [first, first + 1, first + 2], first=first)
+    upsert.start_upsert(stream, view, cp, keys=["kind"], order=["ts", "n"], ts="ts", compact_every=3, most=2, availableNow=True).awaitTermination()
+    table = Table(spark, view)
+    assert table.state().done and max(table.state().done.values()) == 8 and len(table.state().dirs) == 1
+    assert [r.n for r in upsert.current_rows(spark, view, ["kind"], ["ts", "n"]).collect()] == [82]
+
+
 class Session:
     """As much of a session as the choice of a work folder looks at."""
 
