@@ -67,3 +67,50 @@ def document(parsed: Column, value: Column) -> Column:
     """The document of sealed text; null unless the text is exactly one."""
     whole = (F.size(parsed) == 2) & (as_text(F.get(parsed, F.lit(1))) == F.sha2(value, 256))
     return F.when(whole, F.get(parsed, F.lit(0)))
+
+
+def _plain_number(text: Column) -> Column:
+    """One spelling for all of a JSON number's: digits without exponent, without a fraction's trailing zeros, no minus zero.
+
+    Exponents are written out within 38 digits, 18 of them behind the point; beyond, a number keeps its spelling.
+    """
+    whole = text.try_cast("double") == F.floor(text.try_cast("double"))
+    digits = F.coalesce(F.when(whole, text.try_cast("decimal(38,0)").cast("string")), text.try_cast("decimal(38,18)").cast("string"), text)
+    plain = F.when(text.rlike("[eE]"), digits).otherwise(text)
+    plain = F.regexp_replace(F.regexp_replace(plain, r"\A(-?[0-9]+\.[0-9]*?)0+\z", "$1"), r"\.\z", "")
+    return F.when(plain == "-0", F.lit("0")).otherwise(plain)
+
+
+def canonical(v: Column, depth: int = 6) -> Column:
+    """JSON text of a variant that doesn't depend on the order of keys or on how numbers are spelled.
+
+    Objects and arrays are taken apart down to ``depth`` levels; what lies deeper has its keys in order, and its numbers as
+    they were. Null for an absent value.
+    """
+
+    def of_bound(x: Column) -> Column:
+        value, k = x["value"], x["kind"]
+        text = F.to_json(value)
+        leaf = F.when(number_kind(k), _plain_number(text)).otherwise(text)
+        if depth == 0:
+            return leaf
+        by_key = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+        members = F.array_sort(F.map_entries(F.try_variant_get(value, "$", "map<string, variant>")), by_key)
+        # to_json quotes no bare text: the key is taken out of {"k":...}.
+        quoted = lambda e: F.regexp_extract(F.to_json(F.struct(e["key"].alias("k"))), r"(?s)\A.{5}(.*).\z", 1)
+        # A null member is a null variant, never a missing one.
+        both = F.when(k.startswith("OBJECT<"), F.transform(members, lambda e: F.struct(F.concat(quoted(e), F.lit(":")).alias("label"), e["value"].alias("value"))))
+        both = both.otherwise(F.transform(as_array(value), lambda e: F.struct(F.lit("").alias("label"), e.alias("value"))))
+        inner = F.array_join(F.transform(both, lambda e: F.concat(e["label"], canonical(e["value"], depth - 1))), ",")
+        whole = F.concat(F.when(k.startswith("OBJECT<"), F.lit("{")).otherwise(F.lit("[")), inner, F.when(k.startswith("OBJECT<"), F.lit("}")).otherwise(F.lit("]")))
+        return F.when(k.startswith("OBJECT<") | k.startswith("ARRAY<"), whole).otherwise(leaf)
+
+    # Bound by a transform, so that a parse or a member is computed once however often it is used.
+    bound = F.transform(F.array(v), lambda x: F.struct(x.alias("value"), kind(x).alias("kind")))
+    return F.transform(bound, of_bound)[0]
+
+
+def payload_hash(json: Column, depth: int = 6) -> Column:
+    """A digest of what a JSON text says; of the text itself where it is no JSON. Null for a null text."""
+    parsed = F.try_parse_json(json)
+    return F.sha2(F.coalesce(canonical(parsed, depth), json).cast("binary"), 256)

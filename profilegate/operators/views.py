@@ -88,6 +88,23 @@ def write_view(
     table.commit(change)
 
 
+def replace_loads(df: DataFrame, path: str, partition_by: Sequence[str], load: str, loads: Sequence[str], dates: Dates | None = None) -> None:
+    """Replace the rows of all ``loads`` by ``df``, whose column ``load`` says which of them a row belongs to, in one commit.
+
+    Loads that get no rows are emptied. A row of a load that isn't named stays out, as that load's other rows would double it.
+    """
+    table = Table(df.sparkSession, path)
+    rows = df.filter(F.col(load).isin(list(loads))).withColumnRenamed(load, OWNER)
+    dirs = table.put(rows, partition_by)
+    known = set(loads)
+
+    def change(state: State | None) -> State:
+        state = state or State(schema_of(rows.drop(OWNER)), tuple(partition_by), dates)
+        return state.swap({d for d in state.dirs if value_of(d, OWNER) in known}, dirs)
+
+    table.commit(change)
+
+
 def read_view(spark: SparkSession, path: str, loads: bool = False) -> DataFrame:
     """The rows of the last committed state; with ``loads``, the load each comes from. Filters prune directories."""
     return Table(spark, path).read(owner=loads)

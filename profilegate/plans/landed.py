@@ -7,11 +7,13 @@ kinds other than text come in through placeholders that are replaced in the fini
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profilegate import schemas as S
+from profilegate.operators import contract as C
 from profilegate.operators import routing as RT
 from profilegate.operators import sli
 from profilegate.plans import fixtures as FX
@@ -20,6 +22,9 @@ from profilegate.plans import fixtures as FX
 RETENTION_TODAY = dt.date(2001, 9, 12)
 RETENTION_DAYS = 730
 SECOND_LOAD_BELOW = "G"
+# Streams of events come in parts of so many days; delayed rows in a later part.
+PARTS, PART_DAYS = 8, 4
+LATE_DELAY = dt.timedelta(days=6)
 REPLAY_START = dt.datetime(2024, 1, 1, 6, tzinfo=dt.UTC)
 REPLAY_END = dt.datetime(2024, 1, 1, 18, tzinfo=dt.UTC)
 
@@ -184,6 +189,25 @@ def created_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def registered_schemas() -> list[tuple[int, str, int, str]]:
+    """Two versions of the created event, of which the second takes a number ``extra`` and any latitude, and the invalid event."""
+    first = C.json_schema(S.USER_CREATED_TYPE, S.USER_CREATED_FIELDS)
+    second = json.loads(json.dumps(first))
+    second["properties"] |= {"extra": {"type": "integer"}, "latitude": {"type": ["number", "string", "null"]}}
+    other = C.json_schema(S.USER_PROFILE_INVALID_TYPE, S.USER_PROFILE_INVALID_FIELDS)
+    topics = {1: (S.CREATED_TOPIC, 1, first), 2: (S.CREATED_TOPIC, 2, second), 3: (S.INVALID_TOPIC, 1, other)}
+    return [(i, f"{topic}-value", version, json.dumps(schema)) for i, (topic, version, schema) in topics.items()]
+
+
+def versioned_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Created messages framed with schema ids 1 and 2; one in 11 with an id nobody knows, one in 13 with another topic's."""
+    k = F.col("k")
+    schema_id = F.when(k % 11 == 1, 9).when(k % 13 == 1, 3).otherwise(1 + k % 2)
+    framed = F.concat(F.lit(bytes([0])), F.unhex(F.lpad(F.hex(schema_id), 8, "0")), F.encode("value", "UTF-8"))
+    messages = created_messages(spark, folder).withColumn("topic", F.lit(S.CREATED_TOPIC))
+    return messages.select(F.when(k % 181 == 1, F.encode("value", "UTF-8")).otherwise(framed).alias("value"), "topic", k.alias("offset"))
+
+
 # --- operations -------------------------------------------------------------------------------
 
 
@@ -236,6 +260,35 @@ def hot_user_events(spark: SparkSession, folder: str) -> DataFrame:
     return events.withColumns({n: F.when(hot, value).otherwise(F.col(n)) for n, value in names.items()})
 
 
+def _part(spark: SparkSession, events: DataFrame) -> Column:
+    """The part of the stream an event's time lies in, from the first event on."""
+    first = events.agg(F.min(F.unix_micros("ts"))).first()[0] or 0
+    return F.least(F.floor((F.unix_micros("ts") - first) / (PART_DAYS * 86_400_000_000)), F.lit(PARTS - 1)).cast("int")
+
+
+def event_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as JSON in the part of their time, and for two in three a copy spelled otherwise, one part later."""
+    events = FX.table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    part = _part(spark, events)
+    cents = F.round(F.col("value") * 100).cast("long")
+    number = F.concat((cents / 100).cast("decimal(18,2)").cast("string"))
+    exponent = F.concat(cents.cast("string"), F.lit("e-2"))
+    json = F.format_string('{"event":%d,"user":{"id":%d,"kind":"%s"},"value":%s,"tags":[1,null]}', "event_id", "user_id", "event_type", number)
+    other = F.format_string('{"tags":[1.0, null], "value":%s, "user":{"kind":"%s", "id":%d.0}, "event":%d}', exponent, "event_type", "user_id", "event_id")
+    copied = F.when((F.col("event_id") % 3 != 0) & (part < PARTS - 1), part + 1)
+    return events.select(
+        "event_id", "ts", "user_id", "event_type", part.alias("part"), copied.alias("copy_part"), json.alias("json"), other.alias("copy_json")
+    )
+
+
+def delayed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in the part of their time, one in ten a part later and one in ten three parts later."""
+    events = FX.table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    delay = F.when(F.col("event_id") % 10 == 0, 1).when(F.col("event_id") % 10 == 1, 3).otherwise(0)
+    part = F.least(_part(spark, events) + delay, F.lit(PARTS - 1)).cast("int")
+    return events.select("event_id", "ts", "user_id", part.alias("part"))
+
+
 def in_files(rows: DataFrame, path: str, n: int, number: Column) -> None:
     """Rows in ``n`` files, read one by one in the order of their number, which a stream takes for ``n`` batches."""
     for i in range(n):

@@ -306,6 +306,12 @@ def wire_pairs() -> list[tuple[str, str]]:
     return extra + [(f"contract_violation:{f.name}", _wire_violation(f)) for f in S.USER_CREATED_FIELDS]
 
 
+def second_version() -> list[tuple[str, str]]:
+    """Of the second version of the contract: ``extra`` may be there, and a latitude out of bounds or in text."""
+    free = {"contract_violation:latitude": "false", "contract_violation:additional_properties": "k % 157 = 2"}
+    return [(code, free.get(code, condition)) for code, condition in wire_pairs()]
+
+
 TOPIC = "CASE WHEN k % 179 = 1 THEN 'other_topic' ELSE 'users_created' END"
 CREATED_VIOLATIONS = (
     f"CASE WHEN k % 157 BETWEEN 4 AND 10 THEN 'invalid_json' ELSE {reasons(wire_pairs())} END"
@@ -473,6 +479,9 @@ def statements() -> dict[str, str]:
         "resolve_attempts": f"WITH {RESPONSES}, N AS (SELECT request_id, attempt, reason, retryable, "
         "coalesce(bool_or(NOT retryable) OVER (PARTITION BY request_id ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS over FROM C) "
         "SELECT request_id, arg_max(reason, attempt) AS outcome, CAST(max(attempt) + 1 AS INT) AS attempts_made FROM N WHERE NOT over GROUP BY request_id",
+        "stream_attempts": f"WITH {RESPONSES}, N AS (SELECT request_id, attempt, reason, retryable, "
+        "coalesce(bool_or(NOT retryable) OVER (PARTITION BY request_id ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS over FROM C) "
+        "SELECT request_id, arg_max(reason, attempt) AS outcome, CAST(max(attempt) + 1 AS INT) AS attempts_made FROM N WHERE NOT over GROUP BY request_id",
         "country_code_lookup": f"WITH {P} SELECT k, country, CASE country {codes} END AS derived_code FROM P",
         "pseudonymize": f"WITH {P} SELECT k, {PSEUDONYM} AS pseudonym FROM P",
         "invalid_events": f"{QUALITY} SELECT '1.0' AS schema_version, 'UserProfileInvalid' AS event_type, source, {PSEUDONYM} AS source_user_id, "
@@ -563,7 +572,23 @@ def statements() -> dict[str, str]:
         "row_number() OVER (PARTITION BY user_id, event_type, floor(epoch_us(ts) / 86400000000) ORDER BY ts, event_id) AS rn FROM events) "
         f"SELECT window_us, user_id, event_type, event_id FROM T WHERE rn = 1 AND window_us + 86400000000 <= {WATERMARK}",
         "stream_exactly_once": "SELECT event_id, user_id, event_type FROM events",
+        "payload_hashes": "SELECT event_id, CAST(1 AS BIGINT) AS events, true AS same FROM events",
+        "stream_late_rows": f"WITH S AS (SELECT event_id, epoch_us(ts) AS us, (SELECT min(epoch_us(ts)) FROM events) AS first FROM events), "
+        f"D AS (SELECT event_id, us, least(least(CAST(floor((us - first) / {L.PART_DAYS * 86_400_000_000}) AS INT), {L.PARTS - 1}) "
+        f"+ CASE event_id % 10 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 0 END, {L.PARTS - 1}) AS batch FROM S), "
+        "B AS (SELECT batch, max(max(us)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM D GROUP BY batch) "
+        f"SELECT CAST(batch AS BIGINT) AS batch, CASE WHEN us <= (seen // 1000 - {int(L.LATE_DELAY.total_seconds() * 1000)}) * 1000 THEN 'late' ELSE 'on_time' END AS side, "
+        "count(*) AS events, CAST(sum(event_id) AS BIGINT) AS ids FROM D JOIN B USING (batch) GROUP BY ALL",
         "stream_route": _stream_route(),
+        "stream_recovery": _stream_route(),
+        "replay_twice": _stream_route(),
+        "stream_progress": "SELECT CAST(120 AS BIGINT) AS batches, count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows, count(*) AS rows, "
+        "count(*) FILTER (WHERE event_type = 'error') AS errors FROM events",
+        "latency_sketches": "SELECT event_type, per_mille, count(*) AS rows, true AS within FROM events, (SELECT unnest([500, 950, 990]) AS per_mille) "
+        "WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL",
+        "contract_by_schema_id": f"WITH {RAW}, I AS (SELECT *, CASE WHEN k % 181 = 1 THEN NULL WHEN k % 11 = 1 THEN 9 WHEN k % 13 = 1 THEN 3 ELSE 1 + k % 2 END AS id FROM RAW) "
+        "SELECT k, CAST(id AS BIGINT) AS schema_id, CASE WHEN id IS NULL THEN 'invalid_json' WHEN id = 9 THEN 'unknown_schema' WHEN id = 3 THEN 'wrong_subject' "
+        f"WHEN k % 157 BETWEEN 4 AND 10 THEN 'invalid_json' WHEN id = 1 THEN {reasons(wire_pairs())} ELSE {reasons(second_version())} END AS violations FROM I",
         "replay_range": f"WITH {RAW}, G AS (SELECT 'user-' || (k % 1000) AS key, k AS \"offset\", 1704067200 + k * 61 AS sec FROM RAW), "
         f"N AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY sec DESC, \"offset\" DESC) AS rn FROM G WHERE sec >= {start} AND sec < {end}) "
         "SELECT key, sec * 1000000 AS at_us, \"offset\" FROM N WHERE rn = 1",

@@ -2,30 +2,33 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profilegate import schemas as S
 from profilegate.functions import text as X
+from profilegate.functions import variants as V2
 from profilegate.functions.privacy import pseudonym
 from profilegate.operators import by_user
 from profilegate.operators import contract as C
 from profilegate.operators import delivery as D
 from profilegate.operators import metrics as M
 from profilegate.operators import normalize as N
-from profilegate.operators import rejects
+from profilegate.operators import registry, rejects
 from profilegate.operators import routing as RT
 from profilegate.operators import rules as R
 from profilegate.operators import sli
 from profilegate.operators import views as V
-from profilegate.operators.committed import Dates
+from profilegate.operators.committed import Dates, Table
 from profilegate.options import JobOptions, configure, shared_folder
 from profilegate.plans import fixtures as FX
 from profilegate.plans import landed as L
 from profilegate.sources import event_log, responses
-from profilegate.streaming import jobs, upsert
+from profilegate.streaming import attempts, jobs, late, progress, sink, upsert
 
 TODAY = FX.REFERENCE_DATE
 OPTIONS = JobOptions(salt=FX.SALT, reference_date=TODAY)
@@ -469,21 +472,104 @@ def stream_dedupe(spark, folder):
 
 @query
 def stream_exactly_once(spark, folder):
-    """Events in four batches by time, the last a late copy of the first: every event comes out once."""
+    """Events with copies whose JSON is spelled otherwise, one batch after them and after a restart: each comes out once."""
     base = shared_folder(spark)
-    events = FX.table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type")
-    start, end = events.agg(F.min("ts"), F.max("ts")).first()
-    third = (end - start) / 3
-    first, second = F.col("ts") < start + third, F.col("ts") < start + 2 * third
-    parts = (first, ~first & second, ~second, first)
-    for part in parts:
-        events.filter(part).write.mode("append").parquet(base + "/events")
-        # One batch for each part, however many files it has.
-        stream = spark.readStream.schema(events.schema).parquet(base + "/events")
-        once = jobs.drop_duplicates(stream, ["user_id", "event_type", "event_id"], ts="ts", watermark="1 day")
-        out = once.select("event_id", "user_id", "event_type")
-        _drain(out, base)
-    return spark.read.schema(out.schema).parquet(base + "/out")
+    messages = L.event_messages(spark, folder)
+    for part in range(L.PARTS):
+        rows = messages.filter((F.col("part") == part) | (F.col("copy_part") == part))
+        json = F.when(F.col("part") == part, F.col("json")).otherwise(F.col("copy_json"))
+        rows.select("event_id", "ts", "user_id", "event_type", json.alias("json")).write.mode("append").parquet(base + "/events")
+        # A batch for each part, however many files it has, and a restart after it. Copies are within the watermark.
+        stream = spark.readStream.schema("event_id long, ts timestamp, user_id long, event_type string, json string").parquet(base + "/events")
+        hashed = stream.withColumn("payload", V2.payload_hash(F.col("json")))
+        once = jobs.drop_duplicates(hashed, ["user_id", "event_type", "payload"], ts="ts", watermark=f"{3 * L.PART_DAYS} days")
+        _drain(once.select("event_id", "user_id", "event_type"), base)
+    return spark.read.schema("event_id long, user_id long, event_type string").parquet(base + "/out")
+
+
+@query
+def payload_hashes(spark, folder):
+    """Whether differently spelled JSON of an event has one hash, and that of another event a different one."""
+    hashed = L.event_messages(spark, folder).select(
+        "event_id", V2.payload_hash(F.col("json")).alias("one"), V2.payload_hash(F.col("copy_json")).alias("two"), F.sha2("json", 256).alias("plain")
+    )
+    copies = hashed.groupBy("one").agg(F.count("*").alias("events"), F.min("event_id").alias("event_id"), F.bool_and(F.col("one") == F.col("two")).alias("same"))
+    return copies.select("event_id", "events", "same")
+
+
+@query
+def stream_late_rows(spark, folder):
+    """On time and late rows of every batch of a stream, of which some come one and three batches after their time."""
+    base = shared_folder(spark)
+    events = L.delayed_events(spark, folder)
+    L.in_files(events, base + "/events", L.PARTS, F.col("part"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(base + "/events")
+    late.start_split(stream, base + "/split", base + "/checkpoint", ts="ts", delay=L.LATE_DELAY, availableNow=True).awaitTermination()
+    rows = late.read_split(spark, base + "/split")
+    return rows.groupBy(F.col("batch_id").alias("batch"), "side").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
+
+
+@query
+def stream_recovery(spark, folder):
+    """The whole job over six batches, with a crash before the commit of one and another after the commit of the next."""
+    base = shared_folder(spark)
+    L.in_files(L.created_log(spark, folder), base + "/log", 6, F.pmod(F.col("offset"), F.lit(6)))
+    crashes = {("written", 1), ("committed", 3)}
+
+    def crash(step: str, batch_id: int) -> None:
+        if (step, batch_id) in crashes:
+            crashes.remove((step, batch_id))
+            raise RuntimeError(f"crash: {step} {batch_id}")
+
+    starts = 0
+    while True:
+        log = event_log.stream_files(spark, base + "/log", max_files=1)
+        routed = RT.route(jobs.validate_log(log, OPTIONS), OPTIONS, "validation_status", "reason_count")
+        starts += 1
+        job = sink.start_table(routed, base + "/out", base + "/checkpoint", partition_by=["topic"], on_step=crash, availableNow=True)
+        try:
+            job.awaitTermination()
+            break
+        except StreamingQueryException as error:
+            if "crash: " not in str(error) or starts > 3:
+                raise
+    if starts != 3:
+        raise RuntimeError(f"the job should have started three times, not {starts}")
+    return _routed_columns(Table(spark, base + "/out").read())
+
+
+@query
+def stream_progress(spark, folder):
+    """Metrics of 120 batches over a restart, and the counts observed in them."""
+    base = shared_folder(spark)
+    events = FX.table(spark, folder, "events").select("event_id", "event_type", F.pmod("event_id", F.lit(120)).alias("n"))
+    log = progress.log_progress(spark, base + "/progress")
+    try:
+        for part in (F.col("n") < 90, F.col("n") >= 90):
+            # A file, and so a batch, for each number.
+            events.filter(part).repartition("n").write.mode("append").partitionBy("n").parquet(base + "/events")
+            stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(base + "/events")
+            counted = stream.observe("events", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("event_type") == "error").alias("errors"))
+            writer = counted.writeStream.format("noop").option("checkpointLocation", base + "/checkpoint").queryName("counted")
+            job = writer.trigger(availableNow=True).start()
+            job.awaitTermination()
+            log.wait(job)
+    finally:
+        spark.streams.removeListener(log)
+    totals = progress.totals(progress.read_progress(spark, base + "/progress"))
+    observed = [F.col("observed")[f"events.{n}"].alias(n) for n in ("rows", "errors")]
+    return totals.select("batches", "input_rows", "late_rows", *observed)
+
+
+@query
+def stream_attempts(spark, folder):
+    """Requests resolved from attempts that come in four batches, out of order."""
+    base = shared_folder(spark)
+    number = F.pmod(F.hash("request_id", "attempt"), F.lit(4))
+    L.in_files(L.responses(spark, folder), base + "/responses", 4, number)
+    stream = responses.stream_responses(spark, base + "/responses", max_files=1)
+    out = attempts.resolve_stream(N.classify_responses(stream), 2, timeout="3650 days")
+    return spark.read.schema(attempts.OUTPUT).parquet(_drain(out, base)).select("request_id", "outcome", "attempts_made")
 
 
 @query
@@ -494,8 +580,11 @@ def stream_route(spark, folder):
     log = event_log.stream_files(spark, base + "/log")
     query = jobs.start_route(log, OPTIONS, base + "/checkpoint", path=base + "/out", availableNow=True)
     query.awaitTermination()
-    routed = RT.unframe(spark.read.parquet(base + "/out"))
-    return routed.select(
+    return _routed_columns(spark.read.parquet(base + "/out"))
+
+
+def _routed_columns(records: DataFrame) -> DataFrame:
+    return RT.unframe(records).select(
         "topic",
         F.decode("key", "UTF-8").alias("key"),
         F.get_json_object("json", "$.rejection_reasons").alias("reasons"),
@@ -515,6 +604,52 @@ def replay_range(spark, folder):
     return newest.select(F.decode("key", "UTF-8").alias("key"), F.unix_micros("timestamp").alias("at_us"), "offset")
 
 
+@query
+def replay_twice(spark, folder):
+    """The job over a log by hours, then twice over overlapping ranges of it again: every record's result is there once."""
+    base = shared_folder(spark)
+    log = L.created_log(spark, folder).persist()
+    start, end = log.agg(F.min("timestamp"), F.max("timestamp")).first()
+    event_log.land_by_hour(log, base + "/log", "all")
+    log.unpersist()
+
+    def process(records: DataFrame) -> DataFrame:
+        return RT.route(jobs.validate_log(records, OPTIONS), OPTIONS, "validation_status", "reason_count", event_log.HOUR)
+
+    whole = (start.astimezone(dt.UTC), end.astimezone(dt.UTC) + dt.timedelta(seconds=1))
+    for bounds in (whole, (L.REPLAY_START, L.REPLAY_END), (L.REPLAY_START + dt.timedelta(hours=5), L.REPLAY_END)):
+        event_log.replay(spark, base + "/log", base + "/view", *bounds, process, ["topic"])
+    return _routed_columns(V.read_view(spark, base + "/view"))
+
+
+@query
+def contract_by_schema_id(spark, folder):
+    """Framed messages of two versions of a contract, of a schema of another topic, and of one nobody registered."""
+    path = shared_folder(spark) + "/registry"
+    spark.createDataFrame(L.registered_schemas(), registry.COLUMNS).write.parquet(path)
+    contracts = registry.read_registry(spark, path)
+    checked = registry.check_framed(L.versioned_log(spark, folder), contracts)
+    return checked.select(F.col("offset").alias("k"), "schema_id", joined("violations").alias("violations"))
+
+
+@query
+def latency_sketches(spark, folder):
+    """Percentiles from sketches stored by six hours, merged over all: whether their rank is as exact as is said."""
+    path = shared_folder(spark) + "/sketches"
+    events = FX.table(spark, folder, "events")
+    slots = events.withColumn("slot", F.window(F.col("ts").cast("timestamp"), "6 hours")["start"])
+    M.quantile_sketches(slots, "value", ["event_type", "slot"]).write.parquet(path)
+    merged = M.merged_percentiles(spark.read.parquet(path), [500, 950, 990], ["event_type"])
+    found = merged.withColumnsRenamed({"event_type": "kind", "value": "quantile"})
+    ranked = events.join(found, F.col("event_type") == F.col("kind")).groupBy("event_type", "per_mille", "rows").agg(
+        F.count_if(F.col("value") < F.col("quantile")).alias("below"), F.count_if(F.col("value") <= F.col("quantile")).alias("upto")
+    )
+    # Beyond twice the error that 99 % of ranks keep to is out of the question.
+    most = 2 * M.rank_error() * F.col("rows") + 1
+    wanted = F.col("rows") * F.col("per_mille") / 1000
+    return ranked.select("event_type", "per_mille", "rows", wanted.between(F.col("below") - most, F.col("upto") + most).alias("within"))
+
+
 @query
 def stream_upsert(spark, folder):
     """The newest event of each user and month, from a stream of ten batches whose months are merged on the way."""

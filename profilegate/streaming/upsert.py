@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from profilegate.operators.by_user import newest_by_user
 from profilegate.operators.committed import Dates, State, Table, schema_of, value_of
 from profilegate.operators.views import latest_per_key
+from profilegate.streaming.sink import query_of
 
 MERGED = "merged"
 
@@ -30,8 +31,7 @@ def write_batch(
     ``tasks`` is the number of tasks users are dealt to, that of shuffle partitions by default.
     """
     table = Table(batch.sparkSession, path)
-    state = table.last()[1]
-    if state is not None and state.done.get(query_id, -1) >= batch_id:
+    if table.has_batch(query_id, batch_id):
         return False
     tasks = tasks or int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     batch = batch.persist()
@@ -40,16 +40,7 @@ def write_batch(
         dirs = table.put(folded, [date_column], f"{query_id}-{batch_id}")
     finally:
         batch.unpersist()
-    first = State(schema_of(batch), (date_column,), Dates(date_column))
-
-    def change(state: State | None) -> State | None:
-        state = state or first
-        if state.done.get(query_id, -1) >= batch_id:
-            return None
-        state = state.swap([], dirs)
-        return State(**{**vars(state), "done": {**state.done, query_id: batch_id}})
-
-    return table.commit(change) is not None
+    return table.commit_batch(query_id, batch_id, dirs, State(schema_of(batch), (date_column,), Dates(date_column)))
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], most: int = 8) -> list[str]:
@@ -94,10 +85,7 @@ def start_upsert(
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not query_id:
-            raise RuntimeError("the streaming query of this batch is not known")
-        write_batch(batch, query_id, batch_id, path, keys, order, date_column)
+        write_batch(batch, query_of(batch), batch_id, path, keys, order, date_column)
         if compact_every and batch_id % compact_every == compact_every - 1:
             compact(spark, path, keys, order, most)
 

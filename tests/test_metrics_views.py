@@ -337,3 +337,21 @@ def test_percentiles_take_every_number(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = {r.per_mille: (r.rows, r.value) for r in M.exact_percentiles(df, "v", [100, 500, 1000], []).collect()}
     assert got == {100: (10, float("-inf")), 500: (10, -0.5), 1000: (10, float("inf"))}
+
+
+@pytest.mark.parametrize("k", [200, 800])
+def test_sketches_merge_within_their_rank_error(spark, k):
+    rnd = random.Random(k)
+    rows = [(i % 24, "ab"[i % 3 == 0], rnd.lognormvariate(0, 3)) for i in range(30_000)] + [(0, "a", None), (1, "a", float("nan"))]
+    df = spark.createDataFrame(rows, "slot int, kind string, v double").repartition(7)
+    sketches = M.quantile_sketches(df, "v", ["kind", "slot"], k)
+    assert sketches.agg(F.sum("rows")).first()[0] == 30_000
+    for part, by in ((sketches, ["kind"]), (sketches.filter("slot < 6"), []), (sketches, ["kind", "slot"])):
+        for r in M.merged_percentiles(part, [0, 10, 500, 990, 1000], by).collect():
+            group = sorted(v for s, x, v in rows if v is not None and v == v and ("kind" not in by or x == r.kind) and ("slot" not in by or s == r.slot) and (by or s < 6))
+            assert r.rows == len(group)
+            below, upto = (sum(f(v, r.value) for v in group) for f in (lambda a, b: a < b, lambda a, b: a <= b))
+            most = 2 * M.rank_error(k) * len(group) + 1
+            assert below - most <= r.per_mille / 1000 * len(group) <= upto + most
+    assert M.merged_percentiles(sketches.filter("false"), [500], ["kind"]).count() == 0
+    assert "partial_kll_merge_agg" in M.merged_percentiles(sketches, [500], ["kind"])._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,117 @@
+"""Contracts compiled from JSON Schema documents."""
+
+import json
+
+import pytest
+
+from profilegate import schemas as S
+from profilegate.operators import contract as C
+from profilegate.operators import registry as G
+
+ANY = {
+    "text": {"type": "string", "minLength": 2, "maxLength": 4},
+    "free": {},
+    "maybe": {"type": ["string", "null"], "pattern": "^a.c$"},
+    "size": {"type": "integer", "minimum": 1, "maximum": 9},
+    "share": {"type": "number", "minimum": -0.5},
+    "flag": {"type": "boolean"},
+    "fixed": {"const": 7},
+    "one": {"enum": ["x", 2, None, True]},
+    "at": {"type": "string", "format": "date-time"},
+    "list": {"type": "array", "minItems": 1, "items": {"type": "string", "minLength": 1}},
+    "inner": {"type": "object"},
+}
+DOCUMENT = {"title": "t", "type": "object", "required": ["text"], "additionalProperties": False, "properties": ANY}
+GOOD = {"text": "abc", "maybe": "abc", "size": 3, "share": 0.25, "flag": False, "fixed": 7, "one": "x", "at": "2024-01-01T00:00:00Z", "list": ["a"], "inner": {}}
+BROKEN = [
+    ("text", "a"), ("text", "abcde"), ("text", None), ("text", 5), ("maybe", "abcd"), ("maybe", 1), ("size", 0), ("size", 10), ("size", 2.5), ("size", "3"), ("size", True),
+    ("share", -1), ("share", "0"), ("flag", 0), ("flag", "true"), ("fixed", 8), ("fixed", "7"), ("one", "y"), ("one", 3), ("one", False), ("at", "soon"), ("list", []),
+    ("list", [""]), ("list", [1]), ("list", "a"), ("inner", []), ("inner", "{}"),
+]
+FINE = [("text", "ab"), ("free", [1, {}]), ("maybe", None), ("size", 9.0), ("share", -0.5), ("share", 3), ("fixed", 7.0), ("one", 2), ("one", None), ("one", True), ("list", ["a", "b"])]
+
+
+def framed(spark, rows):
+    frames = [(i, t, None if b is None else b"\x00" + n.to_bytes(4, "big") + b) for i, (t, n, b) in enumerate(rows)]
+    return spark.createDataFrame(frames, "k int, topic string, value binary")
+
+
+def found(spark, rows, registry):
+    return [r.violations for r in G.check_framed(framed(spark, rows), registry).orderBy("k").collect()]
+
+
+def test_every_keyword_is_checked(spark):
+    registry = {1: G.Contract(1, "t-value", 1, DOCUMENT)}
+    say = lambda *changes: ("t", 1, json.dumps(GOOD | dict(changes)).encode())
+    got = found(spark, [say(), *[say(c) for c in BROKEN], *[say(c) for c in FINE]], registry)
+    assert got[0] == []
+    assert got[1 : len(BROKEN) + 1] == [[C.VIOLATION + name] for name, _ in BROKEN]
+    assert got[len(BROKEN) + 1 :] == [[]] * len(FINE)
+    missing = json.dumps({k: v for k, v in GOOD.items() if k != "text"} | {"other": 1}).encode()
+    assert found(spark, [("t", 1, missing), ("t", 1, b'{"text":"ab"}')], registry) == [[C.UNKNOWN_FIELDS, C.VIOLATION + "text"], []]
+
+
+def test_messages_are_checked_by_the_id_they_carry(spark):
+    open_document = {"type": "object", "properties": {"n": {"type": "integer"}}}
+    registry = {1: G.Contract(1, "t-value", 1, DOCUMENT), 70_000: G.Contract(70_000, "t-value", 2, open_document), 3: G.Contract(3, "u-value", 1, open_document)}
+    rows = [("t", 1, b'{"text":"ab"}'), ("t", 70_000, b'{"text":"a"}'), ("t", 70_000, b'{"n":"a"}'), ("t", 3, b"{}"), ("u", 3, b"{}"), ("t", 5, b"{}"),
+            ("t", 1, b"[]"), ("t", 1, b""), ("t", 70_000, None), (None, 1, b"{}"), ("t", 1, b'{"text":"ab"} x'), ("t", 5, b"no json")]
+    assert found(spark, rows, registry) == [
+        [], [], [C.VIOLATION + "n"], ["wrong_subject"], [], ["unknown_schema"], ["invalid_json"], ["invalid_json"], ["invalid_json"],
+        ["wrong_subject"], ["invalid_json"], ["unknown_schema"],
+    ]
+
+
+@pytest.mark.parametrize(
+    "change", [{"not": {}}, {"type": "array"}, {"additionalProperties": {}}, {"required": ["gone"]}, {"properties": {"a": {"oneOf": []}}},
+               {"properties": {"a": {"format": "ipv4"}}}, {"properties": {"a": {"const": []}}}, {"properties": {"a": {"items": {"type": "integer"}}}}, {"properties": {"a": {"type": "text"}}}]
+)
+def test_what_is_not_understood_is_refused(change):
+    with pytest.raises(ValueError):
+        G.Contract(1, "s", 1, {"type": "object", "properties": {}} | change)
+
+
+def test_compiled_documents_say_what_the_field_contracts_say(spark):
+    """The published contracts, by their documents and by their fields, on messages that break each field."""
+    base = {f.name: f.const or {"email": "a@example.org", "date-time": "1980-01-01T00:00:00Z", "uri": "https://example.org/x"}.get(f.fmt, "DE") for f in S.USER_CREATED_FIELDS}
+    base |= {"street_number": 1, "latitude": 1.5, "longitude": -2}
+    changes = [{}] + [{n: v} for n in base for v in (None, "", 5, 2.5, [], "x" * 3)] + [{"more": 1}]
+    bodies = [json.dumps(base | c) for c in changes] + [json.dumps({k: v for k, v in base.items() if k != n}) for n in base]
+    registry = {1: G.Contract(1, f"{S.CREATED_TOPIC}-value", 1, C.json_schema("UserCreated", S.USER_CREATED_FIELDS))}
+    compiled = found(spark, [(S.CREATED_TOPIC, 1, b.encode()) for b in bodies], registry)
+    direct = spark.createDataFrame([(i, S.CREATED_TOPIC, b) for i, b in enumerate(bodies)], "k int, topic string, value string")
+    assert compiled == [r.violations for r in C.check_messages(direct).orderBy("k").collect()] and sum(map(bool, compiled)) > 80
+
+
+def test_registry_table(spark, tmp_path):
+    rows = [(1, "t-value", 1, json.dumps(DOCUMENT)), (2, "t-value", 2, "{}")]
+    spark.createDataFrame(rows, G.COLUMNS).write.parquet(str(tmp_path / "r"))
+    assert G.read_registry(spark, str(tmp_path / "r"))[1].names == tuple(ANY)
+    spark.createDataFrame(rows[:1], G.COLUMNS).write.mode("append").parquet(str(tmp_path / "r"))
+    with pytest.raises(ValueError):
+        G.read_registry(spark, str(tmp_path / "r"))
+
+
+def test_backward_compatibility():
+    change = lambda name, **kw: DOCUMENT | {"properties": ANY | {name: kw}}
+    assert G.incompatibilities(DOCUMENT, DOCUMENT) == []
+    assert G.incompatibilities(DOCUMENT, change("new", type="string")) == []
+    assert G.incompatibilities(DOCUMENT, change("size", type=["number", "null"], minimum=0)) == []
+    assert G.incompatibilities(DOCUMENT, DOCUMENT | {"required": []}) == []
+    assert G.incompatibilities(DOCUMENT, DOCUMENT | {"additionalProperties": True}) == []
+    assert G.incompatibilities(DOCUMENT, change("one", enum=["x", 2, None, True, "new"])) == []
+    assert G.incompatibilities(DOCUMENT, DOCUMENT | {"required": ["text", "flag"]}) == ["flag: newly required"]
+    assert G.incompatibilities(DOCUMENT, change("size", type="integer", minimum=2, maximum=9)) == ["size: minimum is stricter"]
+    assert G.incompatibilities(DOCUMENT, change("maybe", type="string")) == ["maybe: type null no longer allowed"]
+    assert G.incompatibilities(DOCUMENT, change("one", enum=["x"])) == ["one: fewer values allowed"]
+    assert G.incompatibilities(DOCUMENT, change("at", type="string", format="email")) == ["at: format differs"]
+    assert G.incompatibilities(DOCUMENT, DOCUMENT | {"properties": {"text": ANY["text"]}})[0] == "at: no longer allowed"
+    assert G.incompatibilities(DOCUMENT | {"additionalProperties": True}, DOCUMENT) == ["other fields: no longer allowed"]
+    assert G.incompatibilities({"type": "object"}, {"type": "object", "properties": {"a": {"type": "string"}}}) == ["a: was free before"]
+
+
+def test_checks_are_one_narrow_stage(spark):
+    registry = {1: G.Contract(1, "t-value", 1, DOCUMENT)}
+    plan = G.check_framed(framed(spark, [("t", 1, b"{}")]), registry)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+    assert framed(spark, []).count() == 0 and found(spark, [], registry) == []
