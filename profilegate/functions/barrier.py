@@ -18,8 +18,11 @@ def settle(df: DataFrame, columns: Mapping[str, Column], observe_as: str | None
     to the scan. With ``observe_as``, which is for jobs that report their counts, the metrics are
     observed under that name; filters do not pass an observation.
     """
-    row = F.struct(*[column.alias(name) for name, column in columns.items()])
     kept = [c for c in df.columns if c not in columns]
+    # A projection computes them, in generated code; the generator only wraps and unwraps what is there, since Spark
+    # interprets generators in stages whose code it does not fuse.
+    df = df.select(*kept, *[column.alias(name) for name, column in columns.items()])
+    row = F.struct(*columns)
     out = df.select(*kept, F.explode(F.array(row)).alias("_settled"))
     out = out.select(*kept, *[F.col("_settled")[name].alias(name) for name in columns])
     if observe_as is None:
