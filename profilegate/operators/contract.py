@@ -212,18 +212,20 @@ def parse_messages(df: DataFrame, value: str, names: Sequence[str], column: str)
 
     The text is parsed once. Null when it is not exactly one JSON object.
     """
-    df = settle(df, {"_sealed": V.sealed(F.col(value))})
-    df = df.withColumn("_document", V.document(F.col("_sealed"), F.col(value))).drop("_sealed")
+    # Each step is used several times by the next, so Catalyst keeps them apart; the last one bars filters from all of them.
+    df = df.withColumn("_sealed", V.sealed(F.col(value)))
+    df = df.withColumn("_document", V.document(F.col("_sealed"), F.col(value)))
     opened = F.struct(
         V.as_struct(F.col("_document"), *names).alias("members"),
         F.map_keys(F.try_variant_get(F.col("_document"), "$", "map<string, variant>")).alias("keys"),
     )
-    df = settle(df.withColumn("_opened", opened).drop("_document"), {"_opened": F.col("_opened")})
+    df = df.withColumn("_opened", opened)
     members = F.col("_opened")["members"]
     kinds = F.struct(*[V.kind(members[n]).alias(n) for n in names])
     texts = F.struct(*[V.as_text(members[n]).alias(n) for n in names])
     parsed = F.struct(kinds.alias("kinds"), texts.alias("texts"), F.col("_opened")["keys"].alias("keys"))
-    return settle(df, {column: F.when(members.isNotNull(), parsed)}).drop("_opened")
+    df = df.withColumn(column, F.when(members.isNotNull(), parsed)).drop("_sealed", "_document", "_opened")
+    return settle(df, {column: F.col(column)})
 
 
 def check_messages(
