@@ -73,6 +73,10 @@ class Element:
     kind: int  # 1 content, -1 boilerplate, -2 readers' comments, 0 untold
     value: float
     skipped: bool
+    holder: Element = field(init=False, repr=False)  # the nearest block-level element, itself included
+
+    def __post_init__(self) -> None:
+        self.holder = self if self.parent is None or self.tag in BLOCK_TAGS else self.parent.holder
 
 
 @dataclass(slots=True)
@@ -171,11 +175,11 @@ def blocks(html: str) -> list[Block]:
         found = _TAG.search(html, at)
         text = html[at : found.start() if found else len(html)]
         if text and not current.skipped:
-            if block is None or block.element is not _holder(current):
+            if block is None or block.element is not current.holder:
                 if text.strip():
-                    block = Block(_holder(current))
+                    block = Block(current.holder)
                     out.append(block)
-            if block is not None and block.element is _holder(current):
+            if block is not None and block.element is current.holder:
                 block.parts.append(text)
                 if links:
                     block.linked += len(text)
@@ -217,13 +221,6 @@ def blocks(html: str) -> list[Block]:
             at = end.start() if end else len(html)
 
 
-def _holder(element: Element) -> Element:
-    """The nearest block-level element."""
-    while element.parent is not None and element.tag not in BLOCK_TAGS:
-        element = element.parent
-    return element
-
-
 def _until(element: Element, last: Element) -> Iterator[Element]:
     while True:
         yield element

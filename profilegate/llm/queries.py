@@ -31,14 +31,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.without_repeated_lines(Work(spark), docs).select("doc_id", "removed_lines", "text")
 
 
-PERSONAL = r"[^\s@]+@[^\s@]+|\+?[0-9][0-9 ().-]{6,}[0-9]"
-
-
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document before and after addresses and long numbers are blotted out, by edits of its tree."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.col("text")
-    rows = docs.select("doc_id", tokencount.counted(text, tokencount.indexed(text), tokencount.find_edits(text, PERSONAL, "***")).alias("c"))
+    rows = docs.select("doc_id", tokencount.counted(text, tokencount.indexed(text), tokencount.find_edits(text, tokencount.personal_spans, "***")).alias("c"))
     return rows.select(
         "doc_id",
         F.size("c.tree.chars").alias("segments"),

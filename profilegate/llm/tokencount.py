@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate
 
 import pandas as pd
@@ -130,18 +130,59 @@ def edit(encoder: Encoder, text: str, chars: list[int], sums: list[int], edits:
     return "".join(leaf(i) for i in range(n)), chars, sums, len(made), encoded
 
 
-def find_edits(text: Column, pattern: str, replacement: str) -> Column:
-    """One edit for each match of ``pattern``."""
+def find_edits(text: Column, pattern: str | Callable[[str], Iterable[tuple[int, int]]], replacement: str) -> Column:
+    """One edit for each match of ``pattern``, or for each (start, end) that a function finds."""
 
     @F.pandas_udf(EDITS)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        compiled = re.compile(pattern)
+        if callable(pattern):
+            spans = pattern
+        else:
+            compiled = re.compile(pattern)
+            spans = lambda x: (m.span() for m in compiled.finditer(x))
         for batch in batches:
-            yield batch.map(lambda x: [{"start": m.start(), "end": m.end(), "text": replacement} for m in compiled.finditer(x or "")])
+            yield batch.map(lambda x: [{"start": a, "end": b, "text": replacement} for a, b in spans(x or "")])
 
     return found(text)
 
 
+_NUMBER = re.compile(r"\+?[0-9][0-9 ().-]{6,}[0-9]")
+_NO_SPACE = re.compile(r"[^\s@]+")
+
+
+def personal_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses (no white space or @, an @, the same again) and long numbers, as the first to match from the left on.
+
+    An address is found by its @ and read to both sides, so a text without any costs one search, however long its runs
+    without white space are.
+    """
+
+    def address(at: int) -> tuple[int, int] | None:
+        sign = text.find("@", at)
+        while sign >= 0:
+            end = _NO_SPACE.match(text, sign + 1)
+            if sign > at and end and _NO_SPACE.match(text, sign - 1):
+                start = sign - 1
+                while start > at and text[start - 1] != "@" and not text[start - 1].isspace():
+                    start -= 1
+                return start, end.end()
+            sign = text.find("@", sign + 1)
+        return None
+
+    def number(at: int) -> tuple[int, int] | None:
+        found = _NUMBER.search(text, at)
+        return found.span() if found else None
+
+    mail, digits = address(0), number(0)
+    while mail or digits:
+        best = mail if digits is None or (mail is not None and mail[0] <= digits[0]) else digits
+        yield best
+        if mail is not None and mail[0] < best[1]:
+            mail = address(best[1])
+        if digits is not None and digits[0] < best[1]:
+            digits = number(best[1])
+
+
 def indexed(text: Column, vocabulary: Vocabulary | None = None) -> Column:
     """The segment tree of a text, to be kept with it; null and empty texts have one empty segment."""
     files = vocabulary or default_vocabulary()

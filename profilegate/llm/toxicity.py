@@ -71,21 +71,37 @@ def log_odds(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments as (first, last, score), in linear time; only positive scores start one."""
+    """All maximal scoring segments as (first, last, score), in linear time; only positive scores start one.
+
+    Each candidate is linked to the last one before it whose sum of scores up to its start is smaller. Searches follow
+    these links, and none passes a candidate that an earlier search has passed.
+    """
     upto = np.cumsum(scores, dtype=np.float64)
-    found: list[tuple[int, int, float, float]] = []
-    for i in np.flatnonzero(scores > 0).tolist():
-        first, left, right = i, float(upto[i]) - float(scores[i]), float(upto[i])
+    starts = np.flatnonzero(scores > 0)
+    lefts, rights = (upto[starts] - scores[starts]).tolist(), upto[starts].tolist()
+    firsts: list[int] = []
+    lasts: list[int] = []
+    low: list[float] = []
+    high: list[float] = []
+    link: list[int] = []
+    for i, left, right in zip(starts.tolist(), lefts, rights, strict=True):
+        first, j = i, len(firsts) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= left:
-                j -= 1
-            if j < 0 or found[j][3] >= right:
+            while j >= 0 and low[j] >= left:
+                j = link[j]
+            if j < 0 or high[j] >= right:
                 break
-            first, left = found[j][0], found[j][2]
-            del found[j:]
-        found.append((first, i, left, right))
-    return [(a, b, right - left) for a, b, left, right in found]
+            # One segment from that candidate's start to here, which takes the place of all since.
+            first, left, before = firsts[j], low[j], link[j]
+            for column in (firsts, lasts, low, high, link):
+                del column[j:]
+            j = before
+        firsts.append(first)
+        lasts.append(i)
+        low.append(left)
+        high.append(right)
+        link.append(j)
+    return [(a, b, right - left) for a, b, left, right in zip(firsts, lasts, low, high, strict=True)]
 
 
 class Scorer:

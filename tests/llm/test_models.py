@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from itertools import combinations, product
 
 import duckdb
@@ -90,6 +91,18 @@ def test_segments_are_all_maximal_ones():
         assert got == maximal_by_hand(scores.tolist())
 
 
+def test_segments_of_long_texts_take_linear_time():
+    """One toxic word in twelve, and rises followed by deeper falls: the sum goes down all the way."""
+    started = time.monotonic()
+    dozen = np.tile(np.array([2.0] + [-0.3] * 11), 1_000_000 // 12)
+    assert len(toxicity.maximal_segments(dozen)) == len(dozen) // 12
+    assert len(toxicity.maximal_segments(np.tile([1.0, -2.0], 500_000))) == 500_000
+    assert len(toxicity.maximal_segments(np.tile([2.0, -1.0], 500_000))) == 1
+    rnd = np.random.default_rng(1)
+    assert toxicity.maximal_segments(rnd.normal(-0.1, 1, 1_000_000))
+    assert time.monotonic() - started < 20
+
+
 def test_toxic_passages(spark):
     rnd = random.Random(6)
     rows, labels = [], []
@@ -222,3 +235,10 @@ def test_mix_meets_its_targets(spark):
     sums = out.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.max("copies").alias("most"), F.max("size").alias("size"))
     for row in sums.collect():
         assert row["most"] <= 3 and abs(row["taken"] - row["target"]) <= row["size"] / 2 + 1
+
+
+def test_unclosed_inline_tags_take_linear_time():
+    started = time.monotonic()
+    page = "<article><p>start " + "<b>x " * 100_000 + "</article><nav>menu</nav>"
+    assert [("".join(b.parts).split()[:2], b.element.tag) for b in html.blocks(page)] == [(["start", "x"], "p"), (["menu"], "nav")]
+    assert time.monotonic() - started < 20

@@ -1,6 +1,8 @@
 """Encoding, edit-aware counts and packing against the tokenizer itself."""
 
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -16,6 +18,21 @@ PARTS = [" ", " ", " ", "  ", "\n", "\t", "a", "é", "Word", "'s", "'ll", "12",
 EDGE = [None, "", " ", "\n\n", "x", "one two", "one two", "<|endoftext|> in text", "long " * 3000, "y" * 5000]
 
 
+def test_personal_spans_are_the_matches_of_a_pattern():
+    pattern = re.compile(r"[^\s@]+@[^\s@]+|\+?[0-9][0-9 ().-]{6,}[0-9]")
+    rnd = random.Random(2)
+    for _ in range(20_000):
+        text = "".join(rnd.choice(["@", "a", "b.c", " ", "\xa0", "+", "1", "23", "4567890", "-", "(", "\n"]) for _ in range(rnd.randint(0, 14)))
+        assert list(tokencount.personal_spans(text)) == [m.span() for m in pattern.finditer(text)]
+
+
+def test_personal_spans_of_long_texts_take_little_time():
+    started = time.monotonic()
+    for text in ("x" * 1_000_000, "漢字" * 500_000, "ab1" * 300_000 + "@", "a@" * 300_000, "x" * 1_000_000 + "@y", "@" * 1_000_000, "1 (" * 300_000):
+        assert sum(1 for _ in tokencount.personal_spans(text)) < 200_000
+    assert time.monotonic() - started < 20
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     return Tokenizer.from_file(default_vocabulary().tokenizer)
