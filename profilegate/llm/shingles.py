@@ -10,7 +10,7 @@ import numpy as np
 from profilegate.llm.codepoints import mix64
 
 PIECE = 1 << 16
-UNIVERSE = 1 << 20
+UNIVERSE = 1 << 20  # places of the second permutation
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -79,26 +79,34 @@ def set_key(shingles: np.ndarray) -> str:
 
 
 @functools.cache
-def _second_permutation(coordinates: int) -> np.ndarray:
-    """Every window of ``coordinates`` neighbours of one fixed permutation of the universe, wrapping around."""
+def _second_permutation(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every window of ``coordinates`` neighbours of one fixed permutation of the places, wrapping around; and its inverse."""
     ring = np.empty(UNIVERSE + coordinates, np.uint32)
     ring[:UNIVERSE] = np.argsort((mix64(np.arange(UNIVERSE, dtype=np.uint32)) >> np.uint64(32)).astype(np.uint32), kind="stable")
     ring[UNIVERSE:] = ring[:coordinates]
-    return np.lib.stride_tricks.sliding_window_view(ring, coordinates)
+    back = np.empty(UNIVERSE, np.int64)
+    back[ring[:UNIVERSE]] = np.arange(UNIVERSE)
+    return np.lib.stride_tricks.sliding_window_view(ring, coordinates), back
 
 
 def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
     """Circulant MinHash: coordinate k is the least value of the second permutation, shifted by k, over the set.
 
-    The first permutation is an odd multiplication of the hash, of which the leading bits name a place in the universe.
-    All coordinates of one shingle are neighbours in the second one, so they are read together.
+    The first permutation is an odd multiplication of the hash. Its leading 20 bits name a place, on which the second one
+    and the shift act, and the next 32 bits rank the shingles of one place, so the universe has 2^52 values and sets of
+    any length can be told apart. All coordinates of one place are neighbours in the second permutation, so they are
+    read together; the shingle a coordinate comes from follows from its value by the inverse.
     """
-    windows = _second_permutation(coordinates)
-    places = (shingles * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
-    out = np.full(coordinates, UNIVERSE, np.uint32)
+    windows, back = _second_permutation(coordinates)
+    hashed = np.sort(shingles * np.uint64(0x9E3779B97F4A7C15))
+    places = (hashed >> np.uint64(44)).astype(np.int64)
+    first = np.flatnonzero(np.diff(places, prepend=-1))
+    places, rank = places[first], hashed[first] >> np.uint64(12) & np.uint64(0xFFFFFFFF)
+    least = np.full(coordinates, UNIVERSE, np.uint32)
     for at in range(0, len(places), 512):
-        np.minimum(out, windows[places[at : at + 512]].min(axis=0), out=out)
-    return out
+        np.minimum(least, windows[places[at : at + 512]].min(axis=0), out=least)
+    own = (back[least] - np.arange(coordinates)) % UNIVERSE
+    return least.astype(np.uint64) << np.uint64(32) | rank[np.searchsorted(places, own)]
 
 
 def bands(found: np.ndarray, rows: int) -> np.ndarray:

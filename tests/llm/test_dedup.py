@@ -140,6 +140,16 @@ def test_block_links_join_labels_across_columns(monkeypatch):
     assert near <= reached
 
 
+def test_signatures_of_long_unlike_sets_share_nothing():
+    rnd = np.random.default_rng(4)
+    sets = [np.unique(rnd.integers(0, 2**63, 1_000_000, dtype=np.uint64)) for _ in range(2)]
+    one, two = (shingles.signature(x, 216) for x in sets)
+    assert not (one == two).any()
+    near = shingles.signature(np.union1d(sets[0][100_000:], sets[1][:100_000]), 216)
+    assert 0.7 < (one == near).mean() < 0.9 and (shingles.bands(one, 6) == shingles.bands(near, 6)).any()
+    assert not np.isin(shingles.bands(one, 6), shingles.bands(two, 6)).any()
+
+
 def test_signatures_agree_like_the_sets():
     one = np.unique(shingles.mix64(np.arange(2000)))
     two = np.unique(shingles.mix64(np.arange(200, 2200)))
