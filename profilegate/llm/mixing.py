@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from profilegate.llm.tables import Work, id_text, word_count
+from profilegate.llm.tables import Work, fresh, id_text, word_count
 
 HALF_CELLS = 8192
 _NO_ID = -(2**63)
@@ -131,14 +131,20 @@ def apply_plan(sized_docs: DataFrame, plan: DataFrame) -> DataFrame:
 def mix(work: Work, docs: DataFrame, seed: int = 7, max_copies: int = 3) -> DataFrame:
     """Documents with ``size``, ``source_size``, ``target`` and the number of ``copies`` the mix takes.
 
-    ``docs`` has doc_id (long), text and source; other columns stay as they are. Rows of one source that share
-    a doc_id stand or fall together. A null id counts as the smallest one, a null source is a source of its
-    own, null and empty texts hold no words and have copies like any other. An empty table gives an empty one.
+    ``docs`` has doc_id (long), text and source; other columns stay as they are, whatever they are called. The four that are
+    added have underscores after their names where ``docs`` has a column so named. Rows of one source that share a doc_id
+    stand or fall together. A null id counts as the smallest one, a null source is a source of its own, null and empty
+    texts hold no words and have copies like any other. An empty table gives an empty one.
     """
-    clash = {"size", "source_size", "target", "copies", "mix_id", "mix_odds", "rank", "cell"} & {c.lower() for c in docs.columns}
-    kept = docs.drop(*[c for c in docs.columns if c.lower() in clash])
-    rows = work.land(sized(kept.select("doc_id", "text", "source"), seed).drop("text"), "sizes")
-    return apply_plan(sized(kept, seed), sampling_plan(work, rows, max_copies))
+    used = ("doc_id", "text", "source")
+    others = [c for c in docs.columns if c.lower() not in used]
+    held = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(None)
+    kept = docs.select(*used, held.alias("held"))
+    rows = work.land(sized(kept.select(*used), seed).drop("text"), "sizes")
+    out = apply_plan(sized(kept, seed), sampling_plan(work, rows, max_copies))
+    added = ("size", "source_size", "target", "copies")
+    columns = [F.col("held")[c].alias(c) if c in others else F.col(c) for c in docs.columns]
+    return out.select(*columns, *[F.col(c).alias(name) for c, name in zip(added, fresh(docs, *added), strict=True)])
 
 
 def mix_sizes(work: Work, docs: DataFrame, seed: int = 7, max_copies: int = 3) -> DataFrame:

@@ -237,6 +237,18 @@ def test_mix_meets_its_targets(spark):
         assert row["most"] <= 3 and abs(row["taken"] - row["target"]) <= row["size"] / 2 + 1
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    names = ["odds", "last", "whole", "missing", "rank", "cell", "size", "copies", "Target", "mix_id", "held", "cut_cell", "a.b"]
+    df = spark.createDataFrame(mix_rows(), "doc_id long, text string, source string")
+    plain = {tuple(r) for r in mixing.mix(Work(spark), df).collect()}
+    wide = df.select("source", *[F.lit(i).alias(n) for i, n in enumerate(names)], "doc_id", "text")
+    out = mixing.mix(Work(spark), wide)
+    assert out.columns == [*wide.columns, "size_", "source_size", "target_", "copies_"]
+    rows = [tuple(r) for r in out.collect()]
+    assert all(r[1 : len(names) + 1] == tuple(range(len(names))) for r in rows)
+    assert {(*r[len(names) + 1 : len(names) + 3], r[0], *r[len(names) + 3 :]) for r in rows} == plain
+
+
 def test_unclosed_inline_tags_take_linear_time():
     started = time.monotonic()
     page = "<article><p>start " + "<b>x " * 100_000 + "</article><nav>menu</nav>"

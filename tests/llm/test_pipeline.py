@@ -23,7 +23,7 @@ def test_query_matches_sql(spark, name):
 
 def test_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
 
 
 def documents():

@@ -6,7 +6,6 @@ import re
 import zlib
 from collections import Counter
 
-import compare
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,12 +225,6 @@ def test_ledger_runs_without_python_and_without_shuffle(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
-def test_op12_equals_sql(spark):
-    folder = "/root/testdata/sf0.001"
-    mine, other = compare.both(spark, compare.connect(folder), queries.op12_quality_rules, quality.ORACLE_SQL, folder)
-    assert mine == other
-
-
 # Spelling variants.
 
 
