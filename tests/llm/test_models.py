@@ -209,6 +209,47 @@ def test_top_k(spark):
     assert maxscore.top_k(vectors.limit(0), vectors.limit(0), 5).count() == 0
 
 
+def brute_top(ids, values, query_id, query, k):
+    scored = sorted((-sum(int(a) * int(b) for a, b in zip(query, v, strict=True)), i) for i, v in zip(ids, values, strict=True) if i != query_id)
+    return [(i, -s) for s, i in scored[:k]]
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.int64, object])
+def test_postings_and_probes_give_the_best(kind):
+    rnd = np.random.default_rng(11)
+    for width, n in ((1, 40), (3, 200), (12, 300)):
+        values = rnd.integers(-9, 10, size=(n, width))
+        values[rnd.random((n, width)) < 0.4] = 0
+        values[: n // 3] = -np.abs(values[: n // 3])
+        ids = rnd.permutation(n) * 3
+        shard = maxscore.Shard(ids, values.astype(kind))
+        for i in range(0, n, 7):
+            for query in (values[i], np.abs(values[i]), np.zeros(width, int)):
+                assert shard.search(int(ids[i]), query.astype(kind), 5) == brute_top(ids.tolist(), values, ids[i], query, 5)
+
+
+def test_reads_stay_below_the_dense_count():
+    rnd = np.random.default_rng(12)
+    centres = rnd.normal(size=(200, 64))
+    near = centres[rnd.integers(0, 200, 6000)] + 0.1 * rnd.normal(size=(6000, 64))
+    sparse = rnd.integers(1, 100, size=(6000, 64)) * (rnd.random((6000, 64)) < 0.05)
+    for values, most in ((np.floor(40 * near), 0.7), (sparse, 0.25)):
+        values = values.astype(np.float32)
+        shard = maxscore.Shard(np.arange(6000), values)
+        for i in range(0, 6000, 300):
+            assert shard.search(i, values[i], 5) == brute_top(range(6000), values, i, values[i], 5)
+        assert shard.read < most * 20 * values.size
+
+
+def test_top_k_of_large_components(spark):
+    most = float(2**31 - 1)
+    rows = [(0, [most, most, most]), (50, [most, most, 0.0]), (51, [most, 0.0, 1.0]), (52, [most, most, most - 1]), (53, [2.0**31, 0.0, 0.0]), (54, [1e300, 0.0, 0.0])]
+    vectors = maxscore.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), scale=1)
+    got = sorted(tuple(r) for r in maxscore.top_k(vectors, vectors.filter("vec_id = 0"), 5).collect())
+    m = 2**31 - 1
+    assert got == [(0, 1, 52, 2**63 - 1), (0, 2, 50, 2 * m * m), (0, 3, 51, m * m + m)]
+
+
 def mix_rows():
     rnd = random.Random(9)
     rows = [(i, "w " * rnd.randint(0, 30), rnd.choice(["a", "b", "c", "d", None, "é", "z"])) for i in range(400)]
