@@ -3,7 +3,8 @@
 A model holds log probabilities of hashed letter trigrams by language and the scripts each language is written
 in. In a text, every word is scored under the languages its script admits, and a Viterbi pass with a penalty for
 each switch labels the words; neighbouring words of one label are a span. The text's language is the one whose
-spans hold most letters, and its score is their share.
+spans hold most letters. Its score is their share of the letters in spans, and ``share`` that of all letters, those of
+scripts that no language is written in included.
 
 The model is fitted on at most about ``per_language`` documents of each language, chosen by a hash of their id.
 """
@@ -29,7 +30,7 @@ PER_LANGUAGE = 2000
 PENALTY = 12.0
 LEAST_SHARE = 0.002
 NOT_ITS_SCRIPT = -40.0
-RESULT = "lang_pred string, score double, spans array<struct<start: long, end: long, lang: string>>"
+RESULT = "lang_pred string, score double, share double, spans array<struct<start: long, end: long, lang: string>>"
 
 
 @dataclass
@@ -130,8 +131,8 @@ class Labeller:
         scores[~narrowed] = 0
         return w.at, w.at + w.size, w.size, scores
 
-    def label(self, texts: list[str | None]) -> list[tuple[str, float, list[dict]]]:
-        out: list = [(UNKNOWN, 0.0, [])] * len(texts)
+    def label(self, texts: list[str | None]) -> list[tuple[str, float, float, list[dict]]]:
+        out: list = [(UNKNOWN, 0.0, 0.0, [])] * len(texts)
         if not self.model.languages:
             return out
         held: list = []
@@ -152,12 +153,13 @@ class Labeller:
             out[number] = self.finish(held)
         return out
 
-    def finish(self, held: list) -> tuple[str, float, list[dict]]:
+    def finish(self, held: list) -> tuple[str, float, float, list[dict]]:
         at, end, size, scores = held[0] if len(held) == 1 else [np.concatenate(x) for x in zip(*held, strict=True)]
         names = self.model.languages
         known = scores.any(1)
         if not known.any():
-            return names[int(np.argmax(self.model.prior))], 0.0, []
+            return names[int(np.argmax(self.model.prior))], 0.0, 0.0, []
+        letters_in_all = int(size.sum())
         at, end, size, scores = at[known], end[known], size[known], scores[known]
         path = decode(scores, self.penalty)
         letters = np.bincount(path, size, len(names))
@@ -165,13 +167,13 @@ class Labeller:
         turn = np.flatnonzero(np.append(True, path[1:] != path[:-1]))
         last = np.append(turn[1:], len(path)) - 1
         spans = [{"start": int(at[i]), "end": int(end[j]), "lang": names[path[i]]} for i, j in zip(turn, last, strict=True)]
-        return names[best], float(letters[best] / letters.sum()), spans
+        return names[best], float(letters[best] / letters.sum()), float(letters[best] / letters_in_all), spans
 
 
 def label(work: Work, model: Model, text: Column, penalty: float = PENALTY) -> Column:
-    """A struct column: lang_pred, score, and the spans of the text by code point offsets.
+    """A struct column: lang_pred, score, share, and the spans of the text by code point offsets.
 
-    Null texts and texts without a letter are ``und`` with score 0 and no spans, and so is everything under a
+    Null texts and texts without a letter are ``und`` with score and share 0 and no spans, and so is everything under a
     model that has learned nothing. Letters of scripts that no language is written in have no span; a text with
     no others gets the commonest language with score 0. Equal totals go to the language first by name.
     """
@@ -181,7 +183,7 @@ def label(work: Work, model: Model, text: Column, penalty: float = PENALTY) -> C
     def labelled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         labeller = Labeller(shared.value, penalty)
         for batch in batches:
-            yield pd.DataFrame(labeller.label(batch.tolist()), columns=["lang_pred", "score", "spans"])
+            yield pd.DataFrame(labeller.label(batch.tolist()), columns=["lang_pred", "score", "share", "spans"])
         give_back()
 
     return labelled(text)

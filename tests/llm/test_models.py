@@ -46,12 +46,13 @@ def language_model(spark):
 def test_languages_and_spans(spark, language_model):
     rnd = random.Random(4)
     one, two, three = (prose(rnd, x, 60) for x in ("aa", "bb", "cc"))
-    texts = [one, two, three, None, "", "12 !? 34", one + " " + two * 3, "漢字", "x", "ba ri to " * 90_000]
+    texts = [one, two, three, None, "", "12 !? 34", one + " " + two * 3, "漢字", "x", "ba ri to " * 90_000, "ba ri to ba ri " + "漢字" * 45]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     out = {r["doc_id"]: r["l"] for r in df.select("doc_id", langid.label(Work(spark), language_model, F.col("text")).alias("l")).collect()}
     assert [out[i]["lang_pred"] for i in range(7)] == ["aa", "bb", "cc", "und", "und", "und", "bb"]
     assert out[0]["score"] == 1.0 and out[3]["score"] == 0.0 and out[9]["lang_pred"] == "aa"
-    assert out[7]["lang_pred"] in SYLLABLES and out[7]["score"] == 0.0 and out[7]["spans"] == []
+    assert out[7]["lang_pred"] in SYLLABLES and out[7]["score"] == out[7]["share"] == 0.0 and out[7]["spans"] == []
+    assert out[10]["score"] == 1.0 and 0.08 < out[10]["share"] < 0.12 and out[0]["share"] == 1.0
     first, second = out[6]["spans"]
     assert (first["start"], first["lang"], second["lang"]) == (0, "aa", "bb")
     assert abs(first["end"] - len(one)) < 30 and second["end"] == len(texts[6])
@@ -60,7 +61,7 @@ def test_languages_and_spans(spark, language_model):
 
 def test_nothing_learned(spark):
     model = langid.fit(Work(spark), spark.createDataFrame([], "doc_id long, text string, lang string"))
-    assert langid.Labeller(model).label(["some text", None]) == [("und", 0.0, []), ("und", 0.0, [])]
+    assert langid.Labeller(model).label(["some text", None]) == [("und", 0.0, 0.0, []), ("und", 0.0, 0.0, [])]
 
 
 def test_pieces_hold_every_text():

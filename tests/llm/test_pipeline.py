@@ -62,6 +62,22 @@ def test_stages_one_by_one(spark):
     assert set(docs.columns) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
 
 
+def test_language_stage_rejects_and_fills(spark):
+    rnd = random.Random(2)
+    say = {lang: lambda n, w=w: " ".join(rnd.choice(w) for _ in range(n)) for lang, w in (("aa", ["balo", "keni", "dumo"]), ("bb", ["tirsu", "vorga", "zeph"]))}
+    rows = [(i, say[lang](40), lang, "s", 0, "x", i) for i, lang in enumerate(["aa", "bb"] * 30)]
+    rows += [(100, say["bb"](30), None, None, None, None, None), (101, say["aa"](30) + " " + say["bb"](30), None, "s", 0, "x", 1)]
+    rows += [(102, "漢字" * 40, None, "s", 0, "x", 1), (103, "balo keni " + "漢字" * 40, None, "s", 0, "x", 1), (104, "7 %", "bb", "s", 0, "x", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA.replace("size string", "FOUND string"))
+    out = corpus_pipeline.language_id(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert set(got) == {*range(60), 100, 101}
+    assert got[100]["lang"] == "bb" and got[101]["lang"] in ("aa", "bb") and all(tuple(got[i]) == rows[i] for i in range(60))
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_id(spark, unlabelled, FOLDER).count() == 64
+
+
 def test_empty_documents(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
