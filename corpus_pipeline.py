@@ -10,19 +10,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profilegate.llm import dedup, langid, mixing, neardup, packing
-from profilegate.llm.tables import Work, read
+from profilegate.llm.tables import Work, fresh, read
+
+
+#: The least share of a text's letters that the spans of its language must hold. Texts that mix four languages evenly stay.
+LEAST_SHARE = 0.25
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language was found, learned from the labels of the same documents.
 
-    Null and empty texts and texts without a letter go, all others stay. Without any label nothing can be learned or
-    rejected for its language, and texts with a letter stay.
+    Null and empty texts and texts without a letter go, and so do texts of whose letters no language's spans hold
+    ``LEAST_SHARE``, such as those in scripts that no labelled document is written in. All others stay, and a missing lang
+    is filled with the language found. Without any label nothing can be learned or rejected for its language: texts with a
+    letter stay as they are.
     """
     work = Work(spark)
     model = langid.fit(work, docs)
-    found = langid.label(work, model, F.col("text"))["lang_pred"] != langid.UNKNOWN
-    return docs.filter(found if model.languages else F.col("text").rlike(r"\p{L}"))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    (found,) = fresh(docs, "found")
+    # Behind a generator of one row for each row, so that the filter doesn't label the texts a second time.
+    labelled = docs.withColumn(found, langid.label(work, model, F.col("text"))).withColumn(found, F.explode(F.array(found)))
+    known = labelled.filter((F.col(found)["lang_pred"] != langid.UNKNOWN) & (F.col(found)["share"] >= LEAST_SHARE))
+    return known.withColumn("lang", F.coalesce("lang", F.col(found)["lang_pred"])).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
