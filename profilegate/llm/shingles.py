@@ -84,8 +84,8 @@ def _second_permutation(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
     ring = np.empty(UNIVERSE + coordinates, np.uint32)
     ring[:UNIVERSE] = np.argsort((mix64(np.arange(UNIVERSE, dtype=np.uint32)) >> np.uint64(32)).astype(np.uint32), kind="stable")
     ring[UNIVERSE:] = ring[:coordinates]
-    back = np.empty(UNIVERSE, np.int64)
-    back[ring[:UNIVERSE]] = np.arange(UNIVERSE)
+    back = np.empty(UNIVERSE, np.uint32)
+    back[ring[:UNIVERSE]] = np.arange(UNIVERSE, dtype=np.uint32)
     return np.lib.stride_tricks.sliding_window_view(ring, coordinates), back
 
 

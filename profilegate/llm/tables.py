@@ -10,7 +10,9 @@ from profilegate.options import shared_folder
 # The characters [\x20\x09-\x0D], which separate words.
 SPACES = " \t\n\x0b\x0c\r"
 MOST_ROWS = 500
+MOST_BYTES = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -21,8 +23,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class Work:
     """A fresh folder under ``spark.checkpoint.dir``; what is landed there survives lost executors.
 
-    Whole texts go through Python, so the session's Arrow batches are held to ``MOST_ROWS`` rows; the default lets a
-    task hold many more than it needs, several times over.
+    Whole texts go through Python, so the session's Arrow batches are held to ``MOST_ROWS`` rows and end with the row that
+    brings them to ``MOST_BYTES``; the defaults let a task hold many more than it needs, several times over.
     """
 
     def __init__(self, spark: SparkSession) -> None:
@@ -31,6 +33,9 @@ class Work:
         self.count = 0
         if not 0 < int(spark.conf.get(_BATCH)) <= MOST_ROWS:
             spark.conf.set(_BATCH, str(MOST_ROWS))
+        size = spark.conf.get(_BATCH_BYTES)
+        if not size.isdigit() or int(size) > MOST_BYTES:
+            spark.conf.set(_BATCH_BYTES, str(MOST_BYTES))
 
     def land(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Write a table and read it again, which cuts the lineage and fixes the row values."""
