@@ -251,6 +251,23 @@ def test_top_k_of_large_components(spark):
     assert got == [(0, 1, 52, 2**63 - 1), (0, 2, 50, 2 * m * m), (0, 3, 51, m * m + m)]
 
 
+def test_top_k_of_every_finite_vector_and_row(spark, tmp_path):
+    from profilegate.llm import queries
+
+    # Components of 2^31 and more after scaling, up to the largest float, and two rows with one id.
+    rows = [(0, [1.0, 1.0]), (1, [2.0**23, 0.0]), (2, [2.0**40, -(2.0**30)]), (3, [3.0e38, -3.0e38]), (4, [-1.0e30, 0.5]), (50, [2.0**25, 1.0]), (50, [0.0, 3.0])]
+    bad = [(100, [float("inf"), 0.0]), (5, [None, 1.0]), (6, None), (7, [float("nan"), 0.0])]
+    spark.createDataFrame([*rows, *bad], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = [tuple(r) for r in queries.op4_exact_topk(spark, str(tmp_path)).collect()]
+    values = [(i, [int(np.float32(x)) * 256 if abs(x) >= 1 else int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    want = []
+    for n, (i, q) in enumerate(values):
+        if i % 50 == 0:
+            scores = [(v, max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(q, c, strict=True))))) for m, (v, c) in enumerate(values) if m != n]
+            want += [(i, rank, v, s) for rank, (v, s) in enumerate(sorted(scores, key=lambda x: (-x[1], x[0]))[:5], 1)]
+    assert sorted(got) == sorted(want) and len(got) == 15
+
+
 def mix_rows():
     rnd = random.Random(9)
     rows = [(i, "w " * rnd.randint(0, 30), rnd.choice(["a", "b", "c", "d", None, "é", "z"])) for i in range(400)]
