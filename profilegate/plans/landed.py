@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ RETENTION_DAYS = 730
 SECOND_LOAD_BELOW = "G"
 # Streams of events come in parts of so many days; delayed rows in a later part.
 PARTS, PART_DAYS = 8, 4
+# A batch of a stream has one file for so many rows of it.
+ROWS_A_FILE = 10_000
 LATE_DELAY = dt.timedelta(days=6)
 REPLAY_START = dt.datetime(2024, 1, 1, 6, tzinfo=dt.UTC)
 REPLAY_END = dt.datetime(2024, 1, 1, 18, tzinfo=dt.UTC)
@@ -289,10 +292,27 @@ def delayed_events(spark: SparkSession, folder: str) -> DataFrame:
     return events.select("event_id", "ts", "user_id", part.alias("part"))
 
 
-def in_files(rows: DataFrame, path: str, n: int, number: Column) -> None:
-    """Rows in ``n`` files, read one by one in the order of their number, which a stream takes for ``n`` batches."""
+def in_files(rows: DataFrame, path: str, n: int, number: Column) -> int:
+    """Rows in ``n`` batches of equally many files, in the order of their number; returns how many files a batch has.
+
+    A stream that takes so many files at a time reads batch by batch, since one is written after the other. The rows are
+    worked out once, by as many tasks as they come in.
+    """
+    rows = rows.withColumn("_batch", number).persist(StorageLevel.DISK_ONLY)
+    files = max(1, -(-rows.count() // (n * ROWS_A_FILE)))
     for i in range(n):
-        rows.filter(number == i).coalesce(1).write.mode("append").parquet(path)
+        rows.filter(F.col("_batch") == i).drop("_batch").coalesce(files).write.mode("append").parquet(path)
+        # Tasks without rows write no file; empty ones take their place, so that no batch reaches into the next.
+        for _ in range(files * (i + 1) - _files(rows.sparkSession, path)):
+            rows.limit(0).drop("_batch").write.mode("append").parquet(path)
+    rows.unpersist()
+    return files
+
+
+def _files(spark: SparkSession, path: str) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sum(not e.getPath().getName().startswith(("_", ".")) for e in entries)
 
 
 def event_slots(spark: SparkSession, folder: str, step: int) -> DataFrame:

@@ -502,8 +502,8 @@ def stream_late_rows(spark, folder):
     """On time and late rows of every batch of a stream, of which some come one and three batches after their time."""
     base = shared_folder(spark)
     events = L.delayed_events(spark, folder)
-    L.in_files(events, base + "/events", L.PARTS, F.col("part"))
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(base + "/events")
+    files = L.in_files(events, base + "/events", L.PARTS, F.col("part"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(base + "/events")
     late.start_split(stream, base + "/split", base + "/checkpoint", ts="ts", delay=L.LATE_DELAY, availableNow=True).awaitTermination()
     rows = late.read_split(spark, base + "/split")
     return rows.groupBy(F.col("batch_id").alias("batch"), "side").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
@@ -513,7 +513,7 @@ def stream_late_rows(spark, folder):
 def stream_recovery(spark, folder):
     """The whole job over six batches, with a crash before the commit of one and another after the commit of the next."""
     base = shared_folder(spark)
-    L.in_files(L.created_log(spark, folder), base + "/log", 6, F.pmod(F.col("offset"), F.lit(6)))
+    files = L.in_files(L.created_log(spark, folder), base + "/log", 6, F.pmod(F.col("offset"), F.lit(6)))
     crashes = {("written", 1), ("committed", 3)}
 
     def crash(step: str, batch_id: int) -> None:
@@ -523,7 +523,7 @@ def stream_recovery(spark, folder):
 
     starts = 0
     while True:
-        log = event_log.stream_files(spark, base + "/log", max_files=1)
+        log = event_log.stream_files(spark, base + "/log", max_files=files)
         routed = RT.route(jobs.validate_log(log, OPTIONS), OPTIONS, "validation_status", "reason_count")
         starts += 1
         job = sink.start_table(routed, base + "/out", base + "/checkpoint", partition_by=["topic"], on_step=crash, availableNow=True)
@@ -566,8 +566,8 @@ def stream_attempts(spark, folder):
     """Requests resolved from attempts that come in four batches, out of order."""
     base = shared_folder(spark)
     number = F.pmod(F.hash("request_id", "attempt"), F.lit(4))
-    L.in_files(L.responses(spark, folder), base + "/responses", 4, number)
-    stream = responses.stream_responses(spark, base + "/responses", max_files=1)
+    files = L.in_files(L.responses(spark, folder), base + "/responses", 4, number)
+    stream = responses.stream_responses(spark, base + "/responses", max_files=files)
     out = attempts.resolve_stream(N.classify_responses(stream), 2, timeout="3650 days")
     return spark.read.schema(attempts.OUTPUT).parquet(_drain(out, base)).select("request_id", "outcome", "attempts_made")
 
@@ -655,8 +655,8 @@ def stream_upsert(spark, folder):
     """The newest event of each user and month, from a stream of ten batches whose months are merged on the way."""
     base = shared_folder(spark)
     events = L.hot_user_events(spark, folder)
-    L.in_files(events, base + "/events", 10, F.pmod(F.hash("event_id"), F.lit(10)))
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(base + "/events")
+    files = L.in_files(events, base + "/events", 10, F.pmod(F.hash("event_id"), F.lit(10)))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(base + "/events")
     keys, order = list(V.USER_KEY), ["ingested_at", "event_id"]
     query = upsert.start_upsert(
         stream.withColumn("ingested_month", F.trunc("ingested_at", "month")), base + "/view", base + "/checkpoint",

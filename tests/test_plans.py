@@ -10,6 +10,7 @@ from profilegate import schemas as S
 from profilegate.operators import contract as C
 from profilegate.operators import normalize as N
 from profilegate.operators import rules as R
+from profilegate.plans import fixtures, landed
 
 
 def plan(df):
@@ -56,3 +57,25 @@ def test_filters_reach_the_scan_of_messages_and_responses(spark, dated, tmp_path
 
 def test_good_profile_is_complete():
     assert set(S.NORMALIZED_FIELDS) <= set(GOOD)
+
+
+def test_derived_rows_are_dealt_by_their_number(spark, tmp_path):
+    """A small file of many rows is worked on by many tasks, whatever its bytes."""
+    spark.range(45_000).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    dealt = fixtures.spread(rows)
+    assert (rows.rdd.getNumPartitions(), dealt.rdd.getNumPartitions()) == (1, 5)
+    assert dealt.distinct().count() == 45_000
+
+
+def test_batches_of_a_stream_have_equally_many_files(spark, tmp_path):
+    """Batches are written by several tasks, and each is read as one, even where it is empty or small."""
+    path = str(tmp_path / "rows")
+    number = F.when(F.col("id") < 10, 0).when(F.col("id") < 70_000, 1).otherwise(3)
+    files = landed.in_files(spark.range(0, 100_000, 1, 8), path, 4, number)
+    assert files == 3
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", files).parquet(path)
+    seen = []
+    writer = stream.writeStream.foreachBatch(lambda batch, i: seen.append((i, batch.count())))
+    writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert seen == [(0, 10), (1, 69_990), (2, 0), (3, 30_000)]
