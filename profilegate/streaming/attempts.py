@@ -17,6 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from profilegate.operators.normalize import NO_ATTEMPT
 
+BUCKETS = 2_048
 OUTPUT = "request_id string, outcome string, attempts_made int, closed_by string"
 
 
@@ -37,7 +38,9 @@ def latest(tries: dict[int, list]) -> int | None:
     return min(stops) if stops else max(tries, default=None)
 
 
-def resolve_stream(classified: DataFrame, max_retries: int = 2, *, ts: str = "requested_at", timeout: str = "10 minutes") -> DataFrame:
+def resolve_stream(
+    classified: DataFrame, max_retries: int = 2, *, ts: str = "requested_at", timeout: str = "10 minutes", buckets: int = BUCKETS
+) -> DataFrame:
     """request_id, outcome, attempts_made and closed_by (success, final_failure, last_retry or timeout) of a stream.
 
     ``timeout`` is the watermark's delay, too: an attempt that is later than that is lost, and its request is closed without
@@ -45,9 +48,15 @@ def resolve_stream(classified: DataFrame, max_retries: int = 2, *, ts: str = "re
     that are repeated with another outcome, the earliest one that stops counts. Attempts without a number or beyond the last
     retry count for nothing but keep their request's place: it ends as ``no_attempt`` if there are no others. Those without a
     time have no place in a stream and are left out.
+
+    Requests are dealt by hash to ``buckets``, each of which is one group: a group costs milliseconds in Python, a request in
+    it microseconds. A bucket with new attempts is read and written whole, so there should be hundreds or a few thousand requests within
+    the timeout for each. A checkpoint keeps the number it was begun with.
     """
     if max_retries < 0:
         raise ValueError("max_retries must not be negative")
+    if buckets < 1:
+        raise ValueError("buckets must be at least 1")
     rows = classified.select(
         "request_id",
         F.coalesce("attempt", F.lit(-1)).alias("attempt"),
@@ -57,33 +66,47 @@ def resolve_stream(classified: DataFrame, max_retries: int = 2, *, ts: str = "re
     ).filter("at IS NOT NULL")
 
     def resolve(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        closed, text = state.get if state.exists else (False, "{}")
-        tries = {int(a): v for a, v in json.loads(text).items()}
+        # By request: its tries, None once it is closed, and the moment of its timeout.
+        known = {request: (None if tries is None else {a: [stops, outcome] for a, stops, outcome in tries}, due) for request, tries, due in json.loads(state.get[0] if state.exists else "[]")}
+        watermark = state.getCurrentWatermarkMs()
+        out: list[tuple] = []
 
-        def row(attempt: int | None, how: str) -> pd.DataFrame:
+        def close(request: str | None, tries: dict[int, list], attempt: int | None, how: str) -> None:
             outcome = NO_ATTEMPT if attempt is None else tries[attempt][1]
-            return pd.DataFrame([(key[0], outcome, 0 if attempt is None else attempt + 1, how)], columns=["request_id", "outcome", "attempts_made", "closed_by"])
+            out.append((request, outcome, 0 if attempt is None else attempt + 1, how))
 
-        if state.hasTimedOut:
-            state.remove()
-            if not closed:
-                yield row(latest(tries), "timeout")
-            return
-        last = 0
-        for batch in batches:
-            last = max(last, int(batch["at"].max().timestamp() * 1000))
-            if closed:
-                continue
+        last: dict[str | None, int] = {}
+        for batch in [] if state.hasTimedOut else batches:
             # In the order of time, so that of copies the first that stops is kept.
-            for x in batch.sort_values(["attempt", "at", "outcome"]).itertuples():
-                if 0 <= x.attempt <= max_retries and not tries.get(x.attempt, [False])[0]:
-                    tries[x.attempt] = [bool(x.stops), x.outcome]
-        found = None if closed else settled(tries, max_retries)
-        if found is not None:
-            closed = True
-            yield row(*found)
-        state.update((closed, "{}" if closed else json.dumps(tries)))
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1))
-
-    keyed = rows.withWatermark("at", timeout).groupBy("request_id")
-    return keyed.applyInPandasWithState(resolve, OUTPUT, "closed boolean, tries string", "append", GroupStateTimeout.EventTimeTimeout)
+            batch = batch.sort_values(["attempt", "at", "outcome"])
+            moments = batch["at"].to_numpy().astype("datetime64[ms]").astype("int64").tolist()
+            columns = [batch[c].tolist() for c in ("request_id", "attempt", "stops", "outcome")]
+            for request, attempt, stops, outcome, at in zip(*columns, moments, strict=True):
+                last[request] = max(last.get(request, 0), at)
+                tries = known.setdefault(request, ({}, 0))[0]
+                if tries is not None and 0 <= attempt <= max_retries and not tries.get(attempt, [False])[0]:
+                    tries[attempt] = [bool(stops), outcome]
+        for request, at in last.items():
+            tries = known[request][0]
+            found = None if tries is None else settled(tries, max_retries)
+            if found is not None:
+                close(request, tries, *found)
+                tries = None
+            known[request] = (tries, max(at, watermark + 1))
+        for request, (tries, due) in list(known.items()):
+            if due < watermark:
+                del known[request]
+                if tries is not None:
+                    close(request, tries, latest(tries), "timeout")
+        if known:
+            kept = [[r, None if tries is None else [[a, *x] for a, x in tries.items()], due] for r, (tries, due) in known.items()]
+            state.update((json.dumps(kept),))
+            state.setTimeoutTimestamp(min(due for _, due in known.values()))
+        else:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["request_id", "outcome", "attempts_made", "closed_by"])
+
+    bucket = F.pmod(F.xxhash64("request_id"), F.lit(buckets))
+    keyed = rows.withColumn("bucket", bucket).withWatermark("at", timeout).groupBy("bucket")
+    return keyed.applyInPandasWithState(resolve, OUTPUT, "requests string", "append", GroupStateTimeout.EventTimeTimeout)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from profilegate import schemas as S
 from profilegate.functions import variants
 from profilegate.operators import contract as C
+from profilegate.operators import normalize
 from profilegate.operators import routing as RT
 from profilegate.operators import rules as R
 from profilegate.operators import views as V
@@ -451,6 +452,17 @@ def test_attempts_are_resolved_as_they_settle(spark, tmp_path):
         attempts.resolve_stream(stream, -1)
 
 
+def test_attempts_are_resolved_by_the_bucket(spark, tmp_path):
+    rows = [[attempt(None if i == 7 else f"r{i}", n, i * 0.01, "timeout" if (i + n) % 3 else None, bool((i + n) % 3)) for i in range(200)] for n in (1, 0, 2)]
+    for part in rows:
+        spark.createDataFrame(part, ATTEMPTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(ATTEMPTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query, out = run(spark, attempts.resolve_stream(stream, 2, timeout="1 day", buckets=5), tmp_path, "resolved")
+    whole = normalize.resolve_attempts(spark.createDataFrame(sum(rows, []), ATTEMPTS), 2)
+    assert sorted(map(repr, out.select("request_id", "outcome", "attempts_made").collect())) == sorted(map(repr, whole.collect()))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) == 5
+
+
 def test_replay_takes_the_place_of_what_was_there(spark, tmp_path):
     log, view = str(tmp_path / "log"), str(tmp_path / "view")
     at = lambda minute: NOON + dt.timedelta(minutes=minute)
