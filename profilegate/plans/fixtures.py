@@ -139,7 +139,7 @@ def spread(rows: DataFrame) -> DataFrame:
 
     Scans are split by bytes, but a customer takes a few bytes of its file and becomes kilobytes of JSON.
     """
-    tasks = -(-rows.count() // ROWS_A_TASK)  # the files' footers tell
+    tasks = -(-rows.count() // ROWS_A_TASK)  # the files' footers tell, unless rows are filtered
     return rows.repartition(tasks) if tasks > 1 else rows
 
 

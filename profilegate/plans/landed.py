@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Iterator
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -269,19 +270,35 @@ def _part(spark: SparkSession, events: DataFrame) -> Column:
     return F.least(F.floor((F.unix_micros("ts") - first) / (PART_DAYS * 86_400_000_000)), F.lit(PARTS - 1)).cast("int")
 
 
-def event_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as JSON in the part of their time, and for two in three a copy spelled otherwise, one part later."""
+def _numbered_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with the part of their time, and for two in three the part a copy of them comes in, which is the next."""
     events = FX.table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     part = _part(spark, events)
+    copied = F.when((F.col("event_id") % 3 != 0) & (part < PARTS - 1), part + 1)
+    return events.select("event_id", "ts", "user_id", "event_type", "value", part.alias("part"), copied.alias("copy_part"))
+
+
+def _as_messages(events: DataFrame) -> DataFrame:
     cents = F.round(F.col("value") * 100).cast("long")
     number = F.concat((cents / 100).cast("decimal(18,2)").cast("string"))
     exponent = F.concat(cents.cast("string"), F.lit("e-2"))
     json = F.format_string('{"event":%d,"user":{"id":%d,"kind":"%s"},"value":%s,"tags":[1,null]}', "event_id", "user_id", "event_type", number)
     other = F.format_string('{"tags":[1.0, null], "value":%s, "user":{"kind":"%s", "id":%d.0}, "event":%d}', exponent, "event_type", "user_id", "event_id")
-    copied = F.when((F.col("event_id") % 3 != 0) & (part < PARTS - 1), part + 1)
-    return events.select(
-        "event_id", "ts", "user_id", "event_type", part.alias("part"), copied.alias("copy_part"), json.alias("json"), other.alias("copy_json")
-    )
+    return events.withColumns({"json": json, "copy_json": other}).drop("value")
+
+
+def event_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as JSON in the part of their time, and for two in three a copy spelled otherwise, one part later."""
+    return _as_messages(FX.spread(_numbered_events(spark, folder)))
+
+
+def arriving_messages(spark: SparkSession, folder: str) -> Iterator[DataFrame]:
+    """The rows of ``event_messages()``, events and copies, part by part; a part is dealt to as many tasks as its rows need."""
+    events = _numbered_events(spark, folder)
+    for part in range(PARTS):
+        messages = _as_messages(FX.spread(events.filter((F.col("part") == part) | (F.col("copy_part") == part))))
+        json = F.when(F.col("part") == part, F.col("json")).otherwise(F.col("copy_json"))
+        yield messages.select("event_id", "ts", "user_id", "event_type", json.alias("json"))
 
 
 def delayed_events(spark: SparkSession, folder: str) -> DataFrame:

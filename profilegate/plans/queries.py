@@ -474,11 +474,8 @@ def stream_dedupe(spark, folder):
 def stream_exactly_once(spark, folder):
     """Events with copies whose JSON is spelled otherwise, one batch after them and after a restart: each comes out once."""
     base = shared_folder(spark)
-    messages = L.event_messages(spark, folder)
-    for part in range(L.PARTS):
-        rows = messages.filter((F.col("part") == part) | (F.col("copy_part") == part))
-        json = F.when(F.col("part") == part, F.col("json")).otherwise(F.col("copy_json"))
-        rows.select("event_id", "ts", "user_id", "event_type", json.alias("json")).write.mode("append").parquet(base + "/events")
+    for rows in L.arriving_messages(spark, folder):
+        rows.write.mode("append").parquet(base + "/events")
         # A batch for each part, however many files it has, and a restart after it. Copies are within the watermark.
         stream = spark.readStream.schema("event_id long, ts timestamp, user_id long, event_type string, json string").parquet(base + "/events")
         hashed = stream.withColumn("payload", V2.payload_hash(F.col("json")))

@@ -270,6 +270,22 @@ def test_exactly_once_spreads_its_files(spark, tmp_path, monkeypatch):
     assert files > L.PARTS == batches
 
 
+def test_exactly_once_deals_messages_by_their_number(spark, tmp_path, monkeypatch):
+    """A part of the stream has as many files as its rows need, though the events lie in one small file."""
+    from profilegate.plans import landed as L
+    from profilegate.plans import queries as Q
+
+    event = ["id AS event_id", "timestamp_micros(86400000000 + id * 4000000000) AS ts", "id % 7 AS user_id", "'view' AS event_type", "id / 4 AS value"]
+    spark.range(0, 600, 1, 1).selectExpr(*event).write.parquet(str(tmp_path / "in/events.parquet"))
+    base = f"file://{tmp_path}/work"
+    monkeypatch.setattr(Q, "shared_folder", lambda _: base)
+    monkeypatch.setattr(Q.FX, "ROWS_A_TASK", 20)
+    out = Q.stream_exactly_once(spark, f"file://{tmp_path}/in")
+    assert sorted(r["event_id"] for r in out.collect()) == list(range(600))
+    files = spark.read.parquet(base + "/events").groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 5 * L.PARTS and max(r["count"] for r in files) < 40
+
+
 def test_exactly_once_depends_on_its_state(spark, monkeypatch):
     """With a key no copy shares, the copies come out: it is the state that holds them back, not the watermark."""
     from profilegate.plans import queries as Q
@@ -485,3 +501,17 @@ def test_replay_takes_the_place_of_what_was_there(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(hour" in plan
     with pytest.raises(ValueError):
         event_log.hours_between(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
+
+
+def test_settled_text_is_what_taking_it_apart_gives(spark):
+    """Text that is taken as it is must equal what comes of its members, and ordinary messages are taken as they are."""
+    odd = ['{"a\\n\\u0001\\"/é":"\\t\\u2028\\\\"}', '{"😀":1,"\ufffd":2,"a":3}', '{"a":-0.0,"b":-0,"c":0e0}', '{"a":"1E2","b":"2.50"}', '{"a":1e400}', '{"a":2.0E-3}',
+           '{"b":{"b":{"b":{"b":{"b":{"b":{"b":{"z":1.50,"y":[1e2,2]}}}}}}}}', '{"a":1234567.0e1,"b":12345678.25}', '{"a":0.1,"b":100,"c":1.05,"d":-10}', '{"":[[],{}]}']
+    texts = [t for pair in ALIKE for t in pair] + UNLIKE + odd
+    parsed = spark.createDataFrame([(t,) for t in texts], "j string").select("j", F.try_parse_json("j").alias("v"))
+    rows = parsed.select("j", variants.canonical(F.col("v")).alias("one"), variants._settled(F.col("v"), 6).alias("two")).collect()
+    assert [(r.j, r.one) for r in rows] == [(r.j, r.two) for r in rows]
+    assert {r.j: r.one for r in rows}["not json"] is None
+    event = '{"event":%d,"user":{"id":7,"kind":"view"},"value":%s,"tags":[1.0,null]}'
+    common = spark.createDataFrame([(event % (i, f"{i}{j}e-2"),) for i in range(1, 10) for j in (25, 10, 99)], "j string")
+    assert common.filter(F.to_json(F.try_parse_json("j")).rlike(variants._UNSETTLED)).count() == 0
